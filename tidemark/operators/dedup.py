@@ -79,10 +79,7 @@ def match_records(
     """
     parts = []
     for chosen in _minimal_sets(rules, threshold):
-        keyed = records.select(F.col(ident).alias("record"))
-        cols = [
-            _as_array(records, r).alias(f"_s{i}") for i, r in enumerate(chosen)
-        ]
+        cols = [_as_array(records, r).alias(f"_s{i}") for i, r in enumerate(chosen)]
         keyed = records.select(F.col(ident).alias("record"), *cols)
         for i in range(len(chosen)):
             keyed = keyed.select("*", F.explode(f"_s{i}").alias(f"_t{i}")).drop(f"_s{i}")
