@@ -15,14 +15,18 @@ from pyspark.sql.datasource import (
 )
 
 
-class MonthFolder(InputPartition):
-    def __init__(self, path: str, month: str):
-        self.path = path
-        self.month = month
+PACK_BYTES = 128 << 20
+
+
+class MonthFiles(InputPartition):
+    """Data files of about ``PACK_BYTES`` together, each with its month."""
+
+    def __init__(self, files: list[tuple[str, str]]):
+        self.files = files
 
 
 class MonthlyReader(DataSourceReader):
-    """One task per data file of the months that the filters leave."""
+    """Reads the months that the filters leave; small files share a task."""
 
     def __init__(self, path: str, columns: list[str], partition: str):
         self.path = path
@@ -52,29 +56,36 @@ class MonthlyReader(DataSourceReader):
         from pyarrow import fs
 
         files, root = fs.FileSystem.from_uri(self.path)
-        out = []
+        packs: list[list[tuple[str, str]]] = []
+        room = 0
         for info in files.get_file_info(fs.FileSelector(root, recursive=True)):
             if not info.path.endswith(".parquet"):
                 continue
             month = info.path.rsplit("/", 2)[-2].split("=", 1)[-1]
-            if self._wanted(month):
-                out.append(MonthFolder(info.path, month))
-        return out
-
-    def read(self, partition: MonthFolder) -> Iterator:
+            if not self._wanted(month):
+                continue
+            if not packs or info.size > room:
+                packs.append([])
+                room = PACK_BYTES
+            packs[-1].append((info.path, month))
+            room -= info.size
+        return [MonthFiles(p) for p in packs]
+
+    def read(self, partition: MonthFiles) -> Iterator:
         import pyarrow as pa
         import pyarrow.parquet as pq
         from pyarrow import fs
 
-        files, _ = fs.FileSystem.from_uri(self.path)
+        store, _ = fs.FileSystem.from_uri(self.path)
         stored = [c for c in self.columns if c != self.partition]
-        with files.open_input_file(partition.path) as handle:
-            for batch in pq.ParquetFile(handle).iter_batches(columns=stored):
-                month = pa.array([partition.month] * batch.num_rows, pa.string())
-                arrays = {n: batch.column(n) for n in stored} | {self.partition: month}
-                yield pa.RecordBatch.from_arrays(
-                    [arrays[c] for c in self.columns], names=self.columns
-                )
+        for path, month in partition.files:
+            with store.open_input_file(path) as handle:
+                for batch in pq.ParquetFile(handle).iter_batches(columns=stored):
+                    months = pa.array([month] * batch.num_rows, pa.string())
+                    arrays = {n: batch.column(n) for n in stored} | {self.partition: months}
+                    yield pa.RecordBatch.from_arrays(
+                        [arrays[c] for c in self.columns], names=self.columns
+                    )
 
 
 class MonthlySource(DataSource):
