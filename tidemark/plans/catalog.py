@@ -5,5 +5,7 @@ from tidemark.plans import (  # noqa: F401
     scalars,
     joins,
     totals,
+    windows,
+    sets,
 )
 from tidemark.plans.registry import NATIVE, ORACLES, QUERIES  # noqa: F401

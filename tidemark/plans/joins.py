@@ -284,18 +284,18 @@ def influence(spark, sf):
     f"""WITH {FOLLOWS} SELECT o_orderkey AS post_id, COUNT(*) AS likes, COUNT(*) FILTER (WHERE followed_id IS NULL) AS strangers
     FROM orders JOIN lineitem ON l_orderkey = o_orderkey
     LEFT JOIN follows ON follower_id = l_suppkey AND followed_id = o_custkey
-    WHERE l_shipdate >= o_orderdate AND l_shipdate < o_orderdate + INTERVAL 720 HOUR
-    GROUP BY 1 HAVING COUNT(*) > 3 AND COUNT(*) FILTER (WHERE followed_id IS NULL) * 2 > COUNT(*)""",
+    WHERE l_shipdate >= o_orderdate AND l_shipdate < o_orderdate + INTERVAL 1440 HOUR
+    GROUP BY 1 HAVING COUNT(*) > 2 AND COUNT(*) FILTER (WHERE followed_id IS NULL) * 2 > COUNT(*)""",
 )
 def viral_posts(spark, sf):
-    """Orders as posts, shipped lines as likes by suppliers, within 30 days."""
+    """Orders as posts, shipped lines as likes by suppliers, within 60 days."""
     posts = table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("post_id"), F.col("o_custkey").alias("author_id"), F.col("o_orderdate").alias("posted_at")
     )
     likes = table(spark, sf, "lineitem").select(
         F.col("l_orderkey").alias("post_id"), F.col("l_suppkey").alias("user_id"), F.col("l_shipdate").alias("liked_at")
     )
-    return J.viral_posts(posts, likes, follows(spark, sf), min_likes=3, hours=720)
+    return J.viral_posts(posts, likes, follows(spark, sf), min_likes=2, hours=1440)
 
 
 @query(
