@@ -105,7 +105,8 @@ def _minimal_sets(rules: Sequence[Rule], threshold: float) -> list[tuple[Rule, .
     found: list[tuple[Rule, ...]] = []
     for size in range(1, len(rules) + 1):
         for chosen in combinations(rules, size):
-            if any(set(f) <= set(chosen) for f in found):
+            names = {r.name for r in chosen}
+            if any({r.name for r in f} <= names for f in found):
                 continue
             if sum(r.weight for r in chosen) >= threshold:
                 found.append(chosen)
@@ -130,13 +131,22 @@ def shingles(text: Column, words: int = 3) -> Column:
     """Distinct hashes of all word n-grams of the whole text."""
     tokens = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
     n = F.size(tokens)
-    grams = F.transform(
-        F.sequence(F.lit(0), F.greatest(n - words, F.lit(0))),
-        lambda i: F.xxhash64(F.array_join(F.slice(tokens, i + 1, F.lit(words)), " ")),
-    )
+    # Shifted copies zipped together: linear in the text, unlike slicing per n-gram.
+    shifted = [F.slice(tokens, F.lit(i + 1), F.greatest(n - i, F.lit(0))) for i in range(words)]
+    rows = F.slice(F.arrays_zip(*[c.alias(f"w{i}") for i, c in enumerate(shifted)]), F.lit(1), F.greatest(n - words + 1, F.lit(1)))
+    grams = F.transform(rows, lambda r: F.xxhash64(r))
     return F.when(n > 0, F.array_distinct(grams)).otherwise(F.array().cast("array<bigint>"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even out rows before heavy per-row work, over all cores at least."""
+    spark = df.sparkSession
+    parts = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
+    )
+    return df.repartition(parts)
+
+
 def band_keys(docs: DataFrame, ident: str, grams: str, bands: int, rows: int) -> DataFrame:
     """MinHash bands: one (band, bucket) row per document and band."""
     rng = np.random.default_rng(7)
@@ -183,7 +193,8 @@ def near_copies(
     folded = docs.groupBy(F.md5(text).alias("_f")).agg(
         F.min(ident).alias("_id"), F.first(text).alias("_t")
     )
-    sets = cut(folded.select(F.col("_id").alias("doc"), shingles(F.col("_t"), words).alias("grams")))
+    grams = shingles(F.col("_t"), words).alias("grams")
+    sets = cut(spread(folded).select(F.col("_id").alias("doc"), grams))
     left = cut(band_keys(sets, "doc", "grams", bands, rows))
     links = None
     while True:
