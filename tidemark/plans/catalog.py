@@ -7,5 +7,8 @@ from tidemark.plans import (  # noqa: F401
     totals,
     windows,
     sets,
+    dimensions,
+    tables,
+    checks,
 )
 from tidemark.plans.registry import NATIVE, ORACLES, QUERIES  # noqa: F401
