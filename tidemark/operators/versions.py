@@ -390,15 +390,20 @@ def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFrame:
     z = F.lit(0).cast("long")
     for i, c in enumerate(columns):
         edges = F.lit(list(bounds[c]) if bounds[c] is not None else [])
-        slot = F.aggregate(
-            edges, F.lit(0), lambda acc, b, c=c: acc + F.when(F.col(c) > b, 1).otherwise(0)
-        ).cast("long")
+        slot = _slot(F.col(c), edges).cast("long")
         for bit in range(bits):
             one = F.shiftright(slot, bit).bitwiseAND(F.lit(1))
             z = z.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
     return df.withColumn("_z", z)
 
 
+def _slot(value: Column, edges: Column) -> Column:
+    """How many of the edges the value exceeds."""
+    return F.aggregate(
+        edges, F.lit(0), lambda acc, edge: acc + F.when(value > edge, 1).otherwise(0)
+    )
+
+
 def z_ordered(df: DataFrame, columns: Sequence[str], files: int, bits: int = 8) -> DataFrame:
     return z_value(df, columns, bits).repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z")
 

@@ -10,5 +10,8 @@ from tidemark.plans import (  # noqa: F401
     dimensions,
     tables,
     checks,
+    spend,
+    questions,
+    feature_tables,
 )
 from tidemark.plans.registry import NATIVE, ORACLES, QUERIES  # noqa: F401
