@@ -13,5 +13,6 @@ from tidemark.plans import (  # noqa: F401
     spend,
     questions,
     feature_tables,
+    streams,
 )
 from tidemark.plans.registry import NATIVE, ORACLES, QUERIES  # noqa: F401

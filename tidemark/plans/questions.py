@@ -62,8 +62,8 @@ def cosine_pairs(spark, sf):
 HYBRID = f"""{CENTROIDS}, {TOP.format(where='')}, s2 AS (SELECT CAST(q.label AS BIGINT) AS question_id, vec_id, list_cosine_similarity(e.v, q.v) AS sim
     FROM q JOIN e USING (label)), t2 AS (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY sim DESC, vec_id) AS rank FROM s2),
     b AS (SELECT question_id, vec_id, 0 AS src, rank FROM t WHERE rank <= 10 UNION ALL SELECT question_id, vec_id, 1, rank FROM t2 WHERE rank <= 10),
-    f AS (SELECT question_id, vec_id, MIN(src * 1000 + rank) AS at FROM b GROUP BY 1, 2),
-    h AS (SELECT question_id, vec_id, row_number() OVER (PARTITION BY question_id ORDER BY at, vec_id) AS position FROM f)"""
+    f AS (SELECT question_id, vec_id, MIN(src * 1000 + rank) AS pos FROM b GROUP BY 1, 2),
+    h AS (SELECT question_id, vec_id, row_number() OVER (PARTITION BY question_id ORDER BY pos, vec_id) AS position FROM f)"""
 
 
 def _hybrid(spark, sf):
