@@ -23,6 +23,10 @@ MULTI_STEP_PHRASES = [
     "and then", "followed by", "compared to", "versus", "top and bottom", "trend",
 ]
 SCREENED_TOKENS = ["DROP", "DELETE", "UPDATE", "--", ";"]
+NOT_SELECT = "Only SELECT queries are allowed"
+CHAINED = "Multiple statements not allowed"
+FORBIDDEN = "Forbidden keyword: "
+NO_TABLE = "Query must reference one of: "
 QUESTION_CLASSES = {
     "cost": ["cost", "spend", "bill", "budget"],
     "resource": ["resource", "instance", "volume", "service"],
@@ -67,14 +71,14 @@ def sql_errors(
 ) -> Column:
     """The rules a SQL text breaks, as an array; empty when it is acceptable."""
     checks = [
-        F.when(has_word(sql, [v]), F.lit(f"Forbidden keyword: {v}")) for v in verbs
+        F.when(has_word(sql, [v]), F.lit(FORBIDDEN + v)) for v in verbs
     ]
     checks += [
-        F.when(~sql.rlike(r"(?i)^\s*select\b"), F.lit("Only SELECT queries are allowed")),
-        F.when(sql.rlike(r";\s*\S"), F.lit("Multiple statements not allowed")),
+        F.when(~sql.rlike(r"(?i)^\s*select\b"), F.lit(NOT_SELECT)),
+        F.when(sql.rlike(r";\s*\S"), F.lit(CHAINED)),
         F.when(
             ~has_word(sql, tables),
-            F.lit("Query must reference one of: " + ", ".join(tables)),
+            F.lit(NO_TABLE + ", ".join(tables)),
         ),
     ]
     return F.array_compact(F.array(*checks))

@@ -102,9 +102,13 @@ def new_rows(source: DataFrame, ts: str, high_water, look_back: str) -> DataFram
 
 
 def refresh_partitions(df: DataFrame, path: str, column: str) -> None:
-    """Replace only the partitions present in ``df``; others are left alone."""
+    """Replace only the partitions present in ``df``; others are left alone.
+
+    Rows are ranged by partition and row hash: few files per partition, and a
+    partition with much data is written by several tasks.
+    """
     (
-        df.repartitionByRange(column)
+        df.repartitionByRange(F.col(column), F.xxhash64(*df.columns))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)

@@ -4,19 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import place
 
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
-def broadcast_checked(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def fits_broadcast(
+    df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> bool:
+    """Whether a side is proven small in rows and in bytes (as text).
+
+    Looks at no more than ``max_rows`` + 1 rows.
+    """
+    size = F.sum(F.length(F.to_json(F.struct(*df.columns))))
+    n, width = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).first()
+    return n <= max_rows and width <= max_bytes
+
+
+def broadcast_checked(df: DataFrame, **bounds: int) -> DataFrame:
     """Hint a broadcast only when the side is proven small; else leave it to AQE."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, **bounds) else df
 
 
 def entitled(df: DataFrame, grants: DataFrame, on: Sequence[str]) -> DataFrame:
@@ -37,7 +48,8 @@ def salted_join(
     """Spread each key of the fact over ``salts`` tasks and copy the dimension.
 
     ``how`` is inner or left (fact side kept). The salt is a hash of the whole row, so
-    a retried task draws the same salt.
+    a retried task draws the same salt. Equal rows share a salt; should one group of
+    copies alone be too large for a task, AQE splits that partition of the join.
     """
     if how not in ("inner", "left"):
         raise ValueError("only the fact side may be preserved")
@@ -56,23 +68,19 @@ def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
 
 
 def hybrid_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str,
-    share: float = 0.001,
-    max_rows: int = BROADCAST_ROWS,
+    fact: DataFrame, dim: DataFrame, on: str, share: float = 0.001, **bounds: int
 ) -> DataFrame:
     """Inner join: hot keys against a broadcast slice of the dimension, rest shuffled.
 
     The hot key list is bounded by 1/share. The dimension slice is broadcast only if
-    its row count is within ``max_rows``; otherwise the hot part is salted.
+    it is proven small; otherwise the hot part is salted.
     """
     hot = F.broadcast(hot_keys(fact, on, share))
     # NULL keys match nothing in an inner join, so neither part needs them.
     busy = fact.join(hot, on, "left_semi")
     calm = fact.join(hot, on, "left_anti").filter(F.col(on).isNotNull())
     slice_ = dim.join(hot, on, "left_semi")
-    if slice_.limit(max_rows + 1).count() <= max_rows:
+    if fits_broadcast(slice_, **bounds):
         joined = busy.join(F.broadcast(slice_), on)
     else:
         joined = salted_join(busy, slice_, on)
@@ -109,19 +117,45 @@ def as_of_join(
 
 
 def version_at(
-    facts: DataFrame, dim: DataFrame, key: str, at: str, start: str, end: str
+    facts: DataFrame,
+    dim: DataFrame,
+    key: str,
+    at: str,
+    start: str,
+    end: str,
+    ident: str,
+    most_versions: int = 64,
+    **how,
 ) -> DataFrame:
-    """The dimension version valid at the fact's date; half-open, NULL end is open."""
-    hit = (
-        (F.col(f"f.{key}") == F.col(f"d.{key}"))
-        & (F.col(f"d.{start}") <= F.col(f"f.{at}"))
-        & (F.col(f"d.{end}").isNull() | (F.col(f"d.{end}") > F.col(f"f.{at}")))
-    )
+    """The dimension version valid at the fact's date; half-open, NULL end is open.
+
+    Versions of a key must not overlap (see ``timeline_faults``). A small dimension
+    with few versions per key is broadcast. Otherwise the newest version that starts
+    at or before the fact is found by the as-of scan, and kept if it has not ended:
+    one sort, however many facts and versions a key has. ``ident`` identifies facts.
+    """
     extra = [c for c in dim.columns if c not in facts.columns]
-    return (
-        facts.alias("f")
-        .join(dim.alias("d"), hit, "left")
-        .select("f.*", *[f"d.{c}" for c in extra])
+    if fits_broadcast(dim):
+        top = dim.groupBy(key).count().agg(F.max("count")).first()[0] or 0
+        if top <= most_versions:
+            hit = (
+                (F.col(f"f.{key}") == F.col(f"d.{key}"))
+                & (F.col(f"d.{start}") <= F.col(f"f.{at}"))
+                & (F.col(f"d.{end}").isNull() | (F.col(f"d.{end}") > F.col(f"f.{at}")))
+            )
+            joined = facts.alias("f").join(F.broadcast(dim.alias("d")), hit, "left")
+            return joined.select("f.*", *[f"d.{c}" for c in extra])
+    kind = dict(facts.dtypes)[at]
+    versions = dim.withColumn("_at", F.col(start).cast(kind)).withColumn("_id", F.lit(0).cast("long"))
+    rows = facts.withColumn("_at", F.col(at)).withColumn("_id", F.col(ident))
+    seen = as_of_join(rows, versions, key, "_at", "_id", extra, **how)
+    ended = F.col(f"last_{end}").cast(kind) <= F.col(at)
+    return seen.select(
+        *facts.columns,
+        *[
+            F.when(F.coalesce(ended, F.lit(False)), None).otherwise(F.col(f"last_{c}")).alias(c)
+            for c in extra
+        ],
     )
 
 
@@ -259,8 +293,12 @@ def engagement(
 
 
 def covering(
-    requests: DataFrame, accounts: DataFrame, key: str, account_key: str, need: Column
+    requests: DataFrame, accounts: DataFrame, key: str, account_key: str, amount: str, balance: str
 ) -> DataFrame:
-    """Requests for which some account row satisfies ``need``; rows never multiply."""
-    hit = (F.col(f"r.{key}") == F.col(f"a.{account_key}")) & need
-    return requests.alias("r").join(accounts.alias("a"), hit, "left_semi")
+    """Requests that some account row of the key can cover; rows never multiply.
+
+    Accounts are reduced to their largest balance first, so an account number that
+    occurs many times costs one row in the join.
+    """
+    best = accounts.groupBy(F.col(account_key).alias(key)).agg(F.max(balance).alias("_best"))
+    return requests.join(best, key).filter(F.col(amount) <= F.col("_best")).drop("_best")

@@ -79,17 +79,20 @@ def _best_of_block(vectors, rows, k, ident, column, question, category) -> DataF
             if batch.empty or not names:
                 continue
             data = np.stack(batch[column].to_numpy()).astype(np.float64)
-            data /= np.linalg.norm(data, axis=1, keepdims=True)
-            scores = data @ matrix.T
+            norms = np.linalg.norm(data, axis=1, keepdims=True)
+            scores = (data / np.where(norms == 0, 1, norms)) @ matrix.T
+            scores[norms[:, 0] == 0] = -np.inf  # a zero vector is similar to nothing
             ids = batch[ident].to_numpy()
-            for i in range(len(names)):
-                mine = scores[:, i]
-                keys = ids
-                if groups is not None:
-                    same = batch[category].to_numpy() == groups[i]
-                    mine, keys = mine[same], keys[same]
-                mine = np.concatenate([best[i][0], mine])
-                keys = np.concatenate([best[i][1], keys])
+            if groups is not None:
+                other = batch[category].to_numpy()[:, None] != np.asarray(groups)[None, :]
+                scores[other] = -np.inf
+            # Everything at or above the k-th score, so that ties are all considered.
+            at = max(len(ids) - k, 0)
+            floors = np.maximum(np.partition(scores, at, axis=0)[at], np.finfo(float).min)
+            for i, floor in enumerate(floors):
+                near = np.flatnonzero(scores[:, i] >= floor)
+                mine = np.concatenate([best[i][0], scores[near, i]])
+                keys = np.concatenate([best[i][1], ids[near]])
                 top = np.lexsort((keys, -mine))[:k]
                 best[i] = (mine[top], keys[top])
         for name, (mine, keys) in zip(names, best):

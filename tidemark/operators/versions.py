@@ -13,6 +13,7 @@ import json
 import math
 import time
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -221,14 +222,23 @@ class Dataset:
         for text, parts in groups.items():
             rows = self._read_group(schema, json.loads(text), parts, start, end)
             out = rows if out is None else out.unionByName(rows)
-        for d in commit.deletes:
-            gone = self.spark.read.parquet(f"{self.root}/deletes/_v={d}")
-            keys = gone.columns
-            # A key deleted at d hides rows written before d; later rows are new.
-            older = out.filter(F.col("_v") < d).join(gone, keys, "left_anti")
-            out = older.unionByName(out.filter(F.col("_v") >= d))
+        for keys, gone in self._delete_sets(commit.deletes):
+            # A key deleted at _d hides rows written before it; later rows are new.
+            older = [out[k].eqNullSafe(gone[f"_k_{k}"]) for k in keys]
+            hidden = reduce(lambda a, b: a & b, older) & (out["_v"] < gone["_d"])
+            out = out.join(gone, hidden, "left_anti")
         return out.select(*schema.names)
 
+    def _delete_sets(self, versions: Sequence[int]):
+        """Delete sets with the same key columns as one table (keys, newest delete)."""
+        sets: dict[tuple[str, ...], DataFrame] = {}
+        for d in versions:
+            one = self.spark.read.parquet(f"{self.root}/deletes/_v={d}").withColumn("_d", F.lit(d).cast("long"))
+            keys = tuple(c for c in one.columns if c != "_d")
+            sets[keys] = sets[keys].unionByName(one) if keys in sets else one
+        for keys, rows in sets.items():
+            yield keys, rows.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max("_d").alias("_d"))
+
     def _read_group(self, schema, layout, parts, start, end) -> DataFrame:
         stored = [*schema.fields, T.StructField("_v", T.LongType())]
         if layout.get("column"):

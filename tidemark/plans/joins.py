@@ -35,8 +35,8 @@ def orders_customer(spark, sf):
 )
 def covered_orders(spark, sf):
     """Orders some account row can cover; duplicate accounts would not multiply them."""
-    need = F.col("r.amount") <= F.col("a.balance") * 20
-    rows = J.covering(orders(spark, sf), customers(spark, sf), "customer_id", "customer_id", need)
+    limits = customers(spark, sf).withColumn("credit", F.col("balance") * 20)
+    rows = J.covering(orders(spark, sf), limits, "customer_id", "customer_id", "amount", "credit")
     return rows.select("order_id", "amount")
 
 
@@ -171,9 +171,9 @@ def priority_dim(spark, sf):
 def point_in_time(spark, sf):
     dim = priority_dim(spark, sf).withColumnRenamed("priority", "valid_priority").drop("is_current")
     facts = orders(spark, sf).select("order_id", "customer_id", "order_date")
-    return J.version_at(facts, dim, "customer_id", "order_date", "effective_date", "expiration_date").select(
-        "order_id", "valid_priority", "effective_date"
-    )
+    return J.version_at(
+        facts, dim, "customer_id", "order_date", "effective_date", "expiration_date", "order_id"
+    ).select("order_id", "valid_priority", "effective_date")
 
 
 @query(
@@ -186,9 +186,9 @@ def versioned_revenue(spark, sf):
     """Facts carry the surrogate key of their version and join on it alone."""
     dim = priority_dim(spark, sf).withColumn("customer_key", F.xxhash64("customer_id", "effective_date"))
     facts = J.version_at(
-        orders(spark, sf).select("customer_id", "amount", "order_date"),
+        orders(spark, sf).select("order_id", "customer_id", "amount", "order_date"),
         dim.select("customer_id", "customer_key", "effective_date", "expiration_date"),
-        "customer_id", "order_date", "effective_date", "expiration_date",
+        "customer_id", "order_date", "effective_date", "expiration_date", "order_id", most_versions=0,
     ).select("customer_key", "amount")
     return (
         facts.join(dim.select("customer_key", "priority"), "customer_key")

@@ -187,6 +187,19 @@ def record_clusters(spark, sf):
     return D.clusters(_matches(spark, sf), "record", "leader")
 
 
+@query(
+    "fuzzy_brands",
+    """WITH f AS (SELECT DISTINCT p_partkey AS record, form FROM (SELECT p_partkey, p_brand AS form FROM part
+    UNION ALL SELECT p_partkey, substr(p_brand, 1, i - 1) || substr(p_brand, i + 1) FROM part, range(1, 20) AS t(i) WHERE i <= length(p_brand))),
+    l AS (SELECT form, MIN(record) AS leader FROM f GROUP BY 1 HAVING COUNT(*) > 1)
+    SELECT DISTINCT record, leader FROM f JOIN l USING (form) WHERE record <> leader""",
+)
+def fuzzy_brands(spark, sf):
+    """Parts whose brand texts are one edit apart, linked without comparing pairs."""
+    rule = D.Rule("brand", D.one_edit(F.col("p_brand")), 1.0)
+    return D.match_records(table(spark, sf, "part"), "p_partkey", [rule], 1.0).select("record", "leader")
+
+
 @query("near_copies")
 def near_copies(spark, sf):
     """Near copies of whole documents with their verified similarity."""

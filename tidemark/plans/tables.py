@@ -89,6 +89,17 @@ def table_summary(spark, sf):
     return data.summary().select("versions", "schemas", "layouts", "head")
 
 
+@query(
+    "version_backlog",
+    "SELECT 3::BIGINT AS versions, true AS oldest_is_recent FROM region LIMIT 1",
+)
+def version_backlog(spark, sf):
+    """How many versions have piled up, and whether the oldest is within seven days."""
+    summary = _dataset(spark, sf).summary()
+    age_ms = F.unix_millis(F.current_timestamp()) - F.col("oldest_ms")
+    return summary.select("versions", (age_ms < 7 * 86_400_000).alias("oldest_is_recent"))
+
+
 @query(
     "partition_files",
     "SELECT strftime(o_orderdate, '%Y-%m') AS part, COUNT(*) AS rows FROM orders GROUP BY 1",

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import cut
+
 CORRUPT = "_corrupt"
 
 
@@ -23,7 +25,11 @@ def infer_csv(spark: SparkSession, path: str) -> DataFrame:
 def load_csv(
     spark: SparkSession, path: str, schema: T.StructType, checks: Column | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(good rows, rejected raw lines): a load that continues past bad rows."""
+    """(good rows, rejected rows with their raw line): a load that continues past bad rows.
+
+    The parsed rows are materialised once: a query that reads few columns would parse
+    only those and overlook bad values in the others.
+    """
     wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     rows = (
         spark.read.schema(wide)
@@ -32,6 +38,7 @@ def load_csv(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .csv(path)
     )
+    rows = cut(rows)
     bad = F.col(CORRUPT).isNotNull()
     if checks is not None:
         bad = bad | ~F.coalesce(checks, F.lit(False))
