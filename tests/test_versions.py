@@ -49,6 +49,28 @@ def test_schema_evolution_and_summary(spark, lake):
     assert [r.operation for r in lake.history().collect()] == ["create", "append", "append", "add_column", "append"]
 
 
+def test_rename_drop_reorder(spark, lake):
+    lake.rename_column("product", "item")
+    lake.append(second(spark).withColumnRenamed("product", "item"))
+    assert lake.read().filter("item IS NOT NULL").count() == 8
+    assert lake.read(version=1).columns[2] == "product"
+    lake.drop_column("quantity")
+    assert "quantity" not in lake.read().columns
+    lake.add_column("quantity", "int")
+    assert lake.read().filter("quantity IS NOT NULL").count() == 0  # old values stay gone
+    names = sorted(lake.read().columns)
+    lake.reorder_columns(names)
+    assert lake.read().columns == names
+    lake.delete_keys(spark.createDataFrame([("Mouse",)], "item string"))
+    assert lake.read().count() == 7 and lake.delete_backlog().first().deleted_keys == 1
+    lake.drop_column("item")
+    assert lake.read().count() == 7  # the delete still applies
+    lake.compact()
+    assert lake.read().count() == 7 and lake.delete_backlog().count() == 0
+    lake.append(second(spark).drop("product"))
+    assert lake.read().count() == 10 and lake.read().filter("quantity IS NOT NULL").count() == 3
+
+
 def test_time_range_prunes_folders(spark, lake):
     lake.append(second(spark))
     rows = lake.read(start=datetime(2024, 3, 5), end=datetime(2024, 4, 1))

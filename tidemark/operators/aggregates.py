@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import month_index, money
 from tidemark.operators.ordered import place
+from tidemark.session import cut
 
 
 def with_group_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
@@ -159,7 +160,8 @@ def cohorts(activity: DataFrame, member: str, at: str, offsets: Sequence[int]) -
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, **how) -> DataFrame:
     """Median per key through ranks; no key's values are gathered in memory."""
-    counted = (
+    # Read for measuring, ranking and sizing, so it is materialised once.
+    counted = cut(
         df.filter(F.col(value).isNotNull())
         .groupBy(*keys, value)
         .agg(F.count("*").alias("_n"))
@@ -194,8 +196,9 @@ def trend_slope(monthly: DataFrame, keys: Sequence[str], index: str, value: str)
 def top_share(spend: DataFrame, keys: Sequence[str], member: str, value: str, share: float):
     """Members within the top ``share`` of their group by value (percent rank).
 
-    Input: one row per group and member.
+    Input: one row per group and member; it is materialised once.
     """
+    spend = cut(spend)
     counted = spend.groupBy(*keys).agg(F.count("*").alias("_size"))
     neg = spend.withColumn("_m", -F.col(value))
     ordered = place(neg, keys, ["_m", member]).running_sum(_rn=F.lit(1).cast("long"))

@@ -178,8 +178,9 @@ def place(
 ) -> Ordered:
     """Prepare rows for ordered scans. ``order`` must be total inside a key.
 
-    ``mode`` is ``auto`` (measure the largest key), ``window`` or ``chunked``.
-    ``chunks`` fixes the number of ranges; by default AQE sizes them.
+    ``mode`` is ``auto`` (measure the largest key), ``window`` or ``chunked``. Give
+    ``window`` where rows per key are bounded by construction, such as one row per key
+    and month; it saves measuring. ``chunks`` fixes the number of ranges; by default AQE sizes them.
     """
     if mode == "auto":
         top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
@@ -241,8 +242,8 @@ def exact_quantiles(
     Ranks come from the ordered scan, so no group's values are held in memory.
     Probabilities are given in thousandths to keep the rank arithmetic in integers.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(
-        F.count("*").alias("_n")
+    counted = cut(
+        df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
     )
     ordered = place(counted, keys, [value], **how).running_sum(_upto=F.col("_n"))
     rows = ordered.df

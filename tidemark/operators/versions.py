@@ -15,6 +15,8 @@ import time
 from collections.abc import Sequence
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -95,7 +97,11 @@ class Dataset:
         """An empty version 0. ``layout``: column, transform, width of the partition."""
         return self._commit(0, None, "create", [], [], layout or {}, schema)
 
-    def _write(self, df: DataFrame, version: int, layout: dict, files: int | None = None):
+    def _write(
+        self, df: DataFrame, version: int, layout: dict, schema: T.StructType, files: int | None = None
+    ):
+        stored = {f.name: _stored(f) for f in schema.fields}
+        df = df.select(*[F.col(c).alias(stored.get(c, c)) for c in df.columns])
         path = f"{self.root}/data/_v={version}"
         sort = layout.get("sort", [])
         if not layout.get("column"):
@@ -127,9 +133,9 @@ class Dataset:
         last = commits[-1] if commits else None
         version = last.version + 1 if last else 0
         layout = json.loads(last.layout) if last else {}
-        self._write(df, version, layout)
+        schema = _merged(_schema(last), df.schema) if last else df.schema
+        self._write(df, version, layout, schema)
         parts = [*(last.parts if last else []), version]
-        schema = _merged(T.StructType.fromJson(json.loads(last.schema)), df.schema) if last else df.schema
         return self._commit(
             version, last.version if last else None, "append", parts,
             list(last.deletes) if last else [], layout, schema, batch,
@@ -148,40 +154,82 @@ class Dataset:
         last = commits[-1] if commits else None
         version = last.version + 1 if last else 0
         chosen = layout if layout is not None else (json.loads(last.layout) if last else {})
-        self._write(df, version, chosen, files)
+        schema = _kept(_schema(last), df.schema) if last else df.schema
+        self._write(df, version, chosen, schema, files)
         return self._commit(
             version, last.version if last else None, operation, [version], [], chosen,
-            df.schema, batch,
+            schema, batch,
         )
 
     def delete_keys(self, keys: DataFrame) -> int:
         """Keep deletes as a separate key set; readers apply it to older rows only."""
         last = self._last()
         version = last.version + 1
+        stored = {f.name: _stored(f) for f in _schema(last).fields}
+        keys = keys.select(*[F.col(c).alias(stored[c]) for c in keys.columns])
         keys.distinct().write.mode("overwrite").parquet(f"{self.root}/deletes/_v={version}")
         return self._commit(
             version, last.version, "delete", list(last.parts), [*last.deletes, version],
-            json.loads(last.layout), T.StructType.fromJson(json.loads(last.schema)),
+            json.loads(last.layout), _schema(last),
         )
 
+    def delete_backlog(self) -> DataFrame:
+        """Pending delete sets with their keys: many mean a compaction is due."""
+        out = self.spark.createDataFrame([], "version long, deleted_keys long")
+        for d in self._last().deletes:
+            one = self.spark.read.parquet(f"{self.root}/deletes/_v={d}")
+            out = out.unionByName(
+                one.agg(F.lit(d).cast("long").alias("version"), F.count("*").alias("deleted_keys"))
+            )
+        return out
+
     def set_layout(self, layout: dict) -> int:
         """New partitioning for later versions; old files stay as they are."""
         last = self._last()
+        if layout.get("column"):
+            stored = {f.name: _stored(f) for f in _schema(last).fields}
+            layout = {**layout, "column": stored[layout["column"]]}
         return self._commit(
             last.version + 1, last.version, "layout", list(last.parts), list(last.deletes),
-            layout, T.StructType.fromJson(json.loads(last.schema)),
+            layout, _schema(last),
         )
 
-    def add_column(self, name: str, kind: str) -> int:
-        """A new nullable column; existing files are not rewritten."""
+    def _evolve(self, operation: str, schema: T.StructType) -> int:
         last = self._last()
-        schema = T.StructType.fromJson(json.loads(last.schema))
-        added = T.StructType([*schema.fields, *T.StructType.fromDDL(f"{name} {kind}").fields])
         return self._commit(
-            last.version + 1, last.version, "add_column", list(last.parts),
-            list(last.deletes), json.loads(last.layout), added,
+            last.version + 1, last.version, operation, list(last.parts), list(last.deletes),
+            json.loads(last.layout), schema,
         )
 
+    def add_column(self, name: str, kind: str) -> int:
+        """A new nullable column; existing files are not rewritten.
+
+        Should the name have been used before, the new column is stored under another
+        one, so that a dropped column's values never come back.
+        """
+        fields = _schema(self._last()).fields
+        used = {_stored(f) for c in self._commits() for f in _schema(c).fields}
+        fresh = T.StructType.fromDDL(f"{name} {kind}").fields[0]
+        if name in used:
+            fresh = T.StructField(name, fresh.dataType, True, {"stored": f"{name}__{self.head() + 1}"})
+        return self._evolve("add_column", T.StructType([*fields, fresh]))
+
+    def rename_column(self, old: str, new: str) -> int:
+        """Only the schema changes; files keep the stored name."""
+        fields = [
+            T.StructField(new, f.dataType, f.nullable, {"stored": _stored(f)}) if f.name == old else f
+            for f in _schema(self._last()).fields
+        ]
+        return self._evolve("rename_column", T.StructType(fields))
+
+    def drop_column(self, name: str) -> int:
+        fields = [f for f in _schema(self._last()).fields if f.name != name]
+        return self._evolve("drop_column", T.StructType(fields))
+
+    def reorder_columns(self, names: Sequence[str]) -> int:
+        schema = _schema(self._last())
+        return self._evolve("reorder_columns", T.StructType([schema[n] for n in names]))
+
     # --- reading --------------------------------------------------------------
 
     def resolve(
@@ -211,7 +259,7 @@ class Dataset:
         the partition predicate is derived here, so whole folders are skipped.
         """
         commit = self.resolve(**when)
-        schema = T.StructType.fromJson(json.loads(commit.schema))
+        schema = _schema(commit)
         layouts = {c.version: json.loads(c.layout) for c in self._commits()}
         if not commit.parts:
             return self.spark.createDataFrame([], schema)
@@ -227,7 +275,7 @@ class Dataset:
             older = [out[k].eqNullSafe(gone[f"_k_{k}"]) for k in keys]
             hidden = reduce(lambda a, b: a & b, older) & (out["_v"] < gone["_d"])
             out = out.join(gone, hidden, "left_anti")
-        return out.select(*schema.names)
+        return out.select(*[F.col(_stored(f)).alias(f.name) for f in schema.fields])
 
     def _delete_sets(self, versions: Sequence[int]):
         """Delete sets with the same key columns as one table (keys, newest delete)."""
@@ -240,15 +288,19 @@ class Dataset:
             yield keys, rows.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max("_d").alias("_d"))
 
     def _read_group(self, schema, layout, parts, start, end) -> DataFrame:
-        stored = [*schema.fields, T.StructField("_v", T.LongType())]
-        if layout.get("column"):
+        stored = [T.StructField(_stored(f), f.dataType) for f in schema.fields]
+        column = layout.get("column")
+        needed = {_stored(f) for f in schema.fields}
+        for extra in self._hidden_fields(column, needed):
+            stored.append(extra)
+        stored.append(T.StructField("_v", T.LongType()))
+        if column:
             stored.append(T.StructField(PART, T.StringType()))
         rows = (
             self.spark.read.schema(T.StructType(stored))
             .option("basePath", f"{self.root}/data")
             .parquet(*[f"{self.root}/data/_v={p}" for p in parts])
         )
-        column = layout.get("column")
         timed = layout.get("transform") in ("year", "month", "day", "hour")
         for bound, is_start in ((start, True), (end, False)):
             if bound is None or not column:
@@ -264,6 +316,14 @@ class Dataset:
                 rows = rows.filter(F.col(PART) >= part if is_start else F.col(PART) <= part)
         return rows.drop(PART)
 
+    def _hidden_fields(self, column: str | None, known: set[str]) -> list[T.StructField]:
+        """Stored columns no longer in the schema that a layout or a delete still needs."""
+        last = self._commits()
+        keys = {c for d in last[-1].deletes for c in self.spark.read.parquet(f"{self.root}/deletes/_v={d}").columns}
+        wanted = ({column} if column else set()) | keys
+        found = {_stored(f): f.dataType for c in last for f in _schema(c).fields}
+        return [T.StructField(n, found[n]) for n in sorted(wanted - known) if n in found]
+
     # --- metadata ---------------------------------------------------------------
 
     def history(self) -> DataFrame:
@@ -362,11 +422,33 @@ class Dataset:
         return listed.join(used, "v", "left_anti").select("path", "length")
 
 
+def _schema(commit) -> T.StructType:
+    return T.StructType.fromJson(json.loads(commit.schema))
+
+
+def _stored(field: T.StructField) -> str:
+    """The name of a column inside the files."""
+    return (field.metadata or {}).get("stored", field.name)
+
+
 def _merged(old: T.StructType, new: T.StructType) -> T.StructType:
     known = set(old.names)
     return T.StructType([*old.fields, *[f for f in new.fields if f.name not in known]])
 
 
+def _kept(old: T.StructType, new: T.StructType) -> T.StructType:
+    """The new schema, with the stored names of columns that stay."""
+    names = {f.name: _stored(f) for f in old.fields}
+    return T.StructType(
+        [
+            T.StructField(f.name, f.dataType, f.nullable, {"stored": names[f.name]})
+            if f.name in names
+            else f
+            for f in new.fields
+        ]
+    )
+
+
 # --- layout jobs over any file set --------------------------------------------------
 
 
@@ -390,31 +472,32 @@ def sorted_layout(df: DataFrame, part: Column, columns: Sequence[str], files: in
     )
 
 
-def z_value(df: DataFrame, columns: Sequence[str], bits: int = 8) -> DataFrame:
-    """Append ``_z``: interleaved bits of each column's quantile bucket."""
+def z_value(df: DataFrame, columns: Sequence[str], bits: int = 10) -> DataFrame:
+    """Append ``_z``: interleaved bits of each numeric column's quantile bucket."""
     n = 1 << bits
     probs = [i / n for i in range(1, n)]
-    bounds = df.agg(
-        *[F.percentile_approx(c, probs, 10000).alias(c) for c in columns]
-    ).first()
+    bounds = df.agg(*[F.percentile_approx(c, probs, 10000).alias(c) for c in columns]).first()
     z = F.lit(0).cast("long")
     for i, c in enumerate(columns):
-        edges = F.lit(list(bounds[c]) if bounds[c] is not None else [])
-        slot = _slot(F.col(c), edges).cast("long")
+        slot = _slots(bounds[c] or [])(F.col(c).cast("double"))
         for bit in range(bits):
-            one = F.shiftright(slot, bit).bitwiseAND(F.lit(1))
+            one = F.shiftright(slot, bit).bitwiseAND(F.lit(1).cast("long"))
             z = z.bitwiseOR(F.shiftleft(one, bit * len(columns) + i))
     return df.withColumn("_z", z)
 
 
-def _slot(value: Column, edges: Column) -> Column:
-    """How many of the edges the value exceeds."""
-    return F.aggregate(
-        edges, F.lit(0), lambda acc, edge: acc + F.when(value > edge, 1).otherwise(0)
-    )
+def _slots(edges: Sequence[float]):
+    """How many of the edges a value exceeds, by binary search on Arrow batches."""
+    sorted_edges = np.asarray(edges, dtype=np.float64)
+
+    @F.pandas_udf("long")
+    def slot(values: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(sorted_edges, values.to_numpy(), side="left"))
+
+    return slot
 
 
-def z_ordered(df: DataFrame, columns: Sequence[str], files: int, bits: int = 8) -> DataFrame:
+def z_ordered(df: DataFrame, columns: Sequence[str], files: int, bits: int = 10) -> DataFrame:
     return z_value(df, columns, bits).repartitionByRange(files, "_z").sortWithinPartitions("_z").drop("_z")
 
 

@@ -105,9 +105,8 @@ def _late_dim(spark, sf):
             .agg(F.max_by("priority", F.struct("order_date", "order_id")).alias("priority"))
         )
 
-    dim = S.rebuild_timeline(monthly("completed"), monthly("completed").limit(0), ["customer_id"], ["priority"])
-    # The raw months, not the collapsed versions, are the base the late rows join.
-    return dim, monthly("completed"), monthly("pending")
+    # The raw months, not collapsed versions, are the base the late rows join.
+    return monthly("completed"), monthly("pending")
 
 
 @query(
@@ -117,8 +116,8 @@ def _late_dim(spark, sf):
 )
 def late_arrivals(spark, sf):
     """Rows that arrive late by business date shift the versions around them."""
-    _, base, late = _late_dim(spark, sf)
-    out = S.rebuild_timeline(base, late, ["customer_id"], ["priority"])
+    base, late = _late_dim(spark, sf)
+    out = S.rebuild_timeline(base, late, ["customer_id"], ["priority"], mode="window")
     return out.select("customer_id", "priority", "effective_date", "expiration_date")
 
 
@@ -285,7 +284,7 @@ def salary_history(spark, sf):
         .groupBy(F.col("customer_id").alias("employee"), F.trunc("order_date", "year").alias("effective_date"))
         .agg(F.max("amount").alias("salary"))
     )
-    out = S.rebuild_timeline(yearly, yearly.limit(0), ["employee"], ["salary"])
+    out = S.rebuild_timeline(yearly, yearly.limit(0), ["employee"], ["salary"], mode="window")
     return out.select("employee", "salary", "effective_date", "expiration_date")
 
 
@@ -296,6 +295,6 @@ def salary_history(spark, sf):
 def timeline_check(spark, sf):
     """No overlaps, no gaps, one current row in the rebuilt dimension."""
     dim = priority_dim(spark, sf)
-    faults = S.timeline_faults(dim, ["customer_id"]).select("customer_id", F.lit(1).alias("bad"))
+    faults = S.timeline_faults(dim, ["customer_id"], mode="window").select("customer_id", F.lit(1).alias("bad"))
     keys = dim.select("customer_id").distinct().join(faults, "customer_id", "left")
     return keys.agg(F.count("bad").alias("faulty_keys"), F.count("*").alias("checked_keys"))

@@ -14,7 +14,7 @@ from tidemark.operators.ordered import exact_quantiles
 from tidemark.operators.ranking import top_n_per_group
 from tidemark.plans.frames import EVENTS_AS_OF, events
 from tidemark.plans.registry import query, table
-from tidemark.session import fresh_path
+from tidemark.session import fresh_path, widen
 from tidemark.sources.files import data_files
 
 KINDS = ["view", "click", "purchase"]
@@ -161,7 +161,7 @@ def ab_lift(spark, sf):
 def pii_counts(spark, sf):
     """Personal data found in whole texts."""
     counts = X.pii_counts(F.col("text"))
-    return table(spark, sf, "documents").agg(*[F.sum(c).alias(n) for n, c in counts.items()])
+    return widen(table(spark, sf, "documents")).agg(*[F.sum(c).alias(n) for n, c in counts.items()])
 
 
 def _hidden_sql():
@@ -173,7 +173,7 @@ def _hidden_sql():
 
 @query("pii_hidden", f"SELECT doc_id, md5({_hidden_sql()}) AS hidden FROM documents")
 def pii_hidden(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.md5(X.hide_pii(F.col("text"))).alias("hidden"))
+    return widen(table(spark, sf, "documents")).select("doc_id", F.md5(X.hide_pii(F.col("text"))).alias("hidden"))
 
 
 @query(
@@ -227,7 +227,7 @@ def rle_round_trip(spark, sf):
     ).agg(F.min("event_type").alias("value"))
     from tidemark.operators.ordered import islands, place
 
-    ordered = place(hourly, ["series"], ["ts"])
+    ordered = place(hourly, ["series"], ["ts"], mode="window")
     turn = ~F.col("_v").eqNullSafe(F.col("value")) | (F.col("ts") != F.col("_t") + F.expr("INTERVAL 1 HOUR"))
     runs = islands(ordered, turn, {"_v": F.col("value"), "_t": F.col("ts")}).df.groupBy("series", "island").agg(
         F.min("ts").alias("run_start"), F.max("ts").alias("run_end"), F.min("value").alias("run_value")

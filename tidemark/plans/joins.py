@@ -18,6 +18,7 @@ from tidemark.plans.frames import (
     sales,
 )
 from tidemark.plans.registry import query, table
+from tidemark.session import cut
 
 
 @query(
@@ -159,7 +160,8 @@ def priority_dim(spark, sf):
         .groupBy("customer_id", F.trunc("order_date", "month").alias("effective_date"))
         .agg(F.max_by("priority", F.struct("order_date", "order_id")).alias("priority"))
     )
-    return rebuild_timeline(months, months.limit(0), ["customer_id"], ["priority"])
+    # One row per customer and month bounds each key; read several times by callers.
+    return cut(rebuild_timeline(months, months.limit(0), ["customer_id"], ["priority"], mode="window"))
 
 
 @query(

@@ -1,4 +1,8 @@
-"""Ranks, running values and runs over the mapped tables."""
+"""Ranks, running values and runs over the mapped tables.
+
+Inputs with one row per key and day, hour or month are bounded by the calendar, so
+they use the plain window; raw rows go through the measured ordered scan.
+"""
 
 from __future__ import annotations
 
@@ -220,7 +224,7 @@ ISLANDS = f"""{USER_DAYS}, g AS (SELECT user_id, day, day - CAST(row_number() OV
 )
 def islands_events(spark, sf):
     """Runs of at least four consecutive active days."""
-    runs = R.run_summary(R.step_runs(_user_days(spark, sf), ["user_id"], "day", "1 DAY"), "day")
+    runs = R.run_summary(R.step_runs(_user_days(spark, sf), ["user_id"], "day", "1 DAY", mode="window"), "day")
     return runs.filter("points >= 4").drop("island")
 
 
@@ -230,7 +234,7 @@ def islands_events(spark, sf):
     SELECT user_id, strftime(run_start, '%Y-%m-%d') AS run_start, strftime(run_end, '%Y-%m-%d') AS run_end, points FROM n WHERE k = 1""",
 )
 def longest_streak(spark, sf):
-    runs = R.run_summary(R.step_runs(_user_days(spark, sf), ["user_id"], "day", "1 DAY"), "day")
+    runs = R.run_summary(R.step_runs(_user_days(spark, sf), ["user_id"], "day", "1 DAY", mode="window"), "day")
     return R.longest_run(runs, ["user_id"]).drop("island")
 
 
@@ -240,7 +244,7 @@ def longest_streak(spark, sf):
 )
 def streak_rows(spark, sf):
     """The member days of long runs."""
-    rows = R.long_run_rows(R.step_runs(_user_days(spark, sf), ["user_id"], "day", "1 DAY"), 5)
+    rows = R.long_run_rows(R.step_runs(_user_days(spark, sf), ["user_id"], "day", "1 DAY", mode="window"), 5)
     return rows.select("user_id", "day", "points")
 
 
@@ -254,7 +258,7 @@ def streak_rows(spark, sf):
 )
 def rally(spark, sf):
     """Rows above a level, three or more in a row by trading day order."""
-    runs = R.state_runs(store_days(spark, sf), ["store"], ["day"], F.col("revenue") > 100000)
+    runs = R.state_runs(store_days(spark, sf), ["store"], ["day"], F.col("revenue") > 100000, mode="window")
     return R.long_run_rows(runs, 3).filter("_state").select("store", "day", "revenue")
 
 
@@ -282,7 +286,7 @@ def high_usage(spark, sf):
     """Load above a level for at least three hours running."""
     busy = _server_hours(spark, sf).filter("load > 2")
     avg = (F.sum("load").cast("double") / F.count("*")).alias("avg_load")
-    runs = R.run_summary(R.step_runs(busy, ["server"], "hour", "1 HOUR"), "hour", avg)
+    runs = R.run_summary(R.step_runs(busy, ["server"], "hour", "1 HOUR", mode="window"), "hour", avg)
     return runs.filter("points >= 3").drop("island")
 
 
@@ -296,7 +300,7 @@ def high_usage(spark, sf):
 )
 def state_periods(spark, sf):
     """Periods of down and not-down with first and last entry."""
-    runs = R.state_runs(_server_hours(spark, sf), ["server"], ["hour"], F.col("errors") > 0)
+    runs = R.state_runs(_server_hours(spark, sf), ["server"], ["hour"], F.col("errors") > 0, mode="window")
     return R.run_summary(runs, "hour", F.first("_state").alias("down")).drop("island")
 
 
@@ -310,7 +314,7 @@ def state_periods(spark, sf):
 def collective_unstable(spark, sf):
     """At least four servers loaded at once for at least six hours."""
     loaded = _server_hours(spark, sf).filter("load > 1")
-    return R.collective_runs(loaded, "server", "hour", "1 HOUR", 4, 6)
+    return R.collective_runs(loaded, "server", "hour", "1 HOUR", 4, 6, mode="window")
 
 
 @query(
@@ -332,7 +336,7 @@ def last3_increasing(spark, sf):
 )
 def bot_streaks(spark, sf):
     busy = _user_days(spark, sf).filter("n >= 2")
-    runs = R.run_summary(R.step_runs(busy, ["user_id"], "day", "1 DAY"), "day")
+    runs = R.run_summary(R.step_runs(busy, ["user_id"], "day", "1 DAY", mode="window"), "day")
     return runs.filter("points >= 3").select("user_id", "run_start", "points")
 
 

@@ -22,6 +22,7 @@ def build_session(
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.checkpoint.compress": "true",
         "spark.ui.enabled": "false",
     }
     settings.update({k.replace("__", "."): v for k, v in conf.items()})
@@ -58,3 +59,13 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably, so later passes read exactly the same rows."""
     durable_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def widen(scan: DataFrame) -> DataFrame:
+    """Spread a scan that has fewer splits than the cluster has cores.
+
+    For costly per-row work on few files; a large scan already has more splits and is
+    returned as it is. ``scan`` must be a plain scan, without shuffles.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
