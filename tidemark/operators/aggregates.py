@@ -132,29 +132,26 @@ def retained(levels: DataFrame, slot: str, as_of: date, days: int) -> DataFrame:
 
 
 def cohorts(activity: DataFrame, member: str, at: str, offsets: Sequence[int]) -> DataFrame:
-    """Share of each joining month's members that are active some months later."""
-    months = activity.select(member, month_index(at).alias("m")).distinct()
-    joined = months.groupBy(member).agg(F.min("m").alias("m0"))
-    sizes = joined.groupBy("m0").agg(F.count("*").alias("members"))
+    """Share of each joining month's members that are active some months later.
+
+    One shuffle by member: the set of a member's months is bounded by the calendar and
+    is combined before the shuffle.
+    """
+    per = activity.groupBy(member).agg(F.collect_set(month_index(at)).alias("months"))
+    per = per.withColumn("m0", F.array_min("months"))
+    sizes = per.groupBy("m0").agg(F.count("*").alias("members"))
+    wanted = F.array(*[F.lit(o) for o in offsets])
+    active = F.array_intersect(F.transform("months", lambda m: m - F.col("m0")), wanted)
     later = (
-        months.join(joined, member)
-        .withColumn("offset", F.col("m") - F.col("m0"))
-        .filter(F.col("offset").isin(*offsets))
+        per.select("m0", F.explode(active).alias("offset"))
         .groupBy("m0", "offset")
         .agg(F.count("*").alias("active"))
     )
-    return (
-        later.join(sizes, "m0")
-        .withColumn("share", F.col("active") / F.col("members"))
-        .withColumn(
-            "cohort",
-            F.concat_ws(
-                "-",
-                F.floor((F.col("m0") - 1) / 12).cast("string"),
-                F.lpad((F.pmod(F.col("m0") - 1, F.lit(12)) + 1).cast("string"), 2, "0"),
-            ),
-        )
-        .select("cohort", "offset", "members", "active", "share")
+    year = F.floor((F.col("m0") - 1) / 12).cast("string")
+    month = F.lpad((F.pmod(F.col("m0") - 1, F.lit(12)) + 1).cast("string"), 2, "0")
+    return later.join(sizes, "m0").select(
+        F.concat_ws("-", year, month).alias("cohort"),
+        "offset", "members", "active", (F.col("active") / F.col("members")).alias("share"),
     )
 
 

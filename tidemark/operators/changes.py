@@ -58,14 +58,21 @@ def change_feed(before: DataFrame, after: DataFrame, key: Sequence[str]) -> Data
     return pair.select(*key, F.inline(rows))
 
 
+def last_changes(
+    log: DataFrame, key: Sequence[str], sequence: str, action: str
+) -> tuple[DataFrame, DataFrame]:
+    """(rows to write, keys to remove): the last change of each key decides."""
+    last = keep_latest(log, key, [sequence])
+    gone = F.col(action) == "DELETE"
+    return last.filter(~gone).drop(action, sequence), last.filter(gone).select(*key)
+
+
 def apply_changes(
     target: DataFrame, log: DataFrame, key: Sequence[str], sequence: str, action: str
 ) -> DataFrame:
     """Apply a change log: the last change of each key wins, deletes remove."""
-    last = keep_latest(log, key, [sequence])
-    gone = last.filter(F.col(action) == "DELETE").select(*key)
-    live = last.filter(F.col(action) != "DELETE").select(*target.columns)
-    return upsert(target.join(gone, list(key), "left_anti"), live, key)
+    live, gone = last_changes(log, key, sequence, action)
+    return upsert(target.join(gone, list(key), "left_anti"), live.select(*target.columns), key)
 
 
 def add_column(df: DataFrame, name: str, kind: str, default=None) -> DataFrame:

@@ -173,6 +173,37 @@ class Dataset:
             json.loads(last.layout), _schema(last),
         )
 
+    def merge(
+        self, rows: DataFrame, keys: Sequence[str], removed: DataFrame | None = None,
+        batch: str | None = None,
+    ) -> int:
+        """Replace rows by key without rewriting the table.
+
+        The new rows and the set of their keys are written side by side in one
+        commit; readers hide older rows with these keys. The cost is that of the
+        batch; ``compact`` folds the sets in later. ``removed`` adds keys to hide.
+        ``rows`` must hold each key once.
+        """
+        last = self._last()
+        if batch is not None:
+            for c in self._commits():
+                if c.batch == batch:
+                    return c.version
+        version = last.version + 1
+        schema = _merged(_schema(last), rows.schema)
+        hidden = rows.select(*keys)
+        if removed is not None:
+            hidden = hidden.unionByName(removed.select(*keys))
+        stored = {f.name: _stored(f) for f in schema.fields}
+        hidden = hidden.select(*[F.col(k).alias(stored[k]) for k in keys]).distinct()
+        hidden.write.mode("overwrite").parquet(f"{self.root}/deletes/_v={version}")
+        layout = json.loads(last.layout)
+        self._write(rows, version, layout, schema)
+        return self._commit(
+            version, last.version, "merge", [*last.parts, version], [*last.deletes, version],
+            layout, schema, batch,
+        )
+
     def delete_backlog(self) -> DataFrame:
         """Pending delete sets with their keys: many mean a compaction is due."""
         out = self.spark.createDataFrame([], "version long, deleted_keys long")
@@ -346,7 +377,8 @@ class Dataset:
             return self.spark.createDataFrame([], "file string, bytes long, rows long, part string")
         out = None
         for p in parts:
-            one = data_files(self.spark, f"{self.root}/data/_v={p}")
+            # With a schema, a part without rows is an empty table and not an error.
+            one = data_files(self.spark, f"{self.root}/data/_v={p}", schema=f"{PART} string")
             out = one if out is None else out.unionByName(one)
         return out.withColumn("part", F.regexp_extract("file", rf"{PART}=([^/]+)/", 1))
 

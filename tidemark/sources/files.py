@@ -111,12 +111,10 @@ def bytes_per_codec(df: DataFrame, root: str, codecs: Sequence[str]) -> DataFram
     return out
 
 
-def data_files(spark: SparkSession, *paths: str, base: str | None = None) -> DataFrame:
+def data_files(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Rows and bytes per data file; row counts come from the file footers."""
-    reader = spark.read
-    if base:
-        reader = reader.option("basePath", base)
-    rows = reader.parquet(*paths)
+    reader = spark.read.schema(schema) if schema else spark.read
+    rows = reader.parquet(path)
     return rows.groupBy(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_size").alias("bytes"),

@@ -8,8 +8,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.changes import apply_changes, upsert
+from tidemark.operators.changes import last_changes
 from tidemark.operators.costs import daily_spikes
+from tidemark.operators.scd import require_unique
 from tidemark.operators.versions import Dataset
 from tidemark.session import fresh_path
 
@@ -161,25 +162,33 @@ def append_once(data: Dataset, name: str) -> Callable[[DataFrame, int], None]:
     return step
 
 
-def upsert_once(data: Dataset, name: str, key: Sequence[str], then=None):
-    """Upsert each batch into the dataset, then write it to a second sink.
+def upsert_once(
+    data: Dataset, name: str, key: Sequence[str], then=None, compact_after: int = 50
+):
+    """Merge each batch into the dataset by key, then write it to a second sink.
 
-    Both sinks know the batch id: the dataset by its commit, the second by a folder
-    per batch that a replay overwrites.
+    A batch costs its own size: the table is not rewritten. After ``compact_after``
+    pending merges it is compacted. Both sinks know the batch id: the dataset by its
+    commit, the second by a folder per batch that a replay overwrites.
     """
 
     def step(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
-        tag = f"{name}-{batch_id}"
-        if data.log().filter(F.col("batch") == tag).isEmpty():
-            data.overwrite(upsert(data.read(), batch, key), operation="upsert", batch=tag)
+        require_unique(batch, key, "batch")
+        data.merge(batch, key, batch=f"{name}-{batch_id}")
         if then is not None:
             then(batch, batch_id)
+        _fold(data, compact_after)
         batch.unpersist()
 
     return step
 
 
+def _fold(data: Dataset, after: int) -> None:
+    if len(data.resolve().deletes) >= after:
+        data.compact()
+
+
 def folder_per_batch(path: str) -> Callable[[DataFrame, int], None]:
     def step(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
@@ -187,31 +196,37 @@ def folder_per_batch(path: str) -> Callable[[DataFrame, int], None]:
     return step
 
 
-def apply_once(data: Dataset, name: str, key: Sequence[str], sequence: str, action: str):
-    """Apply each batch of change records to the dataset."""
+def apply_once(
+    data: Dataset, name: str, key: Sequence[str], sequence: str, action: str, compact_after: int = 50
+):
+    """Merge each batch of change records into the dataset; deletes hide their keys."""
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        tag = f"{name}-{batch_id}"
-        if data.log().filter(F.col("batch") == tag).isEmpty():
-            merged = apply_changes(data.read(), batch, key, sequence, action)
-            data.overwrite(merged, operation="apply", batch=tag)
+        batch = batch.persist()
+        live, gone = last_changes(batch, key, sequence, action)
+        data.merge(live, key, removed=gone, batch=f"{name}-{batch_id}")
+        _fold(data, compact_after)
+        batch.unpersist()
 
     return step
 
 
 def spike_alerts(daily: Dataset, alerts: Dataset, keys: Sequence[str], limit: float = 0.3):
-    """Add each batch's costs to the daily sums and record days that jumped."""
+    """Add each batch's costs to the daily sums and record days that jumped.
+
+    Only the sums of days in the batch are merged; the alerts are one row per key and
+    day and are replaced as a whole.
+    """
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.groupBy(*keys, "date").agg(F.sum("cost").alias("cost"))
-        tag = f"daily-{batch_id}"
-        if daily.log().filter(F.col("batch") == tag).isEmpty():
-            both = daily.read().unionByName(fresh)
-            sums = both.groupBy(*keys, "date").agg(F.sum("cost").cast("decimal(28,2)").alias("cost"))
-            daily.overwrite(sums, operation="merge", batch=tag)
-        alerts.overwrite(
-            daily_spikes(daily.read(), keys, limit).select(*keys, "date", "rise"), batch=f"alerts-{batch_id}"
-        )
+        at = [*keys, "date"]
+        fresh = batch.groupBy(*at).agg(F.sum("cost").cast("decimal(28,2)").alias("cost")).persist()
+        known = daily.read().join(fresh.select(*at), at, "left_semi")
+        sums = known.unionByName(fresh).groupBy(*at).agg(F.sum("cost").cast("decimal(28,2)").alias("cost"))
+        daily.merge(sums, at, batch=f"daily-{batch_id}")
+        jumps = daily_spikes(daily.read(), keys, limit).select(*at, "rise")
+        alerts.overwrite(jumps, batch=f"alerts-{batch_id}")
+        fresh.unpersist()
 
     return step
 
