@@ -12,8 +12,8 @@ be the same for the rows and for the carry.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from tidemark.session import cut
 
 HOT_ROWS = 2_000_000
+CHUNK_ROWS = 500_000
+MOST_CHUNKS = 50_000
 _CHUNK = "_chunk"
 
 
@@ -28,19 +30,25 @@ class Ordered:
     """Rows with a key and a total ascending order; methods append columns."""
 
     def __init__(
-        self, df: DataFrame, keys: Sequence[str], order: Sequence[str], chunked: bool
+        self,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: Sequence[str],
+        chunked: bool,
+        spanning: DataFrame | None = None,
     ):
         self._df = df
         self.keys = list(keys)
         self.order = list(order)
         self.chunked = chunked
+        self._spanning = spanning
 
     @property
     def df(self) -> DataFrame:
         return self._df.drop(_CHUNK)
 
     def _with(self, df: DataFrame) -> Ordered:
-        return Ordered(df, self.keys, self.order, self.chunked)
+        return Ordered(df, self.keys, self.order, self.chunked, self._spanning)
 
     def map(self, step: Callable[[DataFrame], DataFrame]) -> Ordered:
         """Apply a row-wise projection or filter; it must keep keys and order."""
@@ -53,43 +61,48 @@ class Ordered:
     def _carried(self, summary: dict[str, Column], carry: dict[str, Column]) -> DataFrame:
         """Join to each row what the other chunks of its key contribute."""
         by_key = Window.partitionBy(*self.keys).orderBy(_CHUNK)
-        edges = self._df.groupBy(*self.keys, _CHUNK).agg(
-            *[c.alias(n) for n, c in summary.items()],
-            F.lit(1).alias("_one"),
-        )
-        # Keys inside one chunk need no carry; what is left is bounded by the chunks.
-        edges = edges.withColumn(
-            "_n", F.sum("_one").over(Window.partitionBy(*self.keys))
-        ).filter("_n > 1")
+        rows = self._df
+        if self._spanning is not None:
+            # Only keys that lie in several chunks have anything to carry.
+            rows = rows.join(F.broadcast(self._spanning), self._same_key("_s"), "left_semi")
+        edges = rows.groupBy(*self.keys, _CHUNK).agg(*[c.alias(n) for n, c in summary.items()])
         edges = edges.select(
             *[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)],
             F.col(_CHUNK).alias("_kc"),
             *[_over(c, by_key).alias(n) for n, c in carry.items()],
         )
-        match = [F.col(_CHUNK) == F.col("_kc")] + [
-            F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(self.keys)
-        ]
-        joined = self._df.join(
-            F.broadcast(edges), reduce(lambda a, b: a & b, match), "left"
-        )
+        match = (F.col(_CHUNK) == F.col("_kc")) & self._same_key("_k")
+        joined = self._df.join(F.broadcast(edges), match, "left")
         return joined.drop("_kc", *[f"_k{i}" for i in range(len(self.keys))])
 
+    def _same_key(self, prefix: str) -> Column:
+        out = F.lit(True)
+        for i, k in enumerate(self.keys):
+            out = out & F.col(k).eqNullSafe(F.col(f"{prefix}{i}"))
+        return out
+
     def _neighbour(self, cols: dict[str, Column], forward: bool) -> Ordered:
-        row = F.struct(*[c.alias(n) for n, c in cols.items()])
         shift = F.lead if forward else F.lag
-        base = self._df.withColumn("_row", row)
-        if self.chunked:
-            at = F.struct(*self.order)
-            pick = F.min_by if forward else F.max_by
-            base = self._with(base)._carried(
-                {"_edge": pick("_row", at)}, {"_carry": shift("_edge")}
-            )
-            near = F.coalesce(shift("_row").over(self._window()), F.col("_carry"))
-        else:
-            near = shift("_row").over(self._window())
-        base = base.withColumn("_near", near)
-        out = base.select("*", *[F.col("_near")[n].alias(n) for n in cols])
-        return self._with(out.drop("_row", "_near", "_carry"))
+        tmp = {f"_in_{n}": c for n, c in cols.items()}
+        base = self._df.withColumns(tmp)
+        window = self._window()
+        if not self.chunked:
+            out = base.withColumns({n: shift(f"_in_{n}").over(window) for n in cols})
+            return self._with(out.drop(*tmp))
+        at = F.struct(*self.order)
+        row = F.struct(*tmp)
+        pick = F.min_by if forward else F.max_by
+        base = self._with(base)._carried({"_edge": pick(row, at)}, {"_carry": shift("_edge")})
+        at_edge = shift(F.lit(True)).over(window).isNull()
+        out = base.withColumns(
+            {
+                n: F.when(at_edge, F.col("_carry")[f"_in_{n}"]).otherwise(
+                    shift(f"_in_{n}").over(window)
+                )
+                for n in cols
+            }
+        )
+        return self._with(out.drop("_carry", *tmp))
 
     def previous(self, **cols: Column) -> Ordered:
         """Values of the row before in the key; NULL on the first row."""
@@ -180,18 +193,31 @@ def place(
 
     ``mode`` is ``auto`` (measure the largest key), ``window`` or ``chunked``. Give
     ``window`` where rows per key are bounded by construction, such as one row per key
-    and month; it saves measuring. ``chunks`` fixes the number of ranges; by default AQE sizes them.
+    and month; it saves measuring. ``chunks`` fixes the number of ranges; by default
+    the measured row count decides, or AQE where nothing was measured.
     """
     if mode == "auto":
-        top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-        mode = "chunked" if (top or 0) > hot_rows else "window"
+        sizes = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
+        mode = "chunked" if (sizes[0] or 0) > hot_rows else "window"
+        if mode == "chunked" and chunks is None:
+            usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            wanted = math.ceil(sizes[1] / CHUNK_ROWS)
+            chunks = max(usual, min(wanted, MOST_CHUNKS))
     if mode == "window":
         return Ordered(df, keys, order, False)
     by = [F.col(c) for c in (*keys, *order)]
     spread = df.repartitionByRange(chunks, *by) if chunks else df.repartitionByRange(*by)
-    return Ordered(
-        cut(spread.withColumn(_CHUNK, F.spark_partition_id())), keys, order, True
-    )
+    laid = cut(spread.withColumn(_CHUNK, F.spark_partition_id()))
+    return Ordered(laid, keys, order, True, _spanning_keys(laid, keys))
+
+
+def _spanning_keys(laid: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The keys that lie in more than one chunk: fewer than there are chunks."""
+    if not keys:
+        return None
+    named = [F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)]
+    spans = laid.groupBy(*named).agg(F.min(_CHUNK).alias("lo"), F.max(_CHUNK).alias("hi"))
+    return cut(spans.filter("lo < hi").drop("lo", "hi").coalesce(1))
 
 
 def with_row_number(ordered: Ordered, name: str = "rn") -> Ordered:

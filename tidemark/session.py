@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def build_session(
@@ -56,11 +57,27 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably, so later passes read exactly the same rows."""
+    """Materialise ``df`` in the shared folder, so later passes read the same rows.
+
+    Written as a Parquet table: later passes prune columns and know its size. Types
+    that Parquet cannot hold go through a reliable checkpoint instead.
+    """
+    if _storable(df.schema):
+        path = fresh_path(df.sparkSession, "cut")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
     durable_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def _storable(schema: T.StructType) -> bool:
+    names = [n.lower() for n in schema.names]
+    text = schema.simpleString()
+    return len(names) > 0 and len(set(names)) == len(names) and not any(
+        kind in text for kind in ("void", "interval", "variant")
+    )
+
+
 def widen(scan: DataFrame) -> DataFrame:
     """Spread a scan that has fewer splits than the cluster has cores.
 
