@@ -117,6 +117,17 @@ def test_social_measures(spark):
     assert rate == {2: 1.0, 1: 0.0, 9: None}
 
 
+def test_rows_of_one_owner(spark):
+    from tidemark.operators.ranking import newest_first, rows_of
+
+    rows = spark.createDataFrame([(1, 5, "a"), (1, 9, "b"), (1, 9, "c"), (2, 1, "d")], "o int, t long, x string")
+    rows = rows.withColumn("t", F.timestamp_seconds("t"))
+    assert [r.x for r in rows_of(rows, "o", 1, ["x"], "t", "x").collect()] == ["b", "c", "a"]
+    for how in ({"mode": "window"}, {"mode": "chunked", "chunks": 3}):
+        got = {r.x: r.position for r in newest_first(rows, "o", "t", "x", **how).collect()}
+        assert got == {"b": 1, "c": 2, "a": 3, "d": 1}
+
+
 def test_fallback_and_drift(spark):
     users = spark.createDataFrame([(1,), (2,)], "u long")
     own = spark.createDataFrame([(1, "x")], "u long, i string")

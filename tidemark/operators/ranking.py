@@ -53,6 +53,18 @@ def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return df.groupBy(*keys).agg(best).select("_row.*")
 
 
+def newest_first(df: DataFrame, owner: str, at: str, tie: str, **how) -> DataFrame:
+    """``position`` of each row among its owner's rows, newest first."""
+    back = -F.unix_micros(F.col(at).cast("timestamp"))
+    ordered = place(df.withColumn("_back", back), [owner], ["_back", tie], **how)
+    return ordered.running_sum(position=F.lit(1).cast("long")).df.drop("_back")
+
+
+def rows_of(df: DataFrame, owner: str, value, columns: Sequence[str], at: str, tie: str):
+    """One owner's rows, chosen columns, newest first; the filter reaches the scan."""
+    return df.filter(F.col(owner) == F.lit(value)).orderBy(F.desc(at), tie).select(*columns)
+
+
 def step_runs(
     df: DataFrame, keys: Sequence[str], at: str, step: str, **how
 ) -> Ordered:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.columns import money, year_month
 from tidemark.operators import changes as X
 from tidemark.operators import scd as S
+from tidemark.operators.ordered import place, with_row_number
 from tidemark.plans.frames import ORDERS, STAGED, events, orders, staged_customers
 from tidemark.plans.joins import MONTHLY_PRIORITY, priority_dim
 from tidemark.plans.registry import query, table
@@ -80,12 +81,13 @@ def scd2_current(spark, sf):
 
 @query(
     "version_history",
-    f"""WITH {ORDERS}, {MONTHLY_PRIORITY} SELECT strftime(effective_date, '%Y-%m-%d') AS effective_date, priority FROM dim
-    WHERE customer_id = 11 ORDER BY effective_date""",
+    f"""WITH {ORDERS}, {MONTHLY_PRIORITY} SELECT customer_id, row_number() OVER (PARTITION BY customer_id ORDER BY effective_date) AS version,
+    strftime(effective_date, '%Y-%m-%d') AS effective_date, priority FROM dim""",
 )
 def version_history(spark, sf):
-    """All versions of one key in order of validity."""
-    return S.versions_of(priority_dim(spark, sf), F.col("customer_id") == 11).select("effective_date", "priority")
+    """All versions of every key, numbered in order of validity."""
+    ordered = place(priority_dim(spark, sf), ["customer_id"], ["effective_date"])
+    return with_row_number(ordered, "version").df.select("customer_id", "version", "effective_date", "priority")
 
 
 TIMELINE = f"""{ORDERS}, raw AS (SELECT customer_id, CAST(date_trunc('month', order_date) AS DATE) AS d,

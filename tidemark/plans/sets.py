@@ -70,15 +70,14 @@ def single_file_report(spark, sf):
 
 @query(
     "orders_of_customer",
-    """SELECT o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_custkey = 7
-    ORDER BY o_orderdate DESC, o_orderkey""",
+    """SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS position,
+    o_orderkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders""",
 )
 def orders_of_customer(spark, sf):
-    """One owner's rows, newest first; the key filter reaches the scan."""
-    return (
-        table(spark, sf, "orders").filter("o_custkey = 7").orderBy(F.desc("o_orderdate"), "o_orderkey")
-        .select("o_orderkey", "o_totalprice", F.col("o_orderdate").cast("date").alias("day"))
-    )
+    """Every owner's rows with chosen columns, newest first."""
+    rows = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_totalprice", "o_orderdate")
+    listed = R.newest_first(rows, "o_custkey", "o_orderdate", "o_orderkey")
+    return listed.withColumn("day", F.col("o_orderdate").cast("date")).drop("o_orderdate")
 
 
 @query(
