@@ -9,6 +9,7 @@ from tidemark.operators.ordered import (
     global_ranks,
     islands,
     place,
+    ranks,
     with_row_number,
 )
 
@@ -63,6 +64,19 @@ def test_global_ranks(rows, mode):
     assert want.exceptAll(got.select(*want.columns)).count() == 0
 
 
+@pytest.mark.parametrize("mode", ["window", "chunked"])
+def test_ranks_in_keys_put_nulls_last(rows, mode):
+    got = ranks(rows, ["k"], "v", ["t"], mode=mode, chunks=8)
+    w = Window.partitionBy("k").orderBy(F.desc_nulls_last("v"))
+    want = rows.select(
+        "k", "t",
+        F.rank().over(w).cast("long").alias("rank"),
+        F.dense_rank().over(w).cast("long").alias("dense_rank"),
+        F.row_number().over(Window.partitionBy("k").orderBy(F.desc_nulls_last("v"), "t")).cast("long").alias("row_num"),
+    )
+    assert want.exceptAll(got.select(*want.columns)).count() == 0
+
+
 @pytest.mark.parametrize("mode", ["window", "chunked"])
 def test_exact_quantiles(rows, mode):
     got = exact_quantiles(rows, ["k"], "v", [0.5], mode=mode, chunks=5)
@@ -70,3 +84,20 @@ def test_exact_quantiles(rows, mode):
     a = {r.k: r.q500 for r in got.collect()}
     b = {r.k: r.q500 for r in want.collect()}
     assert {k: v for k, v in b.items() if k in a} == a
+
+
+def test_auto_mode_measures_the_largest_key(rows):
+    assert not place(rows, ["k"], ["t"]).chunked
+    hot = place(rows, ["k"], ["t"], hot_rows=100)
+    assert hot.chunked and hot._df.select("_chunk").distinct().count() > 1
+    same = with_row_number(hot).df.exceptAll(with_row_number(place(rows, ["k"], ["t"])).df)
+    assert same.count() == 0
+
+
+def test_cut_keeps_types_and_survives_odd_ones(spark):
+    from tidemark.session import cut
+
+    plain = spark.range(5).select("id", F.struct("id").alias("s"), F.array("id").alias("a"))
+    assert cut(plain).schema == plain.schema or cut(plain).dtypes == plain.dtypes
+    odd = spark.range(5).select("id", F.lit(None).alias("nothing"), F.expr("INTERVAL 1 DAY").alias("i"))
+    assert cut(odd).count() == 5 and cut(odd).dtypes == odd.dtypes

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
@@ -167,11 +168,12 @@ def band_keys(docs: DataFrame, ident: str, grams: str, bands: int, rows: int) ->
                 for i in range(bands):
                     ids.append(key)
                     band.append(i)
-                    bucket.append(low[i * rows : (i + 1) * rows].tobytes().hex())
+                    mark = hashlib.blake2b(low[i * rows : (i + 1) * rows].tobytes(), digest_size=8)
+                    bucket.append(int.from_bytes(mark.digest(), "little", signed=True))
             yield pd.DataFrame({"doc": ids, "band": band, "bucket": bucket})
 
     kind = dict(docs.dtypes)[ident]
-    return docs.select(ident, grams).mapInPandas(sign, f"doc {kind}, band int, bucket string")
+    return docs.select(ident, grams).mapInPandas(sign, f"doc {kind}, band int, bucket long")
 
 
 def near_copies(

@@ -245,11 +245,17 @@ def global_ranks(
     df: DataFrame, measure: str, tie: Sequence[str], descending=True, **how
 ) -> DataFrame:
     """row_number, rank and dense_rank over the whole table, never in one task."""
+    return ranks(df, [], measure, tie, descending, **how)
+
+
+def ranks(
+    df: DataFrame, keys: Sequence[str], measure: str, tie: Sequence[str], descending=True, **how
+) -> DataFrame:
+    """row_number, rank and dense_rank inside each key; NULL measures come last."""
     sign = -F.col(measure) if descending else F.col(measure)
-    ordered = place(df.withColumn("_m", sign), [], ["_m", *tie], **how)
-    ordered = with_row_number(ordered, "row_num").previous(
-        _prev=F.col("_m"), _has=F.lit(True)
-    )
+    marked = df.withColumn("_m", sign).withColumn("_null", F.col(measure).isNull())
+    ordered = with_row_number(place(marked, keys, ["_null", "_m", *tie], **how), "row_num")
+    ordered = ordered.previous(_prev=F.col("_m"), _has=F.lit(True))
     new = F.col("_has").isNull() | ~F.col("_prev").eqNullSafe(F.col("_m"))
     ordered = ordered.map(
         lambda d: d.withColumn("_new", F.when(new, 1).otherwise(0).cast("long"))
@@ -257,7 +263,7 @@ def global_ranks(
     ordered = ordered.running_sum(dense_rank=F.col("_new")).latest(
         rank=F.when(F.col("_new") == 1, F.col("row_num"))
     )
-    return ordered.df.drop("_m", "_prev", "_has", "_new")
+    return ordered.df.drop("_m", "_null", "_prev", "_has", "_new")
 
 
 def exact_quantiles(

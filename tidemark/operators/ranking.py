@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import Ordered, islands, place
+from tidemark.operators.ordered import Ordered, islands, place, ranks
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -34,16 +34,7 @@ def qualify(df: DataFrame, windows: dict[str, Column], keep: Column) -> DataFram
 
 def rank_in_group(df: DataFrame, keys: Sequence[str], measure: str, tie: Sequence[str], **how):
     """rank, dense_rank and row_number inside each group, highest first, skew-safe."""
-    ordered = place(df.withColumn("_m", -F.col(measure)), keys, ["_m", *tie], **how)
-    ordered = ordered.running_sum(row_num=F.lit(1).cast("long")).previous(
-        _p=F.col("_m"), _has=F.lit(True)
-    )
-    new = F.col("_has").isNull() | ~F.col("_p").eqNullSafe(F.col("_m"))
-    ordered = ordered.map(lambda d: d.withColumn("_new", F.when(new, 1).otherwise(0).cast("long")))
-    ordered = ordered.running_sum(dense_rank=F.col("_new")).latest(
-        rank=F.when(F.col("_new") == 1, F.col("row_num"))
-    )
-    return ordered.df.drop("_m", "_p", "_has", "_new")
+    return ranks(df, keys, measure, tie, **how)
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
