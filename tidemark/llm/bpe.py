@@ -15,6 +15,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -232,6 +233,20 @@ def chunked(arrays: list, most: int, size=len) -> Iterator[list]:
         yield out
 
 
+def slices(batches, column: int, most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """The batches in slices with about ``most`` bytes in a text or binary column, so that what
+    Python holds does not follow Spark's batch size. A longer value is a slice of its own.
+    """
+    for batch in batches:
+        size = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
+        upto = np.cumsum(size, dtype=np.int64)
+        a = 0
+        while a < batch.num_rows:
+            b = max(a + 1, int(np.searchsorted(upto, (upto[a - 1] if a else 0) + most, side="right")))
+            yield batch.slice(a, b - a)
+            a = b
+
+
 def with_column(batch: pa.RecordBatch, names: list[str], arrays: list[pa.Array]) -> pa.RecordBatch:
     """The batch with columns at its end."""
     return pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *names])
@@ -251,7 +266,7 @@ def encode(
 
     def run(batches):
         encoder = Encoder(shared.value, special)
-        for batch in batches:
+        for batch in slices(batches, at):
             got = encoder([t or "" for t in batch.column(at).to_pylist()])
             yield with_column(
                 batch,
@@ -273,7 +288,7 @@ def decode(df: DataFrame, vocab: Vocabulary, ids: str = "ids", text: str = "deco
     at = df.columns.index(ids)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, at):
             arrays = [np.frombuffer(b or b"", "<u4") for b in batch.column(at).to_pylist()]
             texts = [t for some in chunked(arrays, 200_000) for t in decode_ids(shared.value, some)]
             yield with_column(batch, [text], [pa.array(texts, pa.string())])

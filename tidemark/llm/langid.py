@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.bpe import with_column, without
+from tidemark.llm.bpe import slices, with_column, without
 from tidemark.llm.words import LETTER, MARK, codepoints, pieces, simple_lower, unicode_classes
 
 BUCKETS = 1 << 15
@@ -81,7 +81,7 @@ def fit(
 
     def count(batches):
         found: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches, 0):
             names = batch.column(1).to_pylist()
             for parts, owner in pieces(batch.column(0).to_pylist()):
                 part, bucket, _ = trigrams(parts)
@@ -182,7 +182,7 @@ def identify(
     def run(batches):
         known = shared.value
         size = len(known.languages)
-        for batch in batches:
+        for batch in slices(batches, at):
             texts = [t or "" for t in batch.column(at).to_pylist()]
             answers = []
             for some in _by_size(texts):

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import slices
 from tidemark.llm.links import block_pairs, components, linked_blocks
 from tidemark.llm.words import DIGIT, LETTER, MARK, codepoints, mix, pieces, runs, simple_lower, unicode_classes, word_hashes
 from tidemark.session import cut
@@ -94,7 +95,7 @@ def fingerprints(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
     """
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 2):
             texts = [t or "" for t in batch.column(2).to_pylist()]
             digests: list[bytes | None] = []
             sizes: list[int] = []
@@ -134,7 +135,7 @@ def with_sets(docs: DataFrame, n: int) -> DataFrame:
     """(uid, set) from (uid, text): the gram set as 64-bit numbers."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches, 1):
             texts = [t or "" for t in batch.column(1).to_pylist()]
             sets = [s.tobytes() for a, b in _spans(texts) for s in gram_sets(texts[a:b], n)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["uid", "set"])

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.bpe import chunked, pattern_classes, with_column, without
+from tidemark.llm.bpe import chunked, pattern_classes, slices, with_column, without
 from tidemark.llm.prefix import running_sums
 from tidemark.llm.store import Folder, open_input
 from tidemark.llm.wavelet import Shard, pack
@@ -142,7 +142,7 @@ def encode(
 
     def run(batches):
         encoder = LibraryEncoder(shared.value)
-        for batch in batches:
+        for batch in slices(batches, at):
             got = [np.concatenate([a, tail]) for a in encoder([t or "" for t in batch.column(at).to_pylist()])]
             yield with_column(
                 batch,

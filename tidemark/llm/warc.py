@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.bpe import slices
 from tidemark.llm.store import Folder, open_input
 from tidemark.session import cut, fresh_path
 
@@ -84,7 +85,7 @@ def write(typed: DataFrame, date: str = "1970-01-01T00:00:00Z", level: int = 3,
     def run(batches):
         folder, out, path, offset = Folder(root, ".warc.gz"), None, None, 0
         try:
-            for batch in batches:
+            for batch in slices(batches, 2):
                 rows = []
                 for page, url, html, digest, kind, first in zip(*(batch.column(k).to_pylist() for k in range(6))):
                     if out is None or offset >= file_bytes:

@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 
 SPACE, LETTER, DIGIT, OTHER, MARK = 0, 1, 2, 3, 4
-PIECE = 1_000_000
+PIECE = 500_000
 CODES = 0x110000
 
 _U = np.uint64
@@ -93,7 +93,7 @@ def runs(kinds: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
         _powers.clear()
-        size = max(n, 2 * PIECE)
+        size = max(n, PIECE + (PIECE >> 2))
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             table = np.full(size, base, _U)
             table[0] = 1
