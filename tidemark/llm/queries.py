@@ -40,8 +40,8 @@ def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     library = tokenids.load(public_tokenizers.path(WORD_BPE))
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = tokenids.encode(documents, library, END_ID).drop("text")
-    back = tokenids.read_shards(tokenids.write_shards(encoded))
+    encoded = tokenids.encode(documents, library, END_ID, width=2).drop("text")
+    back = tokenids.read_shards(tokenids.write_shards(encoded, width=2))
     return back.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 

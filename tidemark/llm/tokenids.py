@@ -130,10 +130,11 @@ class LibraryEncoder:
 
 
 def encode(
-    docs: DataFrame, library: Library, end_id: int | None = None, text: str = "text", ids: str = "ids", count: str = "n_tokens"
+    docs: DataFrame, library: Library, end_id: int | None = None, text: str = "text", ids: str = "ids", count: str = "n_tokens", width: int = 4
 ) -> DataFrame:
-    """Adds the ids of the whole text (binary: little-endian unsigned 32-bit), ``end_id`` after
-    them, and their number. A null text is empty. Columns of these names are replaced.
+    """Adds the ids of the whole text (binary: little-endian unsigned, ``width`` 2 or 4 bytes),
+    ``end_id`` after them, and their number. A null text is empty. Columns of these names
+    are replaced. An id that needs more bytes is an error.
     """
     docs = without(docs, ids, count)
     shared = docs.sparkSession.sparkContext.broadcast(library)
@@ -144,10 +145,12 @@ def encode(
         encoder = LibraryEncoder(shared.value)
         for batch in slices(batches, at):
             got = [np.concatenate([a, tail]) for a in encoder([t or "" for t in batch.column(at).to_pylist()])]
+            if any(len(a) and int(a.max()) >> 8 * width for a in got):
+                raise ValueError(f"an id does not fit into {width} bytes")
             yield with_column(
                 batch,
                 [ids, count],
-                [pa.array([a.astype("<u4", copy=False).tobytes() for a in got], pa.binary()), pa.array([len(a) for a in got], pa.int64())],
+                [pa.array([a.astype(f"<u{width}", copy=False).tobytes() for a in got], pa.binary()), pa.array([len(a) for a in got], pa.int64())],
             )
 
     schema = T.StructType([*docs.schema, T.StructField(ids, T.BinaryType()), T.StructField(count, T.LongType())])
@@ -157,9 +160,11 @@ def encode(
 INDEX = "path string, part int, seq int, n_docs long, n_tokens long"
 
 
-def write_shards(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", count: str = "n_tokens", shard_tokens: int = 1 << 21) -> DataFrame:
+def write_shards(
+    encoded: DataFrame, key: str = "doc_id", ids: str = "ids", count: str = "n_tokens", shard_tokens: int = 1 << 21, width: int = 4
+) -> DataFrame:
     """Writes shards in ascending key order and returns their index, with ``start``: the ids
-    before the shard.
+    before the shard. ``width`` is that of the encoded ids.
 
     Null keys come first; rows with equal keys are ordered by their ids' checksum. A shard
     is closed when it holds ``shard_tokens`` ids, so it holds at most that and one document.
@@ -194,7 +199,7 @@ def write_shards(encoded: DataFrame, key: str = "doc_id", ids: str = "ids", coun
 
         for batch in batches:
             for k, data in zip(batch.column(0).to_pylist(), batch.column(1)):
-                arrays.append(np.frombuffer(data.as_buffer() or b"", "<u4"))
+                arrays.append(np.frombuffer(data.as_buffer() or b"", f"<u{width}"))
                 keys.append(k)
                 held += len(arrays[-1])
                 if held >= shard_tokens:
@@ -227,5 +232,5 @@ def read_shards(index: DataFrame, key: str = "doc_id") -> DataFrame:
                         names=[key, "start", "n_tokens", "ids"],
                     )
 
-    spread = index.repartition("part", "seq")
+    spread = index.repartition(max(1, index.count() // 2), "part", "seq")
     return spread.mapInArrow(read, f"`{key}` long, start long, n_tokens long, ids binary")
