@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.prefix import dealt
 from tidemark.llm.vectordups import usable
 from tidemark.session import cut
 
@@ -174,8 +175,8 @@ def scored(tasks: DataFrame, k: int, most: int = 400_000) -> DataFrame:
         if kept:
             yield batch_of(reduce(kept))
 
-    dealt = tasks.select(*names).repartition("tab", "bucket", "part").sortWithinPartitions("tab", "bucket", "part")
-    return dealt.mapInArrow(run, "query_id long, vec_id long, score double")
+    rows = dealt(tasks.select(*names), "tab", "bucket", "part").sortWithinPartitions("tab", "bucket", "part")
+    return rows.mapInArrow(run, "query_id long, vec_id long, score double")
 
 
 def _ranked(found: DataFrame, k: int) -> DataFrame:

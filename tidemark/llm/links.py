@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.prefix import dealt
 from tidemark.session import cut
 
 
@@ -109,8 +110,8 @@ def linked_blocks(tasks: DataFrame, verify: Callable[[dict, dict, bool], np.ndar
             if out is not None:
                 yield out
 
-    dealt = tasks.select(*names).repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
-    return dealt.mapInArrow(run, "id long, links long, root long")
+    rows = dealt(tasks.select(*names), "grp", "i", "j").sortWithinPartitions("grp", "i", "j")
+    return rows.mapInArrow(run, "id long, links long, root long")
 
 
 def components(edges: DataFrame) -> DataFrame:

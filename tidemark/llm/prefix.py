@@ -12,6 +12,15 @@ from pyspark.sql import types as T
 from tidemark.session import cut
 
 
+def dealt(df: DataFrame, *columns: str | Column) -> DataFrame:
+    """Rows by key over as many tasks as the session names for shuffles.
+
+    For rows whose work does not follow their bytes: a plain repartition would be merged
+    into few tasks by its small size.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *columns)
+
+
 def running_sums(df: DataFrame, order: list[Column], values: dict[str, str]) -> DataFrame:
     """Adds ``values[c]``: the sum of long column c over all rows up to and with this one.
 

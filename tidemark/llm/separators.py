@@ -13,6 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm.prefix import dealt
 from tidemark.llm.store import Folder, file_size, open_input
 from tidemark.session import cut, fresh_path
 
@@ -96,7 +97,7 @@ def count_tokens(files: DataFrame, end_id: int, width: int = 2, block_bytes: int
                     names=["path", "block", "upto", "n", "last", "ends"],
                 )
 
-    ranges = blocks_of(files.select("path").distinct(), block_bytes).repartition("path", "block")
+    ranges = dealt(blocks_of(files.select("path").distinct(), block_bytes), "path", "block")
     found = cut(ranges.mapInArrow(search, "path string, block long, upto long, n long, last long, ends array<long>"))
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     stitched = found.select("path", "block", "upto", "n", "last").select(

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import slices
+from tidemark.llm.prefix import dealt
 from tidemark.llm.store import Folder, open_input
 from tidemark.session import cut, fresh_path
 
@@ -141,7 +142,7 @@ def ranges(offsets: np.ndarray, lengths: np.ndarray, gap: int, most: int) -> lis
     return out
 
 
-def read(selected: DataFrame, payloads: bool = True, gap: int = 1 << 16, most: int = 1 << 23, section: int = 1 << 26) -> DataFrame:
+def read(selected: DataFrame, payloads: bool = True, gap: int = 1 << 16, most: int = 1 << 23, section: int = 1 << 23) -> DataFrame:
     """Reads the records that a (part of an) index names.
 
     Returns page_id, url, record_type, refers_to, payload (null for a revisit, whose payload
@@ -174,7 +175,7 @@ def read(selected: DataFrame, payloads: bool = True, gap: int = 1 << 16, most: i
                         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
     part = (F.col("offset") / section).cast("long")
-    sorted_ = selected.select("path", "offset", "length", "url").repartition("path", part).sortWithinPartitions("path", "offset")
+    sorted_ = dealt(selected.select("path", "offset", "length", "url"), "path", part).sortWithinPartitions("path", "offset")
     return sorted_.mapInArrow(run, schema)
 
 
