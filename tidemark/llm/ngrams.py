@@ -185,7 +185,7 @@ def uid_of(key: str, text: str):
 
 
 def near_duplicates(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8, rows: int = 8, recall: float = 0.999, block: int = 2048, block_grams: int = 1 << 21
+    docs: DataFrame, key: str = "doc_id", text: str = "text", n: int = 5, threshold: float = 0.8, rows: int = 8, recall: float = 0.999, block: int = 512, block_grams: int = 1 << 21
 ) -> DataFrame:
     """One row per document: key, uid, class_id, n_links, kept.
 
