@@ -93,16 +93,28 @@ def test_overlaps_are_found_past_the_neighbour(spark, how):
     assert got == [(1, 2), (1, 3)]
 
 
-def test_version_lookup_both_ways(spark):
+@pytest.mark.parametrize("how", [{}, {"mode": "chunked", "chunks": 3}])
+def test_version_lookup(spark, how):
     dim = spark.createDataFrame(
         [("a", "x", D("2024-01-01"), D("2024-02-01")), ("a", "y", D("2024-03-01"), None), ("b", "z", D("2024-01-01"), None)],
         "k string, v string, s date, e date",
     )
     facts = spark.createDataFrame([(1, "a", D("2024-01-15")), (2, "a", D("2024-02-01")), (3, "a", D("2024-03-01")), (4, "b", D("2023-01-01")), (5, "c", D("2024-01-01"))], "id long, k string, d date")
     want = [(1, "x"), (2, None), (3, "y"), (4, None), (5, None)]
-    for most in (64, 0):
-        got = J.version_at(facts, dim, "k", "d", "s", "e", "id", most_versions=most)
-        assert sorted((r.id, r.v) for r in got.collect()) == want
+    got = J.version_at(facts, dim, "k", "d", "s", "e", "id", **how)
+    assert sorted((r.id, r.v) for r in got.collect()) == want
+
+
+def test_nested_versions(spark):
+    """An older version is valid again when a later, shorter one has ended."""
+    dim = spark.createDataFrame(
+        [("k", "a", D("2024-01-01"), None), ("k", "b", D("2024-03-01"), D("2024-04-01")), ("k", "c", D("2024-03-10"), D("2024-03-20"))],
+        "k string, v string, s date, e date",
+    )
+    days = {1: "2023-12-31", 2: "2024-02-01", 3: "2024-03-05", 4: "2024-03-15", 5: "2024-03-25", 6: "2024-05-01"}
+    facts = spark.createDataFrame([(i, "k", D(d)) for i, d in days.items()], "id long, k string, d date")
+    got = J.version_at(facts, dim, "k", "d", "s", "e", "id")
+    assert {r.id: r.v for r in got.collect()} == {1: None, 2: "a", 3: "b", 4: "c", 5: "b", 6: "a"}
 
 
 def test_upsert_and_change_log(spark):

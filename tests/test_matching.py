@@ -37,6 +37,21 @@ def test_every_pair_one_edit_apart_is_connected(spark):
     assert 6 not in cluster and 7 not in cluster
 
 
+def test_linked_texts_are_at_most_one_edit_apart(spark):
+    names = ["Brand#12", "Brand#21", "Brand#13", "Brand#1", "rand#12", "", "a", "b", "ab", "ba", None]
+    df = spark.createDataFrame(list(enumerate(names)), "id long, name string")
+    links = D.match_records(df, "id", [D.Rule("n", D.one_edit(F.col("name")), 1.0)], 1.0).collect()
+    assert links and all(edit(names[r.record], names[r.leader]) <= 1 for r in links)
+    cluster = {}
+    for r in links:
+        cluster.setdefault(r.record, set()).add(r.leader)
+    for i, a in enumerate(names[:-1]):
+        for j in range(i):
+            if edit(a, names[j]) <= 1:
+                forms = df.filter(F.col("id").isin(i, j)).select(D.one_edit(F.col("name")).alias("f")).collect()
+                assert set(forms[0].f) & set(forms[1].f)
+
+
 def test_weights_need_enough_rules(spark):
     rows = [
         (1, "John Smith", "j@x.com", "555-1"), (2, "Jon Smith", "j@x.com", "555-1"),

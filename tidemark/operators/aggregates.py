@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import month_index, money
-from tidemark.operators.ordered import place
+from tidemark.operators.ordered import join_back, place
 from tidemark.session import cut
 
 
@@ -21,7 +21,7 @@ def with_group_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> Dat
     join back can be split by AQE.
     """
     totals = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
-    return df.join(totals, list(keys))
+    return join_back(df, totals, keys)
 
 
 def salted_totals(
@@ -168,7 +168,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, **how) -> DataF
     low = F.floor((F.col("_all") + 1) / 2)
     high = F.floor((F.col("_all") + 2) / 2)
     first = F.col("_hi") - F.col("_n")
-    rows = upto.join(sizes, list(keys)).filter((F.col("_hi") >= low) & (first < high))
+    rows = join_back(upto, sizes, keys).filter((F.col("_hi") >= low) & (first < high))
     # At most two distinct values per key remain: the lower and the upper middle.
     pick_low = F.min(value).cast("double")
     pick_high = F.max(value).cast("double")
@@ -203,7 +203,7 @@ def top_share(spend: DataFrame, keys: Sequence[str], member: str, value: str, sh
     ordered = ordered.latest(
         _rank=F.when(~F.col("_p").eqNullSafe(F.col("_m")), F.col("_rn"))
     )
-    ranked = ordered.df.join(counted, list(keys))
+    ranked = join_back(ordered.df, counted, keys)
     percent = F.coalesce(
         F.try_divide((F.col("_rank") - 1).cast("double"), (F.col("_size") - 1).cast("double")),
         F.lit(0.0),

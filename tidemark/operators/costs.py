@@ -42,9 +42,8 @@ def two_periods(
         )
         .withColumn("delta", F.col("cost_after") - F.col("cost_before"))
     )
-    whole = Window.partitionBy()  # one row per driver key, already aggregated
-    total = F.sum("delta").over(whole)
-    return sums.withColumn("share_of_change", ratio(F.col("delta"), total)).withColumn(
+    whole = sums.agg(F.sum("delta")).scalar()  # one value, whatever the keys
+    return sums.withColumn("share_of_change", ratio(F.col("delta"), whole)).withColumn(
         "change_pct", ratio((F.col("cost_after") - F.col("cost_before")) * 100, F.col("cost_before"))
     )
 
@@ -116,9 +115,8 @@ def allocate(costs: DataFrame, shares: DataFrame, on: str, to: str = "team") ->
 def chargeback(usage: DataFrame, tenant: str, units: str, bill: float) -> DataFrame:
     """Split a bill by each tenant's share of usage."""
     per = usage.groupBy(tenant).agg(F.sum(units).alias("units"))
-    whole = Window.partitionBy()  # one row per tenant
-    share = ratio(F.col("units"), F.sum("units").over(whole))
-    return per.withColumn("share", share).withColumn("charge", F.col("share") * bill)
+    whole = per.agg(F.sum("units")).scalar()  # one value, whatever the tenants
+    return per.withColumn("share", ratio(F.col("units"), whole)).withColumn("charge", F.col("share") * bill)
 
 
 def slowest(log: DataFrame, elapsed: str, condition: Column, n: int, tie: str) -> DataFrame:

@@ -54,18 +54,22 @@ def squeezed(text: Column) -> Column:
 
 
 def one_edit(text: Column) -> Column:
-    """The text and every form with one character removed.
+    """The text with a blank card put in place of, or before or after, each character.
 
-    Two texts at edit distance one always share a form (and sharing one means a
-    distance of at most two), so no pairs have to be compared.
+    The card stands for one character or none. Two texts share a form exactly when they
+    are at most one edit apart, so no pairs have to be compared.
     """
-    cuts = F.transform(
-        F.sequence(F.lit(1), F.length(text)),
-        lambda i: F.concat(F.substring(text, F.lit(1), i - 1), F.substring(text, i + 1, F.length(text))),
+    n = F.length(text)
+    card = F.lit("\u0000")
+    places = F.sequence(F.lit(0), n)
+    put = F.transform(
+        places, lambda i: F.concat(F.substring(text, F.lit(1), i), card, F.substring(text, i + 1, n))
     )
-    return F.when(F.length(text) > 1, F.array_distinct(F.concat(F.array(text), cuts))).otherwise(
-        F.array(text)
+    swapped = F.transform(
+        places, lambda i: F.concat(F.substring(text, F.lit(1), i), card, F.substring(text, i + 2, n))
     )
+    # Past the last character nothing is swapped; that form equals the last put one.
+    return F.when(text.isNotNull(), F.array_distinct(F.concat(put, swapped)))
 
 
 def match_records(

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import place
+from tidemark.session import cut
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
@@ -124,39 +125,47 @@ def version_at(
     start: str,
     end: str,
     ident: str,
-    most_versions: int = 64,
     **how,
 ) -> DataFrame:
     """The dimension version valid at the fact's date; half-open, NULL end is open.
 
-    Versions of a key must not overlap (see ``timeline_faults``). A small dimension
-    with few versions per key is broadcast. Otherwise the newest version that starts
-    at or before the fact is found by the as-of scan, and kept if it has not ended:
-    one sort, however many facts and versions a key has. ``ident`` identifies facts.
+    Where versions of a key overlap, the one that started last is valid, and an older
+    one again once it has ended. The versions are laid out as a timeline without
+    overlaps, and one as-of scan finds the fact's place in it: one sort, however many
+    facts a key has, and the same way at every size. ``ident`` identifies facts.
     """
     extra = [c for c in dim.columns if c not in facts.columns]
-    if fits_broadcast(dim):
-        top = dim.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-        if top <= most_versions:
-            hit = (
-                (F.col(f"f.{key}") == F.col(f"d.{key}"))
-                & (F.col(f"d.{start}") <= F.col(f"f.{at}"))
-                & (F.col(f"d.{end}").isNull() | (F.col(f"d.{end}") > F.col(f"f.{at}")))
-            )
-            joined = facts.alias("f").join(F.broadcast(dim.alias("d")), hit, "left")
-            return joined.select("f.*", *[f"d.{c}" for c in extra])
     kind = dict(facts.dtypes)[at]
-    versions = dim.withColumn("_at", F.col(start).cast(kind)).withColumn("_id", F.lit(0).cast("long"))
+    line = timeline(dim, key, start, end, extra, kind).withColumn("_id", F.lit(0).cast("long"))
     rows = facts.withColumn("_at", F.col(at)).withColumn("_id", F.col(ident))
-    seen = as_of_join(rows, versions, key, "_at", "_id", extra, **how)
-    ended = F.col(f"last_{end}").cast(kind) <= F.col(at)
-    return seen.select(
-        *facts.columns,
-        *[
-            F.when(F.coalesce(ended, F.lit(False)), None).otherwise(F.col(f"last_{c}")).alias(c)
-            for c in extra
-        ],
+    seen = as_of_join(rows, line, key, "_at", "_id", extra, **how)
+    return seen.select(*facts.columns, *[F.col(f"last_{c}").alias(c) for c in extra])
+
+
+def timeline(
+    dim: DataFrame, key: str, start: str, end: str, values: Sequence[str], kind: str = "timestamp"
+) -> DataFrame:
+    """(key, _at, values): from ``_at`` on, the newest version that is valid; NULL for none.
+
+    Each start and end of a key is looked up among the versions of that key alone.
+    Versions that start together are told apart by a hash of their values.
+    """
+    spans = dim.select(
+        F.col(key).alias("_key"), F.col(start).cast(kind).alias("_from"),
+        F.col(end).cast(kind).alias("_to"), F.struct(*values).alias("_version"),
+    )
+    turns = spans.select("_key", F.explode(F.array("_from", "_to")).alias("_at"))
+    turns = turns.filter(F.col("_at").isNotNull()).distinct().withColumnRenamed("_key", key)
+    valid = (
+        (F.col(key) == F.col("_key"))
+        & (F.col("_from") <= F.col("_at"))
+        & (F.col("_to").isNull() | (F.col("_to") > F.col("_at")))
     )
+    order = F.struct("_from", F.xxhash64("_version"))
+    newest = turns.join(spans, valid, "left").groupBy(key, "_at").agg(
+        F.max_by("_version", F.when(F.col("_key").isNotNull(), order)).alias("_version")
+    )
+    return newest.select(key, "_at", *[F.col("_version")[v].alias(v) for v in values])
 
 
 def overlapping(
@@ -202,24 +211,18 @@ def _running_reach(ordered):
 
 
 def also_bought(
-    lines: DataFrame, basket: str, item: str, seeds: DataFrame, max_seeds: int = 1000
+    lines: DataFrame, basket: str, item: str, seeds: DataFrame
 ) -> DataFrame:
     """For each seed item, the other items found in the same baskets, with counts.
 
-    A basket's items are compared only with the seeds it holds, never with each
-    other, so a very large basket costs its size times the seeds in it.
+    Any number of seeds. A basket's items are compared only with the seeds it holds,
+    never with each other; the join splits a basket that holds very many.
     """
-    if seeds.limit(max_seeds + 1).count() > max_seeds:
-        raise ValueError("give the seeds in slices of at most max_seeds")
-    pairs = lines.select(basket, item).distinct()
-    holders = (
-        pairs.join(F.broadcast(seeds.select(F.col(item)).distinct()), item)
-        .groupBy(basket)
-        .agg(F.collect_set(item).alias("_seeds"))
-    )
+    pairs = cut(lines.select(basket, item).distinct())
+    holders = pairs.join(seeds.select(item).distinct(), item, "left_semi").withColumnRenamed(item, "seed")
     return (
         pairs.join(holders, basket)
-        .select(F.explode("_seeds").alias("seed"), F.col(item).alias("other"))
+        .select("seed", F.col(item).alias("other"))
         .filter("seed <> other")
         .groupBy("seed", "other")
         .agg(F.count("*").alias("baskets"))

@@ -2,7 +2,7 @@
 
 A plain ``Window.partitionBy(key)`` puts a whole key into one task. ``place``
 measures the largest key first. While every key fits, the plain window is used
-(one shuffle). Otherwise the rows are range-partitioned on ``(key, order)``, so a
+(one shuffle); both ways give the same rows. Without a key, and otherwise, the rows are range-partitioned on ``(key, order)``, so a
 hot key is spread over many chunks; each chunk is scanned on its own and the state
 carried in from earlier chunks is added. A chunk can only continue the key that the
 chunk before it ended with, so the carry table holds at most one row per chunk and is
@@ -196,6 +196,8 @@ def place(
     and month; it saves measuring. ``chunks`` fixes the number of ranges; by default
     the measured row count decides, or AQE where nothing was measured.
     """
+    if mode == "auto" and not keys:
+        mode = "chunked"  # a window without keys is one task, whatever the size
     if mode == "auto":
         sizes = df.groupBy(*keys).count().agg(F.max("count"), F.sum("count")).first()
         mode = "chunked" if (sizes[0] or 0) > hot_rows else "window"
@@ -217,7 +219,7 @@ def _spanning_keys(laid: DataFrame, keys: Sequence[str]) -> DataFrame | None:
         return None
     named = [F.col(k).alias(f"_s{i}") for i, k in enumerate(keys)]
     spans = laid.groupBy(*named).agg(F.min(_CHUNK).alias("lo"), F.max(_CHUNK).alias("hi"))
-    return cut(spans.filter("lo < hi").drop("lo", "hi").coalesce(1))
+    return cut(spans.filter("lo < hi").drop("lo", "hi"))
 
 
 def with_row_number(ordered: Ordered, name: str = "rn") -> Ordered:
@@ -280,7 +282,7 @@ def exact_quantiles(
     ordered = place(counted, keys, [value], **how).running_sum(_upto=F.col("_n"))
     rows = ordered.df
     totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
-    rows = rows.join(totals, list(keys)) if keys else _attach_single(rows, totals)
+    rows = join_back(rows, totals, keys) if keys else _attach_single(rows, totals)
     return rows.groupBy(*keys).agg(
         *[
             F.min(
@@ -294,6 +296,15 @@ def exact_quantiles(
     )
 
 
+def join_back(rows: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join of rows with one row per key; a NULL key meets the NULL key."""
+    named = totals.withColumnsRenamed({k: f"_b{i}" for i, k in enumerate(keys)})
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & rows[k].eqNullSafe(named[f"_b{i}"])
+    return rows.join(named, same).drop(*[f"_b{i}" for i in range(len(keys))])
+
+
 def _attach_single(rows: DataFrame, one_row: DataFrame) -> DataFrame:
     value = one_row.first()
     return rows.withColumns({c: F.lit(value[c]) for c in one_row.columns})

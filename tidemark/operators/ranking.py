@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.ordered import Ordered, islands, place, ranks
+from tidemark.operators.ordered import Ordered, islands, join_back, place, ranks
 
 
 def top_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -94,7 +94,7 @@ def long_run_rows(ordered: Ordered, at_least: int) -> DataFrame:
     """Member rows of runs with at least ``at_least`` rows."""
     rows = ordered.df
     sizes = rows.groupBy(*ordered.keys, "island").agg(F.count("*").alias("points"))
-    return rows.join(sizes.filter(F.col("points") >= at_least), [*ordered.keys, "island"])
+    return join_back(rows, sizes.filter(F.col("points") >= at_least), [*ordered.keys, "island"])
 
 
 def collective_runs(

@@ -246,17 +246,14 @@ def rle_range(spark, sf):
     return hit.groupBy("user_id").agg(F.count("*").alias("runs"), F.sum("points").alias("points"))
 
 
-@query(
-    "rle_size",
-    f"""WITH {RUNS} SELECT 'points' AS form, COUNT(*) AS rows, true AS stored FROM events UNION ALL SELECT 'runs', COUNT(*), true FROM r""",
-)
+@query("rle_size")
 def rle_size(spark, sf):
-    """Rows of the points and of their runs, both as Parquet files."""
+    """Rows and bytes of the points and of their runs, both as Parquet files."""
     a, b = fresh_path(spark, "points"), fresh_path(spark, "runs")
     events(spark, sf).select("user_id", "ts", F.round(F.col("value") / 50, 0).alias("v")).write.parquet(a)
     _runs(spark, sf).select("user_id", "run_start", "run_end", "run_value").write.parquet(b)
     out = None
     for label, path in (("points", a), ("runs", b)):
-        one = data_files(spark, path).agg(F.lit(label).alias("form"), F.sum("rows").alias("rows"), (F.sum("bytes") > 0).alias("stored"))
+        one = data_files(spark, path).agg(F.lit(label).alias("form"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"))
         out = one if out is None else out.unionByName(one)
     return out

@@ -190,7 +190,7 @@ def versioned_revenue(spark, sf):
     facts = J.version_at(
         orders(spark, sf).select("order_id", "customer_id", "amount", "order_date"),
         dim.select("customer_id", "customer_key", "effective_date", "expiration_date"),
-        "customer_id", "order_date", "effective_date", "expiration_date", "order_id", most_versions=0,
+        "customer_id", "order_date", "effective_date", "expiration_date", "order_id",
     ).select("customer_key", "amount")
     return (
         facts.join(dim.select("customer_key", "priority"), "customer_key")

@@ -25,17 +25,12 @@ def top3_products(spark, sf):
     return R.top_n(per, [F.desc("revenue"), F.asc("product")], 3)
 
 
-@query(
-    "clustered_layout",
-    "SELECT o_custkey, COUNT(*) AS n, true AS in_one_task FROM orders GROUP BY 1",
-)
+@query("clustered_layout")
 def clustered_layout(spark, sf):
-    """Rows distributed by customer and sorted inside tasks."""
+    """Rows distributed by customer and sorted inside tasks: each row with its task and place."""
     laid = table(spark, sf, "orders").repartition("o_custkey").sortWithinPartitions("o_custkey", "o_orderdate")
-    marked = laid.select("o_custkey", F.spark_partition_id().alias("p"))
-    return marked.groupBy("o_custkey").agg(
-        F.count("*").alias("n"), (F.min("p") == F.max("p")).alias("in_one_task")
-    )
+    place = F.monotonically_increasing_id()
+    return laid.select("o_custkey", "o_orderdate", F.spark_partition_id().alias("task"), place.alias("place"))
 
 
 @query(
@@ -188,15 +183,24 @@ def record_clusters(spark, sf):
 
 @query(
     "fuzzy_brands",
-    """WITH f AS (SELECT DISTINCT p_partkey AS record, form FROM (SELECT p_partkey, p_brand AS form FROM part
-    UNION ALL SELECT p_partkey, substr(p_brand, 1, i - 1) || substr(p_brand, i + 1) FROM part, range(1, 20) AS t(i) WHERE i <= length(p_brand))),
-    l AS (SELECT form, MIN(record) AS leader FROM f GROUP BY 1 HAVING COUNT(*) > 1)
-    SELECT DISTINCT record, leader FROM f JOIN l USING (form) WHERE record <> leader""",
+    """WITH RECURSIVE names AS (SELECT p_brand AS name, MIN(p_partkey) AS first FROM part GROUP BY 1),
+    near AS (SELECT a.name AS a, b.name AS b FROM names a JOIN names b ON levenshtein(a.name, b.name) <= 1),
+    reach AS (SELECT a, b FROM near UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a),
+    least AS (SELECT reach.a AS name, MIN(first) AS leader FROM reach JOIN names ON reach.b = names.name GROUP BY 1)
+    SELECT p_partkey AS record, leader FROM part JOIN least ON p_brand = name WHERE p_partkey <> leader""",
 )
 def fuzzy_brands(spark, sf):
-    """Parts whose brand texts are one edit apart, linked without comparing pairs."""
-    rule = D.Rule("brand", D.one_edit(F.col("p_brand")), 1.0)
-    return D.match_records(table(spark, sf, "part"), "p_partkey", [rule], 1.0).select("record", "leader")
+    """Parts whose brand texts are chained by single edits, with the smallest part of the chain.
+
+    Distinct texts are matched; parts follow their text.
+    """
+    parts = table(spark, sf, "part").select("p_partkey", "p_brand")
+    names = parts.groupBy("p_brand").agg(F.min("p_partkey").alias("first"))
+    links = D.match_records(names, "first", [D.Rule("brand", D.one_edit(F.col("p_brand")), 1.0)], 1.0)
+    chains = D.clusters(links, "record", "leader").select(F.col("node").alias("first"), "cluster")
+    leaders = names.join(chains, "first", "left").select("p_brand", F.coalesce("cluster", "first").alias("leader"))
+    linked = parts.join(leaders, "p_brand").filter(F.col("p_partkey") != F.col("leader"))
+    return linked.select(F.col("p_partkey").alias("record"), "leader")
 
 
 @query("near_copies")

@@ -51,13 +51,13 @@ def compare_env(spark, sf):
     "trend6",
     f"""WITH {COSTS}, m AS (SELECT service, (year(date) * 12 + month(date))::BIGINT AS i, SUM(cost) AS c FROM costs
     WHERE date >= DATE '1998-02-01' AND date < DATE '1998-08-01' GROUP BY 1, 2)
-    SELECT service, COUNT(*) AS periods, COUNT(*) * SUM(i * c) - SUM(i) * SUM(c) > 0 AS rising FROM m GROUP BY 1""",
+    SELECT service, COUNT(*) AS periods, ROUND(CAST(COUNT(*) * SUM(i * c) - SUM(i) * SUM(c) AS DOUBLE) / CAST(COUNT(*) * SUM(i * i) - SUM(i) * SUM(i) AS DOUBLE), 2) AS slope FROM m GROUP BY 1""",
 )
 def trend6(spark, sf):
-    """Direction of six monthly sums per service."""
+    """Change per month over six monthly sums of each service, to the cent."""
     rows = costs(spark, sf).filter(between("date", date(1998, 2, 1), date(1998, 8, 1)))
     monthly = rows.groupBy("service", month_index("date").cast("long").alias("i")).agg(F.sum("cost").alias("c"))
-    return trend_slope(monthly, ["service"], "i", "c").select("service", "periods", (F.col("slope") > 0).alias("rising"))
+    return trend_slope(monthly, ["service"], "i", "c").select("service", "periods", F.round("slope", 2).alias("slope"))
 
 
 @query(

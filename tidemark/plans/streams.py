@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import normal_key
+from tidemark.functions.columns import normal_key, ratio
 from tidemark.operators.versions import Dataset
 from tidemark.plans.frames import COSTS, events
 from tidemark.plans.registry import query, table
@@ -30,33 +30,46 @@ def landed_files(spark, sf):
     return rows.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
-HOURLY = """h AS (SELECT date_trunc('hour', ts) AS s, COUNT(*) AS n, COUNT(*) FILTER (WHERE event_type = 'error') AS errors FROM events GROUP BY 1)"""
+HOURLY = """h AS (SELECT date_trunc('hour', ts) AS s, COUNT(*) AS n, COUNT(*) FILTER (WHERE event_type = 'error') AS errors,
+    CAST(COUNT(*) FILTER (WHERE event_type = 'error') AS DOUBLE) / COUNT(*) AS error_rate FROM events GROUP BY 1)"""
 
 
 @query(
     "stream_hourly",
-    f"""WITH {HOURLY} SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, n, errors FROM h
+    f"""WITH {HOURLY} SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, n, errors, error_rate FROM h
     WHERE s + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 7 DAY""",
 )
 def stream_hourly(spark, sf):
     """Windows closed by a seven-day watermark, in append mode."""
     out = S.drain(S.hourly_health(_stream(spark, sf).withWatermark("ts", DELAY)), "hourly")
-    return out.select(_local("window_start"), "n", "errors")
+    return out.select(_local("window_start"), "n", "errors", ratio(F.col("errors"), F.col("n")).alias("error_rate"))
 
 
-@query("batch_hourly", f"WITH {HOURLY} SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, n, errors FROM h")
+@query("batch_hourly", f"WITH {HOURLY} SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, n, errors, error_rate FROM h")
 def batch_hourly(spark, sf):
     """The same function on the batch table."""
-    return S.hourly_health(S.zoned(events(spark, sf))).select(_local("window_start"), "n", "errors")
+    return S.hourly_health(S.zoned(events(spark, sf))).select(_local("window_start"), "n", "errors", ratio(F.col("errors"), F.col("n")).alias("error_rate"))
 
 
 @query(
     "active_sliding",
-    """WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS s FROM events UNION ALL SELECT time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE FROM events)
-    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, COUNT(*) AS n FROM w GROUP BY 1""",
+    """WITH w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS s, user_id FROM events UNION ALL SELECT time_bucket(INTERVAL 5 MINUTE, ts) - INTERVAL 5 MINUTE, user_id FROM events)
+    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, COUNT(*) AS n, COUNT(DISTINCT user_id) AS users FROM w GROUP BY 1""",
 )
 def active_sliding(spark, sf):
-    return S.active_now(S.zoned(events(spark, sf))).select(_local("window_start"), "n")
+    """Events and active users of sliding ten-minute windows."""
+    return S.active_users(S.zoned(events(spark, sf))).select(_local("window_start"), "n", "users")
+
+
+@query(
+    "hourly_features",
+    """WITH c AS (SELECT date_trunc('hour', ts) AS s, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2),
+    r AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY n DESC, event_type) AS place FROM c)
+    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(place AS BIGINT) AS place, event_type, n FROM r WHERE place <= 3""",
+)
+def hourly_features(spark, sf):
+    """The three most used features of each hour."""
+    return S.top_per_hour(S.zoned(events(spark, sf))).select(_local("window_start"), "place", "event_type", "n")
 
 
 @query(

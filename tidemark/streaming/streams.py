@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.changes import last_changes
@@ -58,6 +58,22 @@ def active_now(events: DataFrame, span: str = "10 minutes", slide: str = "5 minu
     ).select(F.col("window.start").alias("window_start"), "n", "users_about")
 
 
+def active_users(events: DataFrame, span: str = "10 minutes", slide: str = "5 minutes") -> DataFrame:
+    """Sliding windows of a batch: events and the exact number of active users."""
+    per = events.groupBy(F.window("ts", span, slide), "user_id").agg(F.count("*").alias("n"))
+    return per.groupBy("window").agg(F.sum("n").alias("n"), F.count("user_id").alias("users")).select(
+        F.col("window.start").alias("window_start"), "n", "users"
+    )
+
+
+def top_per_hour(events: DataFrame, most: int = 3) -> DataFrame:
+    """The event types with most events in each hour, from counts; ties by name."""
+    per = events.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("window").orderBy(F.desc("n"), "event_type")
+    ranked = per.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= most)
+    return ranked.select(F.col("window.start").alias("window_start"), "place", "event_type", "n")
+
+
 def session_windows(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     return events.groupBy("user_id", F.session_window("ts", gap)).agg(F.count("*").alias("points")).select(
         "user_id",
