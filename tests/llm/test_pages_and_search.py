@@ -149,7 +149,7 @@ def test_near_copies_are_found_first(spark):
     x = rng.standard_normal((600, 32))
     x[300:] = x[:300] * 1.01 + 0.01 * rng.standard_normal((300, 32))
     frame = spark.createDataFrame([(k, [float(c) for c in v]) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
-    got = {r.query_id: r.vec_id for r in ann.nearest(frame, lambda key: key < 300, k=1, tables=4, probes=2).collect()}
+    got = {r.query_id: r.vec_id for r in ann.nearest(frame, lambda key: key < 300, k=1, tables=6, probes=16).collect()}
     exact = x[:300] @ x.T
     exact[np.arange(300), np.arange(300)] = -np.inf
     assert np.mean([got.get(k) == exact[k].argmax() for k in range(300)]) > 0.95

@@ -233,8 +233,8 @@ def nearest(
     compared with all rows, in blocks.
 
     Recall grows with ``tables`` and ``probes`` (of twice the padded length buckets); the
-    defaults are for neighbours with a cosine around 0.4, and find near copies always. A
-    bucket is compared in parts of about ``part_rows`` rows, each with all queries that
+    defaults are for neighbours with a cosine around 0.4, and nearer ones are found more
+    surely. A bucket is compared in parts of about ``part_rows`` rows, each with all queries that
     look into it.
     """
     rows = cut(loaded(vectors, key, vector))

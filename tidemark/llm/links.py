@@ -67,10 +67,10 @@ def linked_blocks(tasks: DataFrame, verify: Callable[[dict, dict, bool], np.ndar
 
     def answers(key_rows: dict):
         second = np.array(key_rows["second"], bool)
-        same = not second.any()
+        same = key_rows["i"][0] == key_rows["j"][0]
         left = {c: [x for x, s in zip(key_rows[c], second) if not s] for c in names[4:]}
         right = left if same else {c: [x for x, s in zip(key_rows[c], second) if s] for c in names[4:]}
-        if (same and len(left["id"]) < 2) or not left["id"]:
+        if (same and len(left["id"]) < 2) or not left["id"] or not right["id"]:
             return None
         linked = verify(left, right, same)
         if same:

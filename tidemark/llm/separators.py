@@ -51,13 +51,14 @@ def write_flat(encoded: DataFrame, end_id: int, width: int = 2, key: str = "doc_
     return cut(encoded.select(key, ids).mapInArrow(write, f"path string, place long, `{key}` {kind}"))
 
 
-def blocks_of(files: DataFrame, block_bytes: int) -> DataFrame:
-    """(path, block, at, size): the byte ranges of the files in ``path``."""
+def blocks_of(files: DataFrame, block_bytes: int, width: int) -> DataFrame:
+    """(path, block, at, size): byte ranges of the whole ids in the files in ``path``."""
 
     def lay_out(batches):
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 size = file_size(path)
+                size -= size % width
                 at = np.arange(0, size, block_bytes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([path] * len(at), pa.string()), pa.array(np.arange(len(at))), pa.array(at), pa.array(np.minimum(block_bytes, size - at))],
@@ -82,7 +83,7 @@ def count_tokens(files: DataFrame, end_id: int, width: int = 2, block_bytes: int
             columns = (batch.column(k).to_pylist() for k in range(4))
             for path, block, at, size in zip(*columns):
                 with open_input(path) as f:
-                    data = f.read_at(size - size % width, at)
+                    data = f.read_at(size, at)
                 ids = np.frombuffer(data, KINDS[width])
                 ends = np.flatnonzero(ids == end_id) + at // width
                 yield pa.RecordBatch.from_arrays(
@@ -97,7 +98,7 @@ def count_tokens(files: DataFrame, end_id: int, width: int = 2, block_bytes: int
                     names=["path", "block", "upto", "n", "last", "ends"],
                 )
 
-    ranges = dealt(blocks_of(files.select("path").distinct(), block_bytes), "path", "block")
+    ranges = dealt(blocks_of(files.select("path").distinct(), block_bytes, width), "path", "block")
     found = cut(ranges.mapInArrow(search, "path string, block long, upto long, n long, last long, ends array<long>"))
     earlier = Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     stitched = found.select("path", "block", "upto", "n", "last").select(

@@ -123,7 +123,7 @@ class Shard:
         return value
 
     def _range(self, token: int, lo: int, hi: int) -> tuple[int, int]:
-        if token >> self.bits:
+        if token >> self.bits or not self.n:
             return 0, 0
         for plane in range(self.bits):
             a, b = self.rank1(plane, lo), self.rank1(plane, hi)
