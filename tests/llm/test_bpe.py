@@ -83,6 +83,8 @@ def test_columns(spark, vocab, library):
     rows = [(1, "it's", "x", 9), (1, "it's", "x", 9), (2, None, None, None), (None, "", "y", 0)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, IDS string, n_tokens int")
     out = bpe.decode(bpe.encode(docs, vocab), vocab)
+    at_once = bpe.encode(docs, vocab, decoded="decoded")
+    assert at_once.columns == out.columns and sorted(at_once.collect(), key=str) == sorted(out.collect(), key=str)
     assert out.columns == ["doc_id", "text", "ids", "n_tokens", "decoded"]
     got = sorted([(r.doc_id, bytes(r.ids), r.n_tokens, r.decoded) for r in out.collect()], key=str)
     ids = np.array(expected(library, ["it's"])[0], "<u4").tobytes()

@@ -253,14 +253,16 @@ def with_column(batch: pa.RecordBatch, names: list[str], arrays: list[pa.Array])
 
 
 def encode(
-    docs: DataFrame, vocab: Vocabulary, text: str = "text", ids: str = "ids", count: str = "n_tokens", special: bool = True
+    docs: DataFrame, vocab: Vocabulary, text: str = "text", ids: str = "ids", count: str = "n_tokens", special: bool = True, decoded: str | None = None
 ) -> DataFrame:
     """Adds the ids of the whole text (binary: little-endian unsigned 32-bit) and their number.
 
     A null or empty text has no ids. Other columns pass through, repeated rows too; columns
-    that are named ``ids`` or ``count`` already are replaced. Nothing is shuffled.
+    that are named ``ids`` or ``count`` already are replaced. With ``decoded``, a column of
+    that name holds the text that the ids stand for (see decode), made in the same task
+    instead of a second Python worker. Nothing is shuffled.
     """
-    docs = without(docs, ids, count)
+    docs = without(docs, ids, count, *([decoded] if decoded else []))
     shared = docs.sparkSession.sparkContext.broadcast(vocab)
     at = docs.columns.index(text)
 
@@ -268,14 +270,19 @@ def encode(
         encoder = Encoder(shared.value, special)
         for batch in slices(batches, at):
             got = encoder([t or "" for t in batch.column(at).to_pylist()])
-            yield with_column(
-                batch,
-                [ids, count],
-                [pa.array([a.astype("<u4", copy=False).tobytes() for a in got], pa.binary()), pa.array([len(a) for a in got], pa.int64())],
-            )
+            names, columns = [ids, count], [pa.array([a.astype("<u4", copy=False).tobytes() for a in got], pa.binary()), pa.array([len(a) for a in got], pa.int64())]
+            if decoded:
+                names.append(decoded)
+                columns.append(pa.array(_decoded(shared.value, got), pa.string()))
+            yield with_column(batch, names, columns)
 
-    schema = T.StructType([*docs.schema, T.StructField(ids, T.BinaryType()), T.StructField(count, T.LongType())])
-    return docs.mapInArrow(run, schema)
+    fields = [T.StructField(ids, T.BinaryType()), T.StructField(count, T.LongType())]
+    fields += [T.StructField(decoded, T.StringType())] if decoded else []
+    return docs.mapInArrow(run, T.StructType([*docs.schema, *fields]))
+
+
+def _decoded(vocab: Vocabulary, arrays: list[np.ndarray]) -> list[str]:
+    return [t for some in chunked(arrays, 200_000) for t in decode_ids(vocab, some)]
 
 
 def decode(df: DataFrame, vocab: Vocabulary, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -290,8 +297,7 @@ def decode(df: DataFrame, vocab: Vocabulary, ids: str = "ids", text: str = "deco
     def run(batches):
         for batch in slices(batches, at):
             arrays = [np.frombuffer(b or b"", "<u4") for b in batch.column(at).to_pylist()]
-            texts = [t for some in chunked(arrays, 200_000) for t in decode_ids(shared.value, some)]
-            yield with_column(batch, [text], [pa.array(texts, pa.string())])
+            yield with_column(batch, [text], [pa.array(_decoded(shared.value, arrays), pa.string())])
 
     return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(text, T.StringType())]))
 
