@@ -38,9 +38,9 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each row, checked by decoding: doc_id, source, n_tokens, ids, exact."""
     vocab = bpe.load(public_tokenizers.path(VOCABULARY))
-    encoded = bpe.encode(docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text")), vocab)
-    decoded = bpe.decode(encoded, vocab)
-    return decoded.select("doc_id", "source", "n_tokens", "ids", (F.col("decoded") == F.col("text")).alias("exact"))
+    texts = docs.select("doc_id", "source", F.coalesce("text", F.lit("")).alias("text"))
+    coded = bpe.encode(texts, vocab, decoded="decoded")
+    return coded.select("doc_id", "source", "n_tokens", "ids", (F.col("decoded") == F.col("text")).alias("exact"))
 
 
 STAGES = [("language ID", by_language), ("n-gram Jaccard join", one_of_each), ("mixing", mixed), ("BPE", as_tokens)]
