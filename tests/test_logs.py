@@ -88,6 +88,22 @@ def test_nearest_in_blocks_matches_brute_force(spark, sf):
     assert [r.vec_id for r in R.nearest(zero, one, 5).collect()] == [2]
 
 
+def test_nearest_defines_odd_rows_ties_and_many_questions(spark):
+    rows = [(i, [1.0, 0.0], "a") for i in range(9, 0, -1)] + [
+        (20, None, "a"), (21, [], "a"), (22, [None, 1.0], "a"), (23, [float("nan"), 1.0], "a"),
+        (24, [1.0, 0.0, 0.0], "a"), (None, [1.0, 0.0], "a"), (25, [0.5, 0.5], None),
+    ]
+    vecs = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    many = spark.range(5000).select(F.concat(F.lit("q"), "id").alias("question_id"), F.expr("array(2D, 0D)").alias("embedding"), F.expr("IF(id % 2 = 0, 'a', NULL)").alias("label"))
+    hits = R.nearest(vecs, many, 3).groupBy("question_id").agg(F.sort_array(F.collect_list("vec_id")).alias("v"))
+    assert hits.groupBy("v").count().collect() == [([1, 2, 3], 5000)]
+    both = R.nearest_both(vecs, many, 3, "label").groupBy("inside").agg(F.count("*").alias("n"), F.max("vec_id").alias("v"))
+    assert {(r.inside, r.n, r.v) for r in both.collect()} == {(False, 15000, 3), (True, 7500, 3)}
+    text = R.nearest(vecs, many, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+    assert R.nearest(vecs.limit(0), many, 3).count() == 0 and R.nearest(vecs, many.limit(0), 3).count() == 0
+
+
 def test_hybrid_and_contexts(spark):
     a = spark.createDataFrame([(1, 10, 1), (1, 11, 2)], "q long, v long, rank int")
     b = spark.createDataFrame([(1, 11, 1), (1, 12, 2), (1, 13, 3)], "q long, v long, rank int")

@@ -6,14 +6,19 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.text import FOLLOW_UP_WORDS, confidence_label, has_word
 from tidemark.operators.ordered import place
 from tidemark.operators.ranking import top_n_per_group
+from tidemark.session import cut
 
 QUESTION_BLOCK = 2048
+VECTOR_PACK = 2048
+HELD_ROWS = 400_000
 
 
 def cosine(a: Column, b: Column) -> Column:
@@ -44,64 +49,181 @@ def nearest(
     category: str | None = None,
     block: int = QUESTION_BLOCK,
 ) -> DataFrame:
-    """The ``k`` most similar vectors for every question.
+    """The ``k`` most similar vectors for every question: question, ident, similarity, rank.
 
-    Questions are taken in blocks of at most ``block`` rows, which bounds what each
-    task holds; any number of questions is answered by as many passes. A task keeps
-    its own k best per question, so only tasks x questions x k rows are shuffled.
-    ``category`` names a column on both sides that must be equal.
+    ``category`` names a column on both sides that must be equal. Ties go to the smaller
+    ident. Null, empty and zero vectors, those with null or non-finite values, and rows
+    without ident are similar to nothing; vectors are compared with questions of their
+    own length only.
+
+    Vectors are read once, in packs, and meet the questions in blocks of at most ``block``;
+    a task keeps the k best of its packs. Few questions go to the vectors by AQE's size
+    check, many are joined by block, and only best lists are shuffled after that.
     """
-    cols = [question, column] + ([category] if category else [])
-    ordered = place(questions.select(*cols), [], [question])
-    numbered = ordered.running_sum(_i=F.lit(1).cast("long")).df
-    count = numbered.agg(F.max("_i")).first()[0] or 0
-    out = None
-    for low in range(0, max(count, 1), block):
-        rows = numbered.filter((F.col("_i") > low) & (F.col("_i") <= low + block)).collect()
-        part = _best_of_block(vectors, rows, k, ident, column, question, category)
-        out = part if out is None else out.unionByName(part)
-    ranked = top_n_per_group(out, [question], [F.desc("similarity"), F.asc(ident)], k, "rank")
+    inside = category is not None
+    found = _best(vectors, questions, k, ident, column, question, category, [inside], block)
+    ranked = top_n_per_group(found, [question], [F.desc("similarity"), F.asc(ident)], k, "rank")
     return ranked.select(question, ident, "similarity", "rank")
 
 
-def _best_of_block(vectors, rows, k, ident, column, question, category) -> DataFrame:
-    names = [r[question] for r in rows]
-    groups = [r[category] for r in rows] if category else None
-    matrix = np.array([r[column] for r in rows], dtype=np.float64)
-    if len(rows):
-        matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
-    kinds = dict(vectors.dtypes)
-    question_kind = {int: "long", str: "string"}.get(type(names[0]) if names else int, "string")
+def nearest_both(
+    vectors: DataFrame,
+    questions: DataFrame,
+    k: int,
+    category: str,
+    ident: str = "vec_id",
+    column: str = "embedding",
+    question: str = "question_id",
+    block: int = QUESTION_BLOCK,
+) -> DataFrame:
+    """The k most similar of all vectors and, as rows with ``inside``, the k most similar of
+    the question's category, from one pass over the vectors.
+    """
+    found = _best(vectors, questions, k, ident, column, question, category, [False, True], block)
+    order = [F.desc("similarity"), F.asc(ident)]
+    ranked = top_n_per_group(found, [question, "inside"], order, k, "rank")
+    return ranked.select(question, ident, "similarity", "inside", "rank")
+
+
+def _best(vectors, questions, k, ident, column, question, category, ways, block) -> DataFrame:
+    """(question, ident, similarity, inside): the k best of each task, for each of ``ways``."""
+    asked = _question_blocks(questions, column, question, category, block)
+    last = asked.agg(F.max("block")).first()[0] or 0
+    packs = _packs(vectors, ident, column, category).withColumn(
+        "block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last).cast("long")))
+    )
+    names = ["ids", "groups", "units", "questions", "question_groups", "question_units"]
+    kinds = {question: dict(questions.dtypes)[question], ident: dict(vectors.dtypes)[ident]}
+    schema = f"`{question}` {kinds[question]}, `{ident}` {kinds[ident]}, similarity double, inside boolean"
+
+    def shrink(frames: list[pd.DataFrame]) -> pd.DataFrame:
+        every = pd.concat(frames, ignore_index=True)
+        every = every.sort_values(["similarity", ident], ascending=[False, True], kind="stable")
+        return every.groupby([question, "inside"], sort=False).head(k)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pd.DataFrame] = []
+        size = 0
+
+        def sent(frame: pd.DataFrame) -> pa.RecordBatch:
+            return pa.RecordBatch.from_pandas(frame, preserve_index=False)
 
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        best = [(np.empty(0), np.empty(0, dtype=np.int64))] * len(names)
         for batch in batches:
-            if batch.empty or not names:
-                continue
-            data = np.stack(batch[column].to_numpy()).astype(np.float64)
-            norms = np.linalg.norm(data, axis=1, keepdims=True)
-            scores = (data / np.where(norms == 0, 1, norms)) @ matrix.T
-            scores[norms[:, 0] == 0] = -np.inf  # a zero vector is similar to nothing
-            ids = batch[ident].to_numpy()
-            if groups is not None:
-                other = batch[category].to_numpy()[:, None] != np.asarray(groups)[None, :]
-                scores[other] = -np.inf
-            # Everything at or above the k-th score, so that ties are all considered.
-            at = max(len(ids) - k, 0)
-            floors = np.maximum(np.partition(scores, at, axis=0)[at], np.finfo(float).min)
-            for i, floor in enumerate(floors):
-                near = np.flatnonzero(scores[:, i] >= floor)
-                mine = np.concatenate([best[i][0], scores[near, i]])
-                keys = np.concatenate([best[i][1], ids[near]])
-                top = np.lexsort((keys, -mine))[:k]
-                best[i] = (mine[top], keys[top])
-        for name, (mine, keys) in zip(names, best):
-            if len(keys):
-                yield pd.DataFrame({question: name, ident: keys, "similarity": mine})
-
-    wanted = [ident, column] + ([category] if category else [])
-    return vectors.select(*wanted).mapInPandas(
-        search, f"{question} {question_kind}, {ident} {kinds[ident]}, similarity double"
+            for row in range(batch.num_rows):
+                one = {c: batch.column(i)[row].values for i, c in enumerate(names)}
+                ids = one["ids"].to_numpy(zero_copy_only=False)
+                asks = one["questions"].to_numpy(zero_copy_only=False)
+                x = one["units"].to_numpy(zero_copy_only=False).reshape(len(ids), -1)
+                y = one["question_units"].to_numpy(zero_copy_only=False).reshape(len(asks), -1)
+                scores = x @ y.T
+                for inside in ways:
+                    if inside:
+                        groups = one["groups"].to_pylist() + one["question_groups"].to_pylist()
+                        code = pd.factorize(np.array(groups, dtype=object))[0]
+                        mine, theirs = code[: len(ids), None], code[None, len(ids) :]
+                        scores = np.where((mine == theirs) & (mine >= 0), scores, -np.inf)
+                    at, to = np.nonzero(_top(scores, k))
+                    held.append(
+                        pd.DataFrame(
+                            {question: asks[to], ident: ids[at], "similarity": scores[at, to], "inside": inside}
+                        )
+                    )
+                    size += len(at)
+                if size > HELD_ROWS:
+                    held = [shrink(held)]
+                    size = len(held[0])
+                    if size > HELD_ROWS // 2:
+                        yield sent(held.pop())
+                        size = 0
+        if held:
+            yield sent(shrink(held))
+
+    met = packs.join(asked, ["block", "dims"]).select(*names)
+    return met.mapInArrow(search, schema)
+
+
+def _top(scores: np.ndarray, k: int) -> np.ndarray:
+    """Marks the k best rows of each column; of equal ones the first, nothing at -inf."""
+    if len(scores) <= k:
+        return scores > -np.inf
+    at = len(scores) - k
+    floors = np.partition(scores, at, axis=0)[at]
+    over = scores > floors
+    ties = (scores == floors) & (floors > -np.inf)
+    room = k - over.sum(axis=0)
+    return over | (ties & (ties.cumsum(axis=0) <= room))
+
+
+def _units(rows: DataFrame, keys: list[Column], column: str, size: int) -> DataFrame:
+    """Packs of at most ``size`` rows of a batch: dims, ids, groups, and their unit vectors one
+    after the other, in the order of ids.
+
+    ``keys``: ident and category. Rows that can be similar to nothing are left out.
+    """
+    plain = rows.select(keys[0].alias("ids"), keys[1].alias("groups"), F.col(column).cast("array<double>").alias("v"))
+    kind = dict(plain.dtypes)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lengths = pc.fill_null(pc.list_value_length(batch.column(2)), 0).to_numpy(zero_copy_only=False)
+            for dims in np.unique(lengths[lengths > 0]):
+                some = np.flatnonzero((lengths == dims) & batch.column(0).is_valid().to_numpy(zero_copy_only=False))
+                ids = batch.column(0).take(pa.array(some))
+                some = some[pc.sort_indices(ids).to_numpy()]
+                for a in range(0, len(some), size):
+                    part = batch.take(pa.array(some[a : a + size]))
+                    x = part.column(2).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                    peak = np.abs(x).max(axis=1)
+                    fine = np.isfinite(peak) & (peak > 0)
+                    x = x[fine] / peak[fine, None]
+                    x /= np.linalg.norm(x, axis=1, keepdims=True)
+                    part = part.filter(pa.array(fine))
+                    if part.num_rows:
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "dims": pa.array([int(dims)], pa.int32()),
+                                "ids": _as_list(part.column(0)),
+                                "groups": _as_list(part.column(1)),
+                                "units": _as_list(pa.array(x.reshape(-1))),
+                            }
+                        )
+
+    return plain.mapInArrow(
+        pack, f"dims int, ids array<{kind['ids']}>, groups array<{kind['groups']}>, units array<double>"
+    )
+
+
+def _as_list(values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+
+def _group(category: str | None) -> Column:
+    return F.col(category) if category else F.lit(None).cast("string")
+
+
+def _packs(vectors: DataFrame, ident: str, column: str, category: str | None) -> DataFrame:
+    return _units(vectors, [F.col(ident), _group(category)], column, VECTOR_PACK)
+
+
+def _question_blocks(questions, column, question, category, block) -> DataFrame:
+    """(block, dims, questions, question_groups, question_units), numbered in question order."""
+    plain = questions.select(F.col(question).alias("ids"), _group(category).alias("groups"), F.col(column).alias("v"))
+    numbered = place(plain, [], ["ids"]).running_sum(_i=F.lit(1).cast("long")).df
+    single = _units(numbered.withColumn("groups", F.struct("groups", "_i")), [F.col("ids"), F.col("groups")], "v", 1)
+    listed = single.select(
+        F.floor((F.col("groups")[0]["_i"] - 1) / block).cast("long").alias("block"),
+        "dims",
+        F.struct(F.col("ids")[0].alias("id"), F.col("groups")[0]["groups"].alias("grp"), "units").alias("q"),
+    )
+    blocks = listed.groupBy("block", "dims").agg(F.collect_list("q").alias("q"))
+    return cut(
+        blocks.select(
+            "block",
+            "dims",
+            F.col("q.id").alias("questions"),
+            F.col("q.grp").alias("question_groups"),
+            F.flatten("q.units").alias("question_units"),
+        )
     )
 
 

@@ -8,6 +8,7 @@ from tidemark.functions import text as X
 from tidemark.functions.columns import normal_key
 from tidemark.operators import retrieval as R
 from tidemark.plans.registry import query, table
+from tidemark.session import cut
 
 DIMS = 64
 
@@ -68,9 +69,9 @@ HYBRID = f"""{CENTROIDS}, {TOP.format(where='')}, s2 AS (SELECT CAST(q.label AS
 
 def _hybrid(spark, sf):
     vectors, asked = table(spark, sf, "embeddings"), _questions(spark, sf)
-    semantic = R.nearest(vectors, asked, 10).select("question_id", "vec_id", "rank")
-    filtered = R.nearest(vectors, asked, 10, category="label").select("question_id", "vec_id", "rank")
-    return R.hybrid(semantic, filtered, "question_id", "vec_id", 5)
+    hits = cut(R.nearest_both(vectors, asked, 10, "label"))
+    parts = [hits.filter(c).select("question_id", "vec_id", "rank") for c in ("NOT inside", "inside")]
+    return R.hybrid(*parts, "question_id", "vec_id", 5)
 
 
 @query("hybrid_topk", f"WITH {HYBRID} SELECT question_id, vec_id, position FROM h WHERE position <= 5")
