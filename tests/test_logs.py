@@ -149,3 +149,28 @@ def test_cost_rules(spark):
     c = spark.createDataFrame([("development", "any", 100), ("production", "Web", 7)], "environment string, team string, cost int").withColumn("cost", F.col("cost").cast("decimal(18,2)"))
     split = {r.team: float(r.cost) for r in K.allocate(c, shares, "environment").collect()}
     assert split == {"Engineering": 50, "Data": 50, "Web": 7}
+
+
+def test_expected_counts_null_spikes_and_scores(spark):
+    from tidemark.operators import quality as Q
+
+    rows = [(f"2024-01-0{d}", None if i < bad else 1.0) for d, bad in ((1, 1), (2, 1), (3, 4), (4, 10)) for i in range(10)]
+    df = spark.createDataFrame(rows, "d string, v double").withColumn("day", F.to_date("d"))
+    spikes = Q.null_spikes(df, F.col("day"), F.col("v"), 2, 0.25)
+    assert [(str(r.day), r.nulls, round(r.usual_rate, 6)) for r in spikes.orderBy("day").collect()] == [("2024-01-03", 4, 0.1), ("2024-01-04", 10, 0.25)]
+    scores = Q.scores_over_time(df, F.col("day"), {"set": F.col("v").isNotNull(), "any": F.lit(True)}, 0.9).orderBy("period").collect()
+    assert [(r.set, r.score, r.meets_target) for r in scores] == [(1, 0.95, True), (1, 0.95, True), (4, 0.8, False), (10, 0.5, False)]
+    assert Q.kept_and_removed(df, F.col("v") > 0, F.lit(25)).first()[:] == (40, 24, 16, 25, False)
+    assert Q.null_spikes(df.limit(0), F.col("day"), F.col("v"), 2, 0.2).count() == 0
+
+
+def test_idle_consumers_and_answer_times(spark):
+    bill = spark.createDataFrame([(1, 2.0), (1, 3.0), (2, 4.0), (None, 1.0)], "u long, cost double")
+    use = spark.createDataFrame([(2,), (2,), (None,)], "u long")
+    assert {r[:] for r in K.idle_consumers(bill, use, "u").collect()} == {(1, 5.0, 2), (None, 1.0, 1)}
+    rows = [(1, "2024-01-01 00:00:00", "q"), (1, "2024-01-01 00:00:03", "a"), (1, "2024-01-01 00:00:04", "q"), (1, "2024-01-01 00:00:05", "x"), (None, "2024-01-01 00:00:06", "q"), (None, "2024-01-01 00:00:07", "a")]
+    log = spark.createDataFrame(rows, "u long, t string, k string").withColumn("ts", F.to_timestamp_ntz("t")).withColumn("i", F.monotonically_increasing_id())
+    out = K.answer_times(log, "u", "ts", "i", F.col("k") == "q", F.col("k") == "a").collect()
+    assert [(r.questions, r.answered, r.mean_seconds, r.longest_seconds) for r in out] == [(3, 2, 2.0, 3.0)]
+    seen = K.time_per_user(log, "u", F.lit(2), "ts", F.lit("2024-01-01 00:00:06").cast("timestamp_ntz")).collect()
+    assert {(r.u, r.requests, r.time_spent, r.idle) for r in seen} == {(1, 4, 8, True), (None, 2, 4, False)}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import banded, ratio
 from tidemark.operators.aggregates import growth, trailing_mean
+from tidemark.operators.ordered import place
 
 
 def spend_by(costs: DataFrame, keys: Sequence[str], condition: Column | None = None) -> DataFrame:
@@ -213,3 +214,31 @@ def latency_histogram(log: DataFrame, value: str, width: int) -> DataFrame:
     """Requests per latency bucket [bucket_start, bucket_start + width)."""
     start = F.floor(F.col(value) / width) * width
     return log.groupBy(start.cast("long").alias("bucket_start")).agg(F.count("*").alias("n"))
+
+
+def idle_consumers(bill: DataFrame, use: DataFrame, key: str) -> DataFrame:
+    """Consumers in the bill (key, cost) without any use: what they cost and how often."""
+    per = bill.groupBy(key).agg(F.sum("cost").alias("cost"), F.count("*").alias("entries"))
+    return per.join(use.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
+
+
+def time_per_user(log: DataFrame, user: str, elapsed: Column, ts: str, since: Column) -> DataFrame:
+    """Requests, time spent and last request of each user, and whether there is none ``since``."""
+    per = log.groupBy(user).agg(F.count("*").alias("requests"), F.sum(elapsed).alias("time_spent"), F.max(ts).alias("last_seen"))
+    return per.withColumn("idle", F.col("last_seen") < since)
+
+
+def answer_times(log: DataFrame, user: str, ts: str, tie: str, asks: Column, answers: Column) -> DataFrame:
+    """Per day: questions, those answered by the user's next entry, mean and longest seconds.
+
+    ``asks`` and ``answers`` are conditions on entries; the next entry by (ts, tie) answers
+    a question or nothing does.
+    """
+    rows = log.select(user, ts, tie, asks.alias("_asks"), F.when(answers, F.col(ts)).alias("_at"))
+    near = place(rows, [user], [ts, tie]).following(_next=F.col("_at")).df.filter("_asks")
+    took = F.timestamp_diff("MICROSECOND", F.col(ts), F.col("_next"))
+    per = near.groupBy(F.col(ts).cast("date").alias("day")).agg(
+        F.count("*").alias("questions"), F.count(took).alias("answered"), F.sum(took).alias("_sum"), F.max(took).alias("_max")
+    )
+    mean = F.try_divide(F.col("_sum").cast("double"), F.col("answered").cast("double"))
+    return per.select("day", "questions", "answered", (mean / 1e6).alias("mean_seconds"), (F.col("_max").cast("double") / 1e6).alias("longest_seconds"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,14 +24,20 @@ def null_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
-def kept_and_removed(df: DataFrame, keep: Column) -> DataFrame:
-    """Row counts before and after a cleaning rule, in one pass."""
+def kept_and_removed(df: DataFrame, keep: Column, expected: Column | None = None) -> DataFrame:
+    """Row counts before and after a cleaning rule, in one pass.
+
+    With ``expected`` (a number or a scalar subquery) also whether so many rows are left.
+    """
     ok = F.coalesce(keep, F.lit(False))
-    return df.agg(
+    counts = df.agg(
         F.count("*").alias("before"),
         F.count_if(ok).alias("after"),
         F.count_if(~ok).alias("removed"),
     )
+    if expected is None:
+        return counts
+    return counts.withColumn("expected", expected).withColumn("as_expected", F.col("after") == F.col("expected"))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -139,6 +145,28 @@ def metric_jumps(per_day: DataFrame, day: str, value: str, days: int, limit: flo
     return marked.withColumn("deviation", off).filter(F.col("deviation") > limit)
 
 
+def null_spikes(df: DataFrame, day: Column, value: Column, days: int, limit: float) -> DataFrame:
+    """Days whose NULL share is above that of the preceding ``days`` by more than ``limit``.
+
+    Rows are counted by day first; the window sees one row per day. A day without any
+    history is no spike.
+    """
+    per_day = df.groupBy(day.alias("day")).agg(F.count_if(value.isNull()).alias("nulls"), F.count("*").alias("checked"))
+    before = Window.orderBy(F.unix_date("day")).rangeBetween(-days, -1)
+    usual = F.try_divide(F.sum("nulls").over(before).cast("double"), F.sum("checked").over(before).cast("double"))
+    marked = per_day.withColumn("usual_rate", usual).withColumn("null_rate", F.col("nulls").cast("double") / F.col("checked"))
+    return marked.filter(F.col("null_rate") - F.col("usual_rate") > limit)
+
+
+def scores_over_time(df: DataFrame, period: Column, rules: dict[str, Column], target: float = 0.99) -> DataFrame:
+    """Quality score per period: failures of each rule, score over all rules, and its SLA."""
+    failed = {name: F.count_if(~F.coalesce(rule, F.lit(False))).alias(name) for name, rule in rules.items()}
+    counts = df.groupBy(period.alias("period")).agg(F.count("*").alias("checked"), *failed.values())
+    wrong = sum((F.col(f"`{name}`") for name in rules), F.lit(0))
+    passed = 1 - wrong.cast("double") / (F.col("checked") * len(rules))
+    return counts.withColumn("score", passed).withColumn("meets_target", F.col("score") >= target)
+
+
 def score(report: DataFrame, target: float = 0.99) -> DataFrame:
     """Quality score per table: share of passed checks over all rules, and its SLA."""
     totals = report.groupBy("subject").agg(

@@ -25,12 +25,15 @@ def dq_nulls(spark, sf):
 
 @query(
     "dq_counts",
-    """SELECT COUNT(*) AS before, COUNT(*) FILTER (WHERE quality = 1) AS after, COUNT(*) FILTER (WHERE quality IS DISTINCT FROM 1) AS removed
+    """SELECT COUNT(*) AS before, COUNT(*) FILTER (WHERE quality = 1) AS after, COUNT(*) FILTER (WHERE quality IS DISTINCT FROM 1) AS removed,
+    (SELECT COUNT(*) FROM labels WHERE quality = 1) AS expected,
+    COUNT(*) FILTER (WHERE quality = 1) = (SELECT COUNT(*) FROM labels WHERE quality = 1) AS as_expected
     FROM documents LEFT JOIN labels USING (doc_id)""",
 )
 def dq_counts(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left")
-    return Q.kept_and_removed(docs, F.col("quality") == 1)
+    good = table(spark, sf, "labels").filter("quality = 1").agg(F.count("*")).scalar()
+    return Q.kept_and_removed(docs, F.col("quality") == 1, good)
 
 
 @query(
@@ -150,6 +153,32 @@ def dq_metric_jump(spark, sf):
     return Q.metric_jumps(daily, "day", "n", 7, 0.05).select("day", "n")
 
 
+@query(
+    "dq_null_spikes",
+    """WITH d AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) FILTER (WHERE event_type = 'error') AS nulls, COUNT(*) AS checked FROM events GROUP BY 1),
+    t AS (SELECT *, CAST(SUM(nulls) OVER w AS DOUBLE) / CAST(SUM(checked) OVER w AS DOUBLE) AS usual_rate, CAST(nulls AS DOUBLE) / checked AS null_rate FROM d
+    WINDOW w AS (ORDER BY day RANGE BETWEEN INTERVAL 7 DAY PRECEDING AND INTERVAL 1 DAY PRECEDING))
+    SELECT strftime(day, '%Y-%m-%d') AS day, nulls, checked, usual_rate, null_rate FROM t WHERE null_rate - usual_rate > 0.01""",
+)
+def dq_null_spikes(spark, sf):
+    """Days with more missing measures than the week before; an error has no measure."""
+    measure = F.when(F.col("event_type") != "error", F.col("value"))
+    return Q.null_spikes(events(spark, sf), F.col("ts").cast("date"), measure, 7, 0.01)
+
+
+@query(
+    "dq_daily",
+    """WITH d AS (SELECT CAST(ts AS DATE) AS day, COUNT(*) AS checked, COUNT(*) FILTER (WHERE event_type = 'error') AS no_error,
+    COUNT(*) FILTER (WHERE value < 1) AS has_value FROM events GROUP BY 1),
+    s AS (SELECT *, 1 - CAST(no_error + has_value AS DOUBLE) / (checked * 2) AS score FROM d)
+    SELECT strftime(day, '%Y-%m-%d') AS period, checked, no_error, has_value, score, score >= 0.9 AS meets_target FROM s""",
+)
+def dq_daily(spark, sf):
+    """The quality of events over time: failures of two rules, score and target per day."""
+    rules = {"no_error": F.col("event_type") != "error", "has_value": F.col("value") >= 1}
+    return Q.scores_over_time(events(spark, sf), F.col("ts").cast("date"), rules, 0.9)
+
+
 @query(
     "dq_report",
     """WITH r AS (SELECT 'lineitem' AS subject, COUNT(*) AS c, COUNT(*) FILTER (WHERE l_quantity > 45) AS f FROM lineitem

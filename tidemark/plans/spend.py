@@ -169,6 +169,43 @@ def bill_jump(spark, sf):
     return out.select("team", F.try_divide(F.col("delta").cast("double") * 100, F.col("cost_before").cast("double")).alias("change_pct"))
 
 
+@query(
+    "idle_consumers",
+    """SELECT o_custkey AS customer_id, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS cost, COUNT(*) AS entries FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1998-07-01' AND o_orderdate < TIMESTAMP '1998-08-01'
+    AND o_custkey NOT IN (SELECT user_id FROM events WHERE user_id IS NOT NULL) GROUP BY 1""",
+)
+def idle_consumers(spark, sf):
+    """Customers billed in July who used nothing."""
+    july = table(spark, sf, "orders").filter(between("o_orderdate", datetime(1998, 7, 1), datetime(1998, 8, 1)))
+    bill = july.select(F.col("o_custkey").alias("customer_id"), F.col("o_totalprice").cast("decimal(18,2)").alias("cost"))
+    return K.idle_consumers(bill, events(spark, sf).select(F.col("user_id").alias("customer_id")), "customer_id")
+
+
+@query(
+    "time_per_user",
+    """SELECT user_id, COUNT(*) AS requests, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS time_spent,
+    strftime(MAX(ts), '%Y-%m-%d %H:%M:%S') AS last_seen, MAX(ts) < TIMESTAMP '2024-01-29' AS idle FROM events GROUP BY 1""",
+)
+def time_per_user(spark, sf):
+    """Events as a query log with value as the elapsed time; idle since January 29."""
+    elapsed = F.col("value").cast("decimal(18,2)")
+    return K.time_per_user(events(spark, sf), "user_id", elapsed, "ts", F.lit(datetime(2024, 1, 29)))
+
+
+@query(
+    "answer_times",
+    """WITH n AS (SELECT ts, event_type, LEAD(ts) OVER w AS next_ts, LEAD(event_type) OVER w AS next_type FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    q AS (SELECT CAST(ts AS DATE) AS day, CASE WHEN next_type IN ('click', 'purchase') THEN epoch_us(next_ts) - epoch_us(ts) END AS took FROM n WHERE event_type = 'view')
+    SELECT strftime(day, '%Y-%m-%d') AS day, COUNT(*) AS questions, COUNT(took) AS answered,
+    CAST(SUM(took) AS DOUBLE) / CAST(COUNT(took) AS DOUBLE) / 1e6 AS mean_seconds, CAST(MAX(took) AS DOUBLE) / 1e6 AS longest_seconds FROM q GROUP BY 1""",
+)
+def answer_times(spark, sf):
+    """Views as questions; the user's next event answers if it is a click or a purchase."""
+    kind = F.col("event_type")
+    return K.answer_times(events(spark, sf), "user_id", "ts", "event_id", kind == "view", kind.isin("click", "purchase"))
+
+
 @query(
     "allocated",
     f"""WITH {COSTS}, s AS (SELECT * FROM (VALUES ('development', 'Engineering', 0.5), ('development', 'Data', 0.5)) AS t(environment, to_team, share))
