@@ -105,13 +105,14 @@ def promo_conversion(spark, sf):
     JOIN part ON product = p_partkey GROUP BY 1, 2""",
 )
 def star_revenue(spark, sf):
+    """The dimensions meet the orders first, so that line items move by order only once."""
     o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"))
+    regions = o.join(customers(spark, sf).select("customer_id", "region"), "customer_id").select("order_id", "region")
     brands = table(spark, sf, "part").select(F.col("p_partkey").alias("product"), F.col("p_brand").alias("brand"))
     return (
-        sales(spark, sf)
+        sales(spark, sf).select("order_id", "product", "revenue")
         .join(brands, "product")
-        .join(o, "order_id")
-        .join(customers(spark, sf), "customer_id")
+        .join(regions, "order_id")
         .groupBy("region", "brand")
         .agg(F.sum("revenue").alias("revenue"), F.count("*").alias("lines"))
     )
