@@ -5,6 +5,7 @@ import re
 from pyspark.sql import functions as F
 
 from tidemark.operators import dedup as D
+from tidemark.session import cut
 
 
 def test_one_edit_and_soundex(spark):
@@ -111,6 +112,65 @@ def test_hot_bucket_resolves(spark):
     assert cluster[200] == cluster[201] == 200
 
 
+def components_of(sets, threshold):
+    """Clusters of two or more by all pairs: {node: smallest node}."""
+    label = {i: i for i in sets}
+    close = [
+        (a, b) for a in sets for b in sets
+        if a < b and sets[a] and sets[b] and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= threshold
+    ]
+    for _ in sets:
+        for a, b in close:
+            label[a] = label[b] = min(label[a], label[b])
+    return {i: label[i] for pair in close for i in pair}
+
+
+def found_clusters(df, **how):
+    links = D.near_copies(df, "id", "text", **how)
+    return {r.node: r.cluster for r in D.clusters(links, "doc", "leader").collect()}
+
+
+def test_texts_unlike_their_leader_keep_their_links(spark):
+    """1-2 and 2-3 are close, 1-3 is not, and all share both buckets."""
+    words = [f"w{i}" for i in range(100)]
+    texts = {1: words, 2: words[:-3] + ["x", "y", "z"], 3: ["a", "b", "c"] + words[3:-3] + ["x", "y", "z"]}
+    rows = [(k, " ".join(v)) for k, v in texts.items()]
+    df = spark.createDataFrame(rows, "id long, text string")
+    sets = {k: shingle_set(t) for k, t in rows}
+    assert len(sets[1] & sets[3]) / len(sets[1] | sets[3]) < 0.93 <= len(sets[2] & sets[3]) / len(sets[2] | sets[3])
+    got = {(r.leader, r.doc) for r in D.near_copies(df, "id", "text", threshold=0.93, bands=200, rows=1).collect()}
+    assert got == {(1, 2), (2, 3)}
+
+
+def test_blocks_of_a_hot_bucket_give_all_components(spark):
+    """A shared passage puts all texts in the same buckets; small blocks split each bucket."""
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(10 * k + v, f"{passage} " + " ".join(f"k{k}n{i}" for i in range(30)) + f" tail{v}") for k in range(12) for v in range(3)]
+    rows += [(900, ""), (901, None), (902, "two words"), (903, "Two WORDS!"), (904, None), (905, "")]
+    df = spark.createDataFrame(rows, "id long, text string")
+    want = components_of({k: shingle_set(t or "") for k, t in rows}, 0.9) | {900: 900, 905: 900}
+    assert len(set(want.values())) == 14
+    assert found_clusters(df, threshold=0.9, bands=40, rows=1, block=4) == want
+    assert found_clusters(df, threshold=0.9, bands=40, rows=1, block_grams=200) == want
+
+
+def test_passes_do_not_grow_with_a_bucket(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(D, "cut", lambda df: written.append(1) or cut(df))
+    passage = " ".join(f"p{i}" for i in range(60))
+    counts = []
+    for n in (20, 40):
+        rows = [(k, f"{passage} " + " ".join(f"k{k}n{i}" for i in range(30))) for k in range(n)]
+        written.clear()
+        D.near_copies(spark.createDataFrame(rows, "id long, text string"), "id", "text", bands=2, rows=1).collect()
+        counts.append(len(written))
+    assert counts[0] == counts[1]
+
+
+def test_near_copies_of_nothing(spark):
+    assert found_clusters(spark.createDataFrame([], "id long, text string")) == {}
+
+
 def test_exact_copies_keep_nulls_apart(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "a", ""), (4, "ab", "c"), (5, "a", "bc")], "id long, x string, y string")
     assert [(r.survivor, r.copies) for r in D.exact_copies(df, "id", ["x", "y"]).collect()] == [(1, 2)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from itertools import combinations
@@ -180,60 +181,128 @@ def band_keys(docs: DataFrame, ident: str, grams: str, bands: int, rows: int) ->
     return docs.select(ident, grams).mapInPandas(sign, f"doc {kind}, band int, bucket long")
 
 
+def bands_for(threshold: float, rows: int, recall: float = 0.999) -> int:
+    """Bands that a pair at the threshold needs to share one with this probability."""
+    return math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows))
+
+
 def near_copies(
     docs: DataFrame,
     ident: str,
     text: str,
     threshold: float = 0.7,
     words: int = 3,
-    bands: int = 16,
-    rows: int = 8,
+    bands: int | None = None,
+    rows: int = 6,
+    block: int = 128,
+    block_grams: int = 1 << 21,
 ) -> DataFrame:
     """Links (doc, leader, similarity) between near copies, by verified Jaccard.
 
-    Exact copies are folded first. In every bucket the smallest document leads; the
-    others are compared with it only. Those that are not similar enough stay and elect
-    a new leader in the next round, until each bucket is resolved, so no pair set
-    of a bucket is ever formed and nothing is capped.
+    Exact copies are folded first, and linked to their smallest document; texts without
+    a word and NULL texts have no near copies. Two texts are candidates if they share a
+    bucket; by default the bands give a pair at the threshold 0.999. The links connect the
+    same documents as all candidate pairs at or above the threshold would, in two
+    passes whatever the bucket: first every text with the smallest one of its bucket, then
+    the texts unlike that one with the rest of the bucket, in blocks of bounded size.
+    ``leader`` is the smaller document of a link.
     """
-    folded = docs.groupBy(F.md5(text).alias("_f")).agg(
-        F.min(ident).alias("_id"), F.first(text).alias("_t")
-    )
-    grams = shingles(F.col("_t"), words).alias("grams")
-    sets = cut(spread(folded).select(F.col("_id").alias("doc"), grams))
-    left = cut(band_keys(sets, "doc", "grams", bands, rows))
-    links = None
-    while True:
-        leaders = left.groupBy("band", "bucket").agg(
-            F.min("doc").alias("leader"), F.max("doc").alias("_last")
-        )
-        leaders = leaders.filter("leader <> _last").drop("_last")
-        open_ = left.join(leaders, ["band", "bucket"]).filter("doc <> leader")
-        pairs = open_.select("doc", "leader").distinct()
-        scored = pairs.join(sets, "doc").join(
-            sets.select(F.col("doc").alias("leader"), F.col("grams").alias("other")), "leader"
-        )
-        both = F.size(F.array_intersect("grams", "other"))
-        total = F.size("grams") + F.size("other") - both
-        scored = cut(scored.select("doc", "leader", (both / total).alias("similarity")))
-        if scored.isEmpty():
-            break
-        good = scored.filter(F.col("similarity") >= threshold)
-        links = good if links is None else links.unionByName(good)
-        left = cut(
-            open_.join(good.select("doc", "leader"), ["doc", "leader"], "left_anti").select(
-                "doc", "band", "bucket"
-            )
-        )
-    if links is None:
-        links = scored
+    bands = bands or bands_for(threshold, rows)
+    folded = docs.filter(F.col(text).isNotNull()).groupBy(F.md5(text).alias("_f"))
+    folded = folded.agg(F.min(ident).alias("doc"), F.first(text).alias("_t"))
+    marked = cut(spread(folded).select("_f", "doc", shingles(F.col("_t"), words).alias("grams")))
+    sets = marked.select("doc", "grams")
+    keys = cut(band_keys(sets, "doc", "grams", bands, rows))
+    sizes = keys.groupBy("band", "bucket").agg(F.min("doc").alias("leader"), F.count("*").alias("n"))
+    members = cut(keys.join(sizes.filter("n > 1"), ["band", "bucket"]).filter("doc <> leader"))
+    scored = cut(_with_leaders(members.select("doc", "leader").distinct(), sets, block))
+    good = scored.filter(F.col("similarity") >= threshold)
+    unlike = scored.filter(F.col("similarity") < threshold).select("doc", "leader")
+    # Who is alone with the leader has been compared with the whole bucket.
+    unlike = members.filter("n > 2").join(unlike, ["doc", "leader"], "left_semi")
+    among = _block_links(members, cut(unlike), sets, threshold, block, block_grams)
     copies = (
         docs.select(F.col(ident).alias("doc"), F.md5(text).alias("_f"))
-        .join(folded.select("_f", F.col("_id").alias("leader")), "_f")
+        .join(marked.select("_f", F.col("doc").alias("leader")), "_f")
         .filter("doc <> leader")
         .select("doc", "leader", F.lit(1.0).alias("similarity"))
     )
-    return links.distinct().unionByName(copies)
+    return good.unionByName(among).distinct().unionByName(copies)
+
+
+def _with_leaders(pairs: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Similarity of each (doc, leader). A leader of many is copied once per ``block`` docs."""
+    parts = pairs.groupBy("leader").agg(F.ceil(F.count("*") / block).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("doc"), F.col("parts")).cast("int").alias("part")
+    dealt = pairs.join(parts, "leader").select("doc", "leader", part)
+    leaders = sets.join(parts.withColumnRenamed("leader", "doc"), "doc").select(
+        F.col("doc").alias("leader"),
+        F.col("grams").alias("other"),
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+    )
+    both = F.size(F.array_intersect("grams", "other"))
+    total = F.size("grams") + F.size("other") - both
+    met = dealt.join(sets, "doc").join(leaders, ["leader", "part"])
+    return met.select("doc", "leader", (both / total).alias("similarity"))
+
+
+def _block_links(
+    members: DataFrame, unlike: DataFrame, sets: DataFrame, threshold: float, block: int, block_grams: int
+) -> DataFrame:
+    """Links of the unlike members of each bucket with its other members, but the leader.
+
+    Both sides of a bucket are cut into blocks, and each pair of blocks is one group: it
+    returns a spanning forest of its links, so at most one row per member.
+    """
+    held = members.join(unlike.select("band", "bucket").distinct(), ["band", "bucket"], "left_semi")
+    sized = held.select("band", "bucket", "doc").join(sets.select("doc", F.size("grams").alias("g")), "doc")
+    many = lambda name: F.greatest(
+        F.ceil(F.count("*") / block), F.ceil(F.sum("g") / block_grams)
+    ).cast("int").alias(name)
+    bucket = ["band", "bucket"]
+    all_blocks = sized.groupBy(*bucket).agg(many("js"))
+    open_blocks = sized.join(unlike.select("doc", *bucket), ["doc", *bucket], "left_semi").groupBy(*bucket).agg(many("is"))
+    blocks = cut(all_blocks.join(open_blocks, bucket))
+    own = lambda n: F.pmod(F.xxhash64(F.lit(31), "doc"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    asks = unlike.select(*bucket, "doc").join(blocks, bucket).select(*bucket, "doc", own("is").alias("i"), every("js").alias("j"), F.lit(True).alias("asks"))
+    rest = held.select(*bucket, "doc").join(blocks, bucket).select(*bucket, "doc", every("is").alias("i"), own("js").alias("j"), F.lit(False).alias("asks"))
+    tasks = asks.unionByName(rest).join(sets, "doc")
+
+    def links(rows: pd.DataFrame) -> pd.DataFrame:
+        left, right = rows[rows["asks"]], rows[~rows["asks"]]
+        found = []
+        if len(left) and len(right):
+            sizes = right["grams"].map(len).to_numpy()
+            ids = right["doc"].to_numpy()
+            values, place = np.unique(np.concatenate(right["grams"].to_list()), return_inverse=True)
+            heads = np.cumsum(sizes) - sizes
+            for doc, grams in zip(left["doc"], left["grams"]):
+                shared = np.add.reduceat(np.isin(values, grams)[place].astype(np.int64), heads)
+                similarity = shared / (len(grams) + sizes - shared)
+                near = (similarity >= threshold) & (ids != doc)
+                found += zip(similarity[near], [doc] * int(near.sum()), ids[near])
+        forest = [(max(a, b), min(a, b), s) for s, a, b in _forest(found)]
+        return pd.DataFrame(forest, columns=["doc", "leader", "similarity"])
+
+    kind = dict(sets.dtypes)["doc"]
+    return tasks.groupBy(*bucket, "i", "j").applyInPandas(links, f"doc {kind}, leader {kind}, similarity double")
+
+
+def _forest(links: list[tuple]) -> Iterator[tuple]:
+    """The links (value, a, b) that connect what earlier ones have not."""
+    up: dict = {}
+
+    def root(x):
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for value, a, b in links:
+        a_root, b_root = root(a), root(b)
+        if a_root != b_root:
+            up[a_root] = b_root
+            yield value, a, b
 
 
 def clusters(links: DataFrame, a: str, b: str) -> DataFrame:

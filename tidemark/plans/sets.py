@@ -211,7 +211,20 @@ def near_copies(spark, sf):
     return links.select("doc", "leader", F.round("similarity", 6).alias("similarity"))
 
 
-@query("near_copy_clusters")
+@query(
+    "near_copy_clusters",
+    r"""WITH RECURSIVE t AS (SELECT text, MIN(doc_id) AS d, COUNT(*) AS copies FROM documents WHERE text IS NOT NULL GROUP BY 1),
+    w AS (SELECT d, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM t),
+    g AS (SELECT DISTINCT d, unnest([array_to_string(w[i : i + 2], ' ') FOR i IN range(1, greatest(len(w) - 2, 1) + 1)]) AS gram FROM w WHERE len(w) > 0),
+    n AS (SELECT d, COUNT(*) AS n FROM g GROUP BY 1),
+    shared AS (SELECT a.d AS a, b.d AS b, COUNT(*) AS k FROM g AS a JOIN g AS b ON a.gram = b.gram AND a.d <> b.d GROUP BY 1, 2),
+    near AS (SELECT a, b FROM shared JOIN n AS x ON a = x.d JOIN n AS y ON b = y.d WHERE k / (x.n + y.n - k) >= 0.7),
+    reach AS (SELECT d AS a, d AS b FROM t WHERE copies > 1 OR d IN (SELECT a FROM near)
+        UNION SELECT reach.a, near.b FROM reach JOIN near ON reach.b = near.a),
+    least AS (SELECT a AS d, MIN(b) AS cluster FROM reach GROUP BY 1)
+    SELECT doc_id AS node, cluster FROM documents JOIN t USING (text) JOIN least USING (d)""",
+)
 def near_copy_clusters(spark, sf):
+    """Documents with near copies: the components of similarity 0.7, and their smallest document."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
     return D.clusters(D.near_copies(docs, "doc_id", "text"), "doc", "leader")
