@@ -77,6 +77,20 @@ def test_ranks_in_keys_put_nulls_last(rows, mode):
     assert want.exceptAll(got.select(*want.columns)).count() == 0
 
 
+@pytest.mark.parametrize("values", ["1", "t", "t div 60", "if(t < 300, null, t % 2)"])
+def test_ranks_of_ties_over_many_chunks(spark, values):
+    """One value over all chunks, none tied, runs that end at and inside chunks."""
+    data = spark.range(600).selectExpr("id % 2 k", "id t").selectExpr("k", "t", f"{values} v")
+    got = ranks(data, ["k"], "v", ["t"], mode="chunked", chunks=16)
+    want = ranks(data, ["k"], "v", ["t"], mode="window")
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert want.exceptAll(got).count() == 0 and got.count() == 600
+    w = Window.orderBy(F.desc_nulls_last("v"))
+    plain = data.select("t", F.rank().over(w).cast("long").alias("rank"), F.dense_rank().over(w).cast("long").alias("dense_rank"))
+    every = ranks(data, [], "v", ["t"], chunks=16)
+    assert plain.exceptAll(every.select(*plain.columns)).count() == 0
+
+
 @pytest.mark.parametrize("mode", ["window", "chunked"])
 def test_exact_quantiles(rows, mode):
     got = exact_quantiles(rows, ["k"], "v", [0.5], mode=mode, chunks=5)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import month_index, money
-from tidemark.operators.ordered import join_back, place
+from tidemark.operators.ordered import join_back, place, ranks
 from tidemark.session import cut
 
 
@@ -193,19 +193,13 @@ def trend_slope(monthly: DataFrame, keys: Sequence[str], index: str, value: str)
 def top_share(spend: DataFrame, keys: Sequence[str], member: str, value: str, share: float):
     """Members within the top ``share`` of their group by value (percent rank).
 
-    Input: one row per group and member; it is materialised once.
+    Input: one row per group and member; it is materialised once. NULL values rank last.
     """
     spend = cut(spend)
     counted = spend.groupBy(*keys).agg(F.count("*").alias("_size"))
-    neg = spend.withColumn("_m", -F.col(value))
-    ordered = place(neg, keys, ["_m", member]).running_sum(_rn=F.lit(1).cast("long"))
-    ordered = ordered.previous(_p=F.col("_m"))
-    ordered = ordered.latest(
-        _rank=F.when(~F.col("_p").eqNullSafe(F.col("_m")), F.col("_rn"))
-    )
-    ranked = join_back(ordered.df, counted, keys)
+    ranked = join_back(ranks(spend, keys, value, [member]), counted, keys)
     percent = F.coalesce(
-        F.try_divide((F.col("_rank") - 1).cast("double"), (F.col("_size") - 1).cast("double")),
+        F.try_divide((F.col("rank") - 1).cast("double"), (F.col("_size") - 1).cast("double")),
         F.lit(0.0),
     )
-    return ranked.filter(percent <= share).drop("_m", "_rn", "_p", "_rank", "_size")
+    return ranked.filter(percent <= share).drop("row_num", "rank", "dense_rank", "_size")

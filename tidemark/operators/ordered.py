@@ -54,27 +54,37 @@ class Ordered:
         """Apply a row-wise projection or filter; it must keep keys and order."""
         return self._with(step(self._df))
 
+    def _window_keys(self) -> list[str]:
+        return self.keys + ([_CHUNK] if self.chunked else [])
+
     def _window(self):
-        parts = self.keys + ([_CHUNK] if self.chunked else [])
-        return Window.partitionBy(*parts).orderBy(*self.order)
+        return Window.partitionBy(*self._window_keys()).orderBy(*self.order)
 
-    def _carried(self, summary: dict[str, Column], carry: dict[str, Column]) -> DataFrame:
-        """Join to each row what the other chunks of its key contribute."""
-        by_key = Window.partitionBy(*self.keys).orderBy(_CHUNK)
+    def _edges(self, summary: dict[str, Column]) -> DataFrame:
+        """One row of ``summary`` for each chunk of the keys that lie in several chunks."""
         rows = self._df
         if self._spanning is not None:
             # Only keys that lie in several chunks have anything to carry.
             rows = rows.join(F.broadcast(self._spanning), self._same_key("_s"), "left_semi")
-        edges = rows.groupBy(*self.keys, _CHUNK).agg(*[c.alias(n) for n, c in summary.items()])
+        return rows.groupBy(*self.keys, _CHUNK).agg(*[c.alias(n) for n, c in summary.items()])
+
+    def _attach(self, edges: DataFrame, names: Sequence[str]) -> DataFrame:
+        """The rows with the columns ``names`` of their chunk's edge row."""
         edges = edges.select(
-            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)],
-            F.col(_CHUNK).alias("_kc"),
-            *[_over(c, by_key).alias(n) for n, c in carry.items()],
+            *[F.col(k).alias(f"_k{i}") for i, k in enumerate(self.keys)], F.col(_CHUNK).alias("_kc"), *names
         )
         match = (F.col(_CHUNK) == F.col("_kc")) & self._same_key("_k")
         joined = self._df.join(F.broadcast(edges), match, "left")
         return joined.drop("_kc", *[f"_k{i}" for i in range(len(self.keys))])
 
+    def _carried(self, summary: dict[str, Column], carry: dict[str, Column]) -> DataFrame:
+        """Join to each row what the other chunks of its key contribute."""
+        by_key = Window.partitionBy(*self.keys).orderBy(_CHUNK)
+        edges = self._edges(summary).select(
+            *self.keys, _CHUNK, *[_over(c, by_key).alias(n) for n, c in carry.items()]
+        )
+        return self._attach(edges, list(carry))
+
     def _same_key(self, prefix: str) -> Column:
         out = F.lit(True)
         for i, k in enumerate(self.keys):
@@ -256,16 +266,50 @@ def ranks(
     """row_number, rank and dense_rank inside each key; NULL measures come last."""
     sign = -F.col(measure) if descending else F.col(measure)
     marked = df.withColumn("_m", sign).withColumn("_null", F.col(measure).isNull())
-    ordered = with_row_number(place(marked, keys, ["_null", "_m", *tie], **how), "row_num")
-    ordered = ordered.previous(_prev=F.col("_m"), _has=F.lit(True))
-    new = F.col("_has").isNull() | ~F.col("_prev").eqNullSafe(F.col("_m"))
-    ordered = ordered.map(
-        lambda d: d.withColumn("_new", F.when(new, 1).otherwise(0).cast("long"))
+    ordered = place(marked, keys, ["_null", "_m", *tie], **how)
+    rows = ordered._df.withColumn("row_num", F.row_number().over(ordered._window()))
+    within = Window.partitionBy(*ordered._window_keys()).orderBy("_null", "_m")
+    rows = rows.withColumns({"rank": F.rank().over(within), "dense_rank": F.dense_rank().over(within)})
+    rows = rows.withColumns({c: F.col(c).cast("long") for c in ("row_num", "rank", "dense_rank")})
+    if ordered.chunked:
+        rows = _ranks_of_key(ordered._with(rows))
+    return ordered._with(rows).df.drop("_m", "_null")
+
+
+def _ranks_of_key(local: Ordered) -> DataFrame:
+    """Ranks inside the chunks turned into ranks inside the keys, by one carry.
+
+    A chunk adds its rows and distinct measures to the later ones; if it begins with the
+    measure that the chunk before ended with, that measure counts once and keeps its rank.
+    """
+    at = F.struct("_null", "_m")
+    edges = local._edges(
+        {
+            "_rows": F.max("row_num"),
+            "_values": F.max("dense_rank"),
+            "_last_rank": F.max("rank"),
+            "_first": F.min(at),
+            "_last": F.max(at),
+        }
     )
-    ordered = ordered.running_sum(dense_rank=F.col("_new")).latest(
-        rank=F.when(F.col("_new") == 1, F.col("row_num"))
+    by_key = Window.partitionBy(*local.keys).orderBy(_CHUNK)
+    earlier = by_key.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    edges = edges.withColumns({"_same": F.coalesce(F.lag("_last").over(by_key) == F.col("_first"), F.lit(False)), "_before": so_far("_rows")})
+    begun = F.when(~F.col("_same") | (F.col("_last_rank") > 1), F.col("_before") + F.col("_last_rank"))
+    edges = edges.withColumns({"_new": F.col("_values") - F.col("_same").cast("long"), "_begun": begun})
+    edges = edges.withColumns(
+        {
+            "_seen": so_far("_new") - F.col("_same").cast("long"),
+            "_tied": F.when(F.col("_same"), F.last("_begun", True).over(earlier)),
+        }
     )
-    return ordered.df.drop("_m", "_null", "_prev", "_has", "_new")
+    rows = local._attach(edges, ["_before", "_seen", "_tied"])
+    before, seen = F.coalesce("_before", F.lit(0)), F.coalesce("_seen", F.lit(0))
+    rank = F.when((F.col("rank") == 1) & F.col("_tied").isNotNull(), F.col("_tied")).otherwise(F.col("rank") + before)
+    return rows.withColumns(
+        {"row_num": F.col("row_num") + before, "rank": rank, "dense_rank": F.col("dense_rank") + seen}
+    ).drop("_before", "_seen", "_tied")
 
 
 def exact_quantiles(
