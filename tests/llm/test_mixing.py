@@ -110,6 +110,20 @@ def test_nulls_ties_repeats_and_empty(spark):
     assert mixing.plan_mix(docs.limit(0)).count() == 0 and mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_a_null_text_is_no_null_source(spark):
+    """Documents that differ only in which column is null are told apart."""
+    rows = [(None, "a", None, 1), (None, None, "a", 2)]
+    mixed = mixing.mix(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert mixed and {tuple(r) for r in mixed} == {(None, "a", None, 1)}
+
+
+def test_clashing_names(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", 7, 8, 9), (2, "c d", "x", 7, 8, 9)], "doc_id long, text string, source string, uid int, copies int, doc int")
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns
+    assert {tuple(r) for r in mixed.collect()} <= {tuple(r) for r in docs.collect()} and mixed.count() >= 2
+
+
 def test_only_texts_without_words(spark):
     docs = spark.createDataFrame([(1, None, "x", 0), (2, " ", "y", 0)], SCHEMA)
     assert [(r.taken, r.target) for r in mixing.plan_mix(docs).collect()] == [(0, 0.0)] * 2

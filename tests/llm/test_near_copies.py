@@ -199,3 +199,12 @@ def test_no_all_pairs_join(spark, sf):
     tasks = links.block_pairs(members, sizes, 50)
     assert tasks.count() == 200 * 4
     assert "CartesianProduct" not in tasks._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_of_each_class_keeps_columns_of_any_name(spark):
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(2, text, 7, 8), (1, text + " end", 5, 6), (3, None, 1, 2), (None, "", 3, 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, uid int, doc int")
+    kept = ngrams.without_duplicates(docs)
+    assert kept.columns == docs.columns
+    assert {tuple(r) for r in kept.collect()} == {rows[1], rows[2], rows[3]}

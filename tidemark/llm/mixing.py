@@ -21,6 +21,12 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
+def uid_of(key: str, source: str, text: str) -> Column:
+    """A hash of the three columns; which of source and text is null counts."""
+    missing = [F.col(c).isNull() for c in (source, text)]
+    return F.xxhash64(F.col(key), F.col(source), F.col(text), *missing)
+
+
 def source_targets(
     sizes: DataFrame, cycle: tuple[float, ...], budget: float, repeats: int
 ) -> tuple[DataFrame, int]:
@@ -78,7 +84,7 @@ def plan_mix(
         docs.select(
             F.col(key).alias("key"),
             F.col(source).alias("source"),
-            F.xxhash64(F.col(key), F.col(source), F.col(text)).alias("uid"),
+            uid_of(key, source, text).alias("uid"),
             word_count(F.col(text)).alias("size"),
             F.xxhash64(F.lit(seed), F.col(key)).alias("shuffled"),
         ).withColumn("row", F.monotonically_increasing_id())
@@ -113,9 +119,11 @@ def plan_mix(
 
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **how) -> DataFrame:
-    """The documents of the mix with their own columns, each as often as it is taken."""
+    """The documents of the mix with their own columns, whatever their names, each as often
+    as it is taken.
+    """
     plan = cut(plan_mix(docs, key, source, text, **how))
-    copies = plan.groupBy("uid").agg(F.sum("copies").alias("_copies")).filter("_copies > 0").withColumnRenamed("uid", "_uid")
-    uid = F.xxhash64(F.col(key), F.col(source), F.col(text))
-    kept = docs.withColumn("_uid", uid).join(copies, "_uid").dropDuplicates(["_uid"])
-    return kept.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    copies = plan.groupBy("uid").agg(F.sum("copies").alias("copies")).filter("copies > 0")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    kept = docs.select(uid_of(key, source, text).alias("uid"), whole).join(copies, "uid").dropDuplicates(["uid"])
+    return kept.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")

@@ -255,8 +255,9 @@ def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text",
     """The documents with one of each class: the smallest key's, a repeated row once.
 
     A key that several texts share keeps each text whose class has that smallest key; of a
-    class with only null keys every different text stays.
+    class with only null keys every different text stays. Columns may have any name.
     """
-    kept = near_duplicates(docs, key, text, **how).filter("kept").select(F.col("uid").alias("_uid")).distinct()
-    chosen = docs.withColumn("_uid", uid_of(key, text)).join(cut(kept), "_uid", "left_semi").dropDuplicates(["_uid"])
-    return chosen.select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = near_duplicates(docs, key, text, **how).filter("kept").select("uid").distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    chosen = docs.select(uid_of(key, text).alias("uid"), whole).join(cut(kept), "uid", "left_semi")
+    return chosen.dropDuplicates(["uid"]).select("doc.*")
