@@ -155,6 +155,26 @@ def test_near_copies_are_found_first(spark):
     assert np.mean([got.get(k) == exact[k].argmax() for k in range(300)]) > 0.95
 
 
+@pytest.mark.parametrize("spread", [None, 0.25, 1.0])
+def test_recall_does_not_need_equal_lengths(spark, spread):
+    """One vector five times longer than the rest, and log-normal lengths."""
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((2000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    if spread is None:
+        x[7] *= 5
+    else:
+        x *= np.exp(spread * rng.standard_normal((2000, 1)))
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in ann.nearest(frame, lambda key: key % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    exact = x[::20] @ x.T
+    exact[np.arange(100), np.arange(0, 2000, 20)] = -np.inf
+    found = [len(got[20 * k] & set(np.argsort(-exact[k])[:20].tolist())) / 20 for k in range(100)]
+    assert np.mean(found) >= 0.94 and min(found) > 0.6
+
+
 def test_hadamard_keeps_lengths_and_axes():
     x = np.random.default_rng(1).standard_normal((5, 16))
     y = ann.hadamard(x)

@@ -1,9 +1,10 @@
 """Approximate nearest neighbours by inner product: cross-polytope hashing with multiprobe.
 
-Vectors are lifted by one coordinate to a common length, so that the largest inner product
-is the nearest direction. Each table turns them by three rounds of random signs and a
+Each table turns the directions of the vectors by three rounds of random signs and a
 Hadamard transform and takes the nearest signed axis as the bucket; a query looks into the
-axes nearest to it, and all candidates are ranked by exact inner products.
+axes nearest to it, and all candidates are ranked by exact inner products. Directions tell
+nothing of lengths, and a long vector wins at a small cosine, which buckets miss: the rows
+far longer than the rest, at most one in ``LONG_ROWS``, are compared with every query.
 """
 
 from __future__ import annotations
@@ -13,13 +14,16 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.prefix import dealt
 from tidemark.llm.vectordups import usable
 from tidemark.session import cut
 
+LONG_ROWS = 8
+BAND = 1.1
+
 
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Normalised Walsh-Hadamard transform of the rows; their length is a power of two."""
@@ -40,17 +44,11 @@ def turned(x: np.ndarray, table: int, seed: int = 11) -> np.ndarray:
     return x
 
 
-def lifted(x: np.ndarray, longest: float | None) -> np.ndarray:
-    """Unit vectors of a power-of-two length: rows over ``longest`` with the missing length in
-    one more coordinate; for queries (None), rows over their own length.
-    """
-    size = 1 << int(x.shape[1]).bit_length()
-    out = np.zeros((len(x), size))
-    if longest is None:
-        out[:, : x.shape[1]] = x / np.sqrt((x * x).sum(axis=1))[:, None]
-    else:
-        out[:, : x.shape[1]] = x / longest
-        out[:, x.shape[1]] = np.sqrt(np.maximum(0, 1 - (out * out).sum(axis=1)))
+def directions(x: np.ndarray) -> np.ndarray:
+    """The rows over their own lengths, padded to a power of two above their size."""
+    out = np.zeros((len(x), 1 << int(x.shape[1]).bit_length()))
+    x = x / np.abs(x).max(axis=1)[:, None]  # no square overflows or vanishes
+    out[:, : x.shape[1]] = x / np.sqrt((x * x).sum(axis=1))[:, None]
     return out
 
 
@@ -79,7 +77,7 @@ def _best(query: np.ndarray, ids: np.ndarray, score: np.ndarray, k: int):
     return query[top], ids[top], score[top]
 
 
-def buckets(rows: DataFrame, tables: int, probes: int, longest: float | None) -> DataFrame:
+def buckets(rows: DataFrame, tables: int, probes: int) -> DataFrame:
     """(id, vector, tab, bucket) of vectors: one bucket a table for data, ``probes`` for queries."""
 
     def run(batches):
@@ -91,7 +89,7 @@ def buckets(rows: DataFrame, tables: int, probes: int, longest: float | None) ->
             for some in by_size.values():
                 for a in range(0, len(some), 2000):
                     mine = some[a : a + 2000]
-                    x = lifted(np.stack([np.frombuffer(raw[k], np.float64) for k in mine]), longest)
+                    x = directions(np.stack([np.frombuffer(raw[k], np.float64) for k in mine]))
                     near = np.stack([axes(turned(x, t), probes) for t in range(tables)], axis=1)
                     n, _, p = near.shape
                     each = np.repeat(np.arange(n), tables * p)
@@ -205,18 +203,40 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 
 def loaded(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, vector as doubles, length) of the vectors that take part."""
+    """(id, vector as doubles, size, band) of the vectors that take part; the lengths of a
+    band differ by a factor of at most ``BAND``, and 1 is in the middle of one.
+    """
+
+    def band(v: np.ndarray) -> int:
+        top = float(np.abs(v).max())
+        return int(np.floor((np.log(top) + np.log(np.linalg.norm(v / top))) / np.log(BAND) + 0.5))
 
     def run(batches):
         for batch in batches:
             found = [(i, usable(v)) for i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
             found = [(i, v) for i, v in found if v is not None and i is not None]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([i for i, _ in found], pa.int64()), pa.array([(v + 0.0).tobytes() for _, v in found], pa.binary()), pa.array([float(np.sqrt(v @ v)) for _, v in found], pa.float64())],
-                names=["id", "vector", "length"],
+                [
+                    pa.array([i for i, _ in found], pa.int64()),
+                    pa.array([(v + 0.0).tobytes() for _, v in found], pa.binary()),
+                    pa.array([len(v) for _, v in found], pa.int32()),
+                    pa.array([band(v) for _, v in found], pa.int32()),
+                ],
+                names=["id", "vector", "size", "band"],
             )
 
-    return vectors.select(F.col(key).cast("long"), vector).mapInArrow(run, "id long, vector binary, length double")
+    return vectors.select(F.col(key).cast("long"), vector).mapInArrow(run, "id long, vector binary, size int, band int")
+
+
+def long_rows(rows: DataFrame) -> DataFrame:
+    """The rows of the longest bands, as many whole bands as hold at most one row in
+    ``LONG_ROWS`` of their vector size. Doubles have about 15,000 bands.
+    """
+    each = Window.partitionBy("size")
+    down = each.orderBy(F.desc("band")).rowsBetween(Window.unboundedPreceding, 0)
+    bands = rows.groupBy("size", "band").agg(F.count(F.lit(1)).alias("n"))
+    bands = bands.withColumn("upto", F.sum("n").over(down)).withColumn("all", F.sum("n").over(each))
+    return rows.join(bands.filter(F.col("upto") * LONG_ROWS <= F.col("all")).select("size", "band"), ["size", "band"])
 
 
 def nearest(
@@ -230,7 +250,8 @@ def nearest(
     key; vectors of other lengths than the query's are no candidates. Of rows that repeat
     a key, a query's result has that key once, with its best score; repeated query rows are
     one query if they are equal. A query whose buckets hold fewer than k candidates is
-    compared with all rows, in blocks.
+    compared with all rows, in blocks; so is every query with the rows of ``long_rows``,
+    whose inner products are large at small cosines.
 
     Recall grows with ``tables`` and ``probes`` (of twice the padded length buckets); the
     defaults are for neighbours with a cosine around 0.4, and nearer ones are found more
@@ -238,28 +259,31 @@ def nearest(
     look into it.
     """
     rows = cut(loaded(vectors, key, vector))
-    longest = rows.agg(F.max("length")).first()[0]
-    if longest is None:
+    if rows.isEmpty():
         return rows.select(F.col("id").alias("query_id"), F.lit(0).alias("rank"), F.col("id").alias("vec_id"), F.lit(0.0).alias("score")).limit(0)
     asked = cut(rows.filter(queries(F.col("id"))).select("id", "vector").distinct())
-    data = buckets(rows, tables, 1, float(longest))
-    looks = buckets(asked, tables, probes, None)
+    data = buckets(rows, tables, 1)
+    looks = buckets(asked, tables, probes)
     sizes = cut(data.groupBy("tab", "bucket").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("parts")))
     split = data.join(sizes, ["tab", "bucket"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     spread = looks.join(sizes, ["tab", "bucket"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     columns = ["tab", "bucket", "part", "asks", "id"]
     narrow_data = split.withColumn("asks", F.lit(False)).select(*columns).join(rows.select("id", "vector"), "id")
     narrow_looks = spread.withColumn("asks", F.lit(True)).select(*columns).join(asked, "id")
-    first = cut(scored(narrow_data.unionByName(narrow_looks), k))
+    long = cut(long_rows(rows).select("id", "vector"))
+    tasks = narrow_data.unionByName(narrow_looks)
+    if not long.isEmpty():
+        tasks = tasks.unionByName(against(long, asked, part_rows))
+    first = cut(scored(tasks, k))
     got = first.groupBy("query_id").agg(F.count_distinct("vec_id").alias("n"))
     short = cut(asked.join(got.withColumnRenamed("query_id", "id"), "id", "left").filter(F.coalesce("n", F.lit(0)) < k).select("id", "vector"))
     if not short.isEmpty():
-        first = first.unionByName(exact(rows, short, k, part_rows))
+        first = first.unionByName(scored(against(rows, short, part_rows), k))
     return _ranked(first, k)
 
 
-def exact(rows: DataFrame, asked: DataFrame, k: int, part_rows: int) -> DataFrame:
-    """All rows against the asked ones, in blocks of both."""
+def against(rows: DataFrame, asked: DataFrame, part_rows: int) -> DataFrame:
+    """Tasks for ``scored``: all rows against the asked ones, in blocks of both."""
     n = asked.count()
     blocks = max(1, -(-n // part_rows))
     parts = max(1, -(-rows.count() // part_rows))
@@ -267,4 +291,4 @@ def exact(rows: DataFrame, asked: DataFrame, k: int, part_rows: int) -> DataFram
     every = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
     data = rows.select("id", "vector", piece(parts).alias("part"), every(blocks).alias("bucket")).withColumn("asks", F.lit(False))
     looks = asked.select("id", "vector", piece(blocks).alias("bucket"), every(parts).alias("part")).withColumn("asks", F.lit(True))
-    return scored(data.unionByName(looks).withColumn("tab", F.lit(-1)), k)
+    return data.unionByName(looks).withColumn("tab", F.lit(-1))
