@@ -10,19 +10,18 @@ from tidemark.llm import bpe, langid, mixing, ngrams
 from tidemark.session import fresh_path
 
 VOCABULARY = "byte_bpe_50k.json"
-LEAST_SCORE = 0.25
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps documents whose language can be told; ``und`` and guesses go.
+    """Keeps documents that have a language; only ``und`` goes: no text, or none with a letter.
 
-    The model learns from the labelled documents of its input. A guess is a score of at
-    most LEAST_SCORE, what a text of four languages alike would have.
+    The model learns from the labelled documents of its input. The score does not decide:
+    it falls with the number of languages that fit a text, also for short clean texts and
+    texts in many languages.
     """
     model = langid.fit(docs)
     found = langid.identify(docs, model, lang="_lang", score="_score", parts="_parts")
-    known = (F.col("_lang") != langid.NO_LANGUAGE) & (F.col("_score") > LEAST_SCORE)
-    return found.filter(known).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.filter(F.col("_lang") != langid.NO_LANGUAGE).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -34,6 +34,17 @@ def test_language_stage_keeps_clean_documents(spark, sf):
     assert kept == {r.doc_id for r in docs.collect()}
 
 
+@pytest.mark.parametrize("languages", [2, 10])
+def test_language_stage_does_not_depend_on_the_number_of_languages(spark, sf, languages):
+    """A short text that fits all languages and a text in all of them stay; ``und`` goes."""
+    rng = random.Random(6)
+    words = [["".join(rng.choice("abcdefghijklmnopqrstuvwxyz"[2 * k : 2 * k + 6]) for _ in range(5)) for _ in range(60)] for k in range(languages)]
+    rows = [(100 * k + n, " ".join(rng.choices(words[k], k=40)) + " taxi", f"l{k}", "s", 0) for k in range(languages) for n in range(20)]
+    rows += [(-1, "taxi", None, "s", 4), (-2, " ".join(w for some in words for w in some), None, "s", 0), (-3, "12 34", None, "s", 5)]
+    out = corpus_pipeline.by_language(spark, spark.createDataFrame(rows, COLUMNS), sf)
+    assert {r.doc_id for r in out.collect()} == {r[0] for r in rows} - {-3}
+
+
 def test_one_document_of_each_group_stays(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = sorted((r.doc_id, r.text) for r in docs.collect())
