@@ -117,6 +117,16 @@ def test_a_null_text_is_no_null_source(spark):
     assert mixed and {tuple(r) for r in mixed} == {(None, "a", None, 1)}
 
 
+def test_rows_that_differ_in_other_columns_are_all_taken(spark):
+    """Equal key, source and text; each row has its own copies, and the same ones each time."""
+    rows = [(1, "a b", "x", k, {"k": k % 2}, (None, k // 2) if k % 2 else (k // 2, None)) for k in range(20)]
+    rows += [(1, "a b", "x", 50, {"k": 0}, (None, 7)), (1, "a b", "x", 50, {"k": 0}, (7, None)), (1, "a b", "x", 50, None, (7, None))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size int, more map<string,int>, pair struct<a:int,b:int>")
+    got = [sorted(map(str, mixing.mix(docs.repartition(n)).collect())) for n in (1, 5)]
+    assert len(got[0]) == 34 and got[0] == got[1]
+    assert {got[0].count(r) for r in got[0]} == {1, 2} and set(got[0]) == set(map(str, docs.collect()))
+
+
 def test_clashing_names(spark):
     docs = spark.createDataFrame([(1, "a b", "x", 7, 8, 9), (2, "c d", "x", 7, 8, 9)], "doc_id long, text string, source string, uid int, copies int, doc int")
     mixed = mixing.mix(docs)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.prefix import running_sums
 from tidemark.session import cut
@@ -21,10 +22,17 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORDS)), F.lit(0)).cast("long")
 
 
-def uid_of(key: str, source: str, text: str) -> Column:
-    """A hash of the three columns; which of source and text is null counts."""
-    missing = [F.col(c).isNull() for c in (source, text)]
-    return F.xxhash64(F.col(key), F.col(source), F.col(text), *missing)
+def uid_of(docs: DataFrame) -> Column:
+    """A hash of the whole row; which columns, and which values in nested ones, are null counts."""
+
+    def hashed(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            return F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})
+        return value
+
+    missing = [F.col(f"`{c}`").isNull() for c in docs.columns]
+    return F.xxhash64(*[hashed(f) for f in docs.schema], *missing)
 
 
 def source_targets(
@@ -76,15 +84,15 @@ def plan_mix(
     ``copies`` is how often the mix takes the document, at most ``repeats``; ``taken`` is
     that times its size. Documents are taken whole, so a source ends within one document
     of its target. Documents without a word are never taken. A null key or source is a
-    value like others; repeated rows queue each by itself. ``uid`` hashes key, source and
-    text and serves to find the documents again. Texts are read once; after that only
+    value like others; repeated rows queue each by itself. ``uid`` hashes all
+    columns and serves to find the documents again. Texts are read once; after that only
     narrow rows move, dealt out by range, so a source of any size is split.
     """
     base = cut(
         docs.select(
             F.col(key).alias("key"),
             F.col(source).alias("source"),
-            uid_of(key, source, text).alias("uid"),
+            uid_of(docs).alias("uid"),
             word_count(F.col(text)).alias("size"),
             F.xxhash64(F.lit(seed), F.col(key)).alias("shuffled"),
         ).withColumn("row", F.monotonically_increasing_id())
@@ -120,10 +128,10 @@ def plan_mix(
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **how) -> DataFrame:
     """The documents of the mix with their own columns, whatever their names, each as often
-    as it is taken.
+    as it is taken; rows are one document only if they agree in all columns.
     """
     plan = cut(plan_mix(docs, key, source, text, **how))
     copies = plan.groupBy("uid").agg(F.sum("copies").alias("copies")).filter("copies > 0")
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
-    kept = docs.select(uid_of(key, source, text).alias("uid"), whole).join(copies, "uid").dropDuplicates(["uid"])
+    kept = docs.select(uid_of(docs).alias("uid"), whole).join(copies, "uid").dropDuplicates(["uid"])
     return kept.select("doc", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("doc.*")
