@@ -175,6 +175,19 @@ def test_recall_does_not_need_equal_lengths(spark, spread):
     assert np.mean(found) >= 0.94 and min(found) > 0.6
 
 
+def test_no_task_holds_all_queries_of_a_bucket(spark, monkeypatch):
+    x = np.random.default_rng(8).standard_normal((400, 16))
+    frame = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    seen, scored = [], ann.scored
+    monkeypatch.setattr(ann, "scored", lambda tasks, k: (seen.append(tasks), scored(tasks, k))[1])
+    found = lambda **how: sorted((r.query_id, r["rank"], r.vec_id) for r in ann.nearest(frame, lambda key: key >= 0, k=5, **how).collect())
+    small = found(part_rows=32)
+    key = [c for c in seen[0].columns if c not in ("asks", "id", "vector")]
+    held = seen[0].groupBy(*key, "asks").count().collect()
+    assert small == found()
+    assert max(r["count"] for r in held if r.asks) <= 64 and max(r["count"] for r in held if not r.asks) <= 64
+
+
 def test_hadamard_keeps_lengths_and_axes():
     x = np.random.default_rng(1).standard_normal((5, 16))
     y = ann.hadamard(x)

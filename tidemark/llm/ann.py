@@ -109,10 +109,10 @@ def scored(tasks: DataFrame, k: int, most: int = 400_000) -> DataFrame:
     """Exact inner products within each task key; returns the k best of each query that a
     partition has found (query_id, vec_id, score).
 
-    ``tasks``: tab, bucket, part, asks (whether the row is a query), id, vector. Equal keys
+    ``tasks``: tab, bucket, part, block, asks (whether the row is a query), id, vector. Equal keys
     come together; between keys only bounded lists of best candidates are held.
     """
-    names = ["tab", "bucket", "part", "asks", "id", "vector"]
+    names = ["tab", "bucket", "part", "block", "asks", "id", "vector"]
 
     def run(batches):
         held: dict = {c: [] for c in names}
@@ -150,7 +150,7 @@ def scored(tasks: DataFrame, k: int, most: int = 400_000) -> DataFrame:
 
         for batch in batches:
             rows = {c: batch.column(i).to_pylist() for i, c in enumerate(names)}
-            keys = list(zip(rows["tab"], rows["bucket"], rows["part"]))
+            keys = list(zip(rows["tab"], rows["bucket"], rows["part"], rows["block"]))
             a = 0
             for b in range(1, len(keys) + 1):
                 if b < len(keys) and keys[b] == keys[a]:
@@ -173,7 +173,7 @@ def scored(tasks: DataFrame, k: int, most: int = 400_000) -> DataFrame:
         if kept:
             yield batch_of(reduce(kept))
 
-    rows = dealt(tasks.select(*names), "tab", "bucket", "part").sortWithinPartitions("tab", "bucket", "part")
+    rows = dealt(tasks.select(*names), *names[:4]).sortWithinPartitions(*names[:4])
     return rows.mapInArrow(run, "query_id long, vec_id long, score double")
 
 
@@ -255,8 +255,8 @@ def nearest(
 
     Recall grows with ``tables`` and ``probes`` (of twice the padded length buckets); the
     defaults are for neighbours with a cosine around 0.4, and nearer ones are found more
-    surely. A bucket is compared in parts of about ``part_rows`` rows, each with all queries that
-    look into it.
+    surely. A bucket is compared in parts of about ``part_rows`` rows, each with blocks of about
+    ``part_rows`` of the queries that look into it.
     """
     rows = cut(loaded(vectors, key, vector))
     if rows.isEmpty():
@@ -264,10 +264,13 @@ def nearest(
     asked = cut(rows.filter(queries(F.col("id"))).select("id", "vector").distinct())
     data = buckets(rows, tables, 1)
     looks = buckets(asked, tables, probes)
-    sizes = cut(data.groupBy("tab", "bucket").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias("parts")))
-    split = data.join(sizes, ["tab", "bucket"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    spread = looks.join(sizes, ["tab", "bucket"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    columns = ["tab", "bucket", "part", "asks", "id"]
+    many = lambda some, name: some.groupBy("tab", "bucket").agg(F.ceil(F.count(F.lit(1)) / part_rows).cast("int").alias(name))
+    piece = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    sizes = cut(many(data, "parts").join(many(looks, "blocks"), ["tab", "bucket"]))
+    split = data.join(sizes, ["tab", "bucket"]).withColumn("part", piece("parts")).withColumn("block", every("blocks"))
+    spread = looks.join(sizes, ["tab", "bucket"]).withColumn("block", piece("blocks")).withColumn("part", every("parts"))
+    columns = ["tab", "bucket", "part", "block", "asks", "id"]
     narrow_data = split.withColumn("asks", F.lit(False)).select(*columns).join(rows.select("id", "vector"), "id")
     narrow_looks = spread.withColumn("asks", F.lit(True)).select(*columns).join(asked, "id")
     long = cut(long_rows(rows).select("id", "vector"))
@@ -289,6 +292,6 @@ def against(rows: DataFrame, asked: DataFrame, part_rows: int) -> DataFrame:
     parts = max(1, -(-rows.count() // part_rows))
     piece = lambda many: F.pmod(F.xxhash64("id"), F.lit(many)).cast("int")
     every = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
-    data = rows.select("id", "vector", piece(parts).alias("part"), every(blocks).alias("bucket")).withColumn("asks", F.lit(False))
-    looks = asked.select("id", "vector", piece(blocks).alias("bucket"), every(parts).alias("part")).withColumn("asks", F.lit(True))
-    return data.unionByName(looks).withColumn("tab", F.lit(-1))
+    data = rows.select("id", "vector", piece(parts).alias("part"), every(blocks).alias("block")).withColumn("asks", F.lit(False))
+    looks = asked.select("id", "vector", piece(blocks).alias("block"), every(parts).alias("part")).withColumn("asks", F.lit(True))
+    return data.unionByName(looks).withColumn("tab", F.lit(-1)).withColumn("bucket", F.lit(0))
