@@ -28,6 +28,7 @@ from tidemark.llm.words import (
     SPACE,
     WordIds,
     gather,
+    kept,
     space_led_words,
     split_ids,
 )
@@ -267,7 +268,7 @@ def encode(
     at = docs.columns.index(text)
 
     def run(batches):
-        encoder = Encoder(shared.value, special)
+        encoder = kept(shared.value, lambda vocab: Encoder(vocab, special))
         for batch in slices(batches, at):
             got = encoder([t or "" for t in batch.column(at).to_pylist()])
             names, columns = [ids, count], [pa.array([a.astype("<u4", copy=False).tobytes() for a in got], pa.binary()), pa.array([len(a) for a in got], pa.int64())]

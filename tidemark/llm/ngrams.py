@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import slices
 from tidemark.llm.links import block_pairs, components, linked_blocks
-from tidemark.llm.words import DIGIT, LETTER, MARK, codepoints, mix, pieces, runs, simple_lower, unicode_classes, word_hashes
+from tidemark.llm.words import DIGIT, LETTER, MARK, codepoints, distinct_words, mix, pieces, runs, simple_lower, unicode_classes, word_keys
 from tidemark.session import cut
 
 _U = np.uint64
@@ -39,7 +39,8 @@ def gram_sets(texts: list[str], n: int) -> list[np.ndarray]:
         ends = np.append(starts[1:], len(codes))
         chosen = inside[starts]
         starts, ends = starts[chosen], ends[chosen]
-        hashes = word_hashes(simple_lower()[codes], starts, ends)
+        which, words = distinct_words(simple_lower()[codes], starts, ends)
+        hashes = word_keys(words)[which]
         cuts = np.searchsorted(starts, bounds).tolist()
         for k, a, b in zip(owner, cuts[:-1], cuts[1:]):
             if b > a:

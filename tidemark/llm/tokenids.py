@@ -21,7 +21,7 @@ from tidemark.llm.bpe import chunked, pattern_classes, slices, with_column, with
 from tidemark.llm.prefix import running_sums
 from tidemark.llm.store import Folder, open_input
 from tidemark.llm.wavelet import Shard, pack
-from tidemark.llm.words import CODES, WordIds, bare_words, split_ids
+from tidemark.llm.words import CODES, WordIds, bare_words, kept, split_ids
 from tidemark.session import cut, fresh_path
 
 # The pattern of the lower-case tokenizer, as its file spells it.
@@ -103,16 +103,11 @@ class LibraryEncoder:
         known = self.library
         if known.kinds is None:
             return self._whole(texts)
-        plain = [self._plain(t) for t in texts]
-        by_word = iter(split_ids([t for t, p in zip(texts, plain) if p], known.kinds, bare_words, self.table, known.lower))
-        whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
-        return [next(by_word) if p else next(whole) for p in plain]
-
-    def _plain(self, text: str) -> bool:
-        if any(s in text for s in self.library.special):
-            return False
-        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        return bool(self.library.safe[codes].all())
+        plain = [not any(s in t for s in known.special) for t in texts]
+        by_word = iter(split_ids([t for t, p in zip(texts, plain) if p], known.kinds, bare_words, self.table, known.lower, known.safe))
+        out = [next(by_word) if p else None for p in plain]
+        whole = iter(self._whole([t for t, ids in zip(texts, out) if ids is None]))
+        return [next(whole) if ids is None else ids for ids in out]
 
     def _whole(self, texts: list[str]) -> list[np.ndarray]:
         out: list[np.ndarray] = []
@@ -142,7 +137,7 @@ def encode(
     tail = np.array([] if end_id is None else [end_id], np.uint32)
 
     def run(batches):
-        encoder = LibraryEncoder(shared.value)
+        encoder = kept(shared.value, LibraryEncoder)
         for batch in slices(batches, at):
             got = [np.concatenate([a, tail]) for a in encoder([t or "" for t in batch.column(at).to_pylist()])]
             if any(len(a) and int(a.max()) >> 8 * width for a in got):

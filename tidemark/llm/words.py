@@ -1,4 +1,4 @@
-"""Vectorised splitting of texts: code points, character classes, word bounds and hashes.
+"""Vectorised splitting of texts: code points, character classes, word bounds, distinct words.
 
 Texts are handled in pieces of bounded size as flat arrays. A long text is cut only
 before white space that follows another character, where no word of any splitter here
@@ -14,6 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 SPACE, LETTER, DIGIT, OTHER, MARK = 0, 1, 2, 3, 4
 PIECE = 500_000
@@ -112,7 +113,10 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word, from one prefix sum over all characters."""
+    """A 64-bit key of each word, from one prefix sum over all characters.
+
+    To find words by; different words can share one, so words must still be compared.
+    """
     power, inverse = _power_tables(len(codes) + 1)
     v = codes.astype(_U)
     v += _U(1)
@@ -126,6 +130,29 @@ def word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix(h)
 
 
+def distinct_words(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The place of each word among the distinct ones, and these as UTF-32 bytes.
+
+    Words are compared character by character, so different words are never taken for one.
+    """
+    n = len(starts)
+    offsets = np.zeros(n + 1, np.int64)
+    if n and starts[0] == 0 and ends[-1] == len(codes) and np.array_equal(starts[1:], ends[:-1]):
+        offsets[1:] = ends
+    else:
+        np.cumsum(ends - starts, out=offsets[1:])
+        codes = gather(codes, starts, ends - starts)
+    offsets *= 4
+    words = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(codes))])
+    coded = words.dictionary_encode()
+    return coded.indices.to_numpy().astype(np.int64), coded.dictionary.to_pylist()
+
+
+def word_keys(words: list[bytes]) -> np.ndarray:
+    """A keyed 64-bit hash (SipHash) of each word, the same in every process."""
+    return pd.util.hash_array(np.array(words, object), categorize=False) if words else np.empty(0, _U)
+
+
 def shared_contractions(
     codes: np.ndarray, kinds: np.ndarray, starts: np.ndarray, ends: np.ndarray, alone: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -210,44 +237,49 @@ def gather(store: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
 
 
 class WordIds:
-    """Ids of words by hash, encoded on first sight.
+    """Ids of words, encoded on first sight.
 
-    Holds at most about ``most`` words and starts anew beyond that, which costs time and
-    changes no result. Words are told apart by 64-bit hashes of characters and length.
+    Words are found by a 64-bit key and then compared with the known word character by
+    character; where different words share a key, the words at hand are encoded anew. Holds
+    at most about ``most`` words and starts anew beyond that, which costs time and changes no
+    result.
     """
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 600_000):
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = 400_000):
         self.encode, self.most = encode, most
         self._clear()
 
     def _clear(self) -> None:
         self.keys = np.empty(0, _U)
         self.slots = np.empty(0, np.int64)
-        self.starts = np.empty(0, np.int64)
-        self.lengths = np.empty(0, np.int64)
-        self.store = np.empty(1 << 16, np.uint32)
-        self.used = 0
+        self.ids_of = _Slices()
+        self.spelled = _Slices()
 
-    def ids(
-        self, hashes: np.ndarray, word_at: Callable[[np.ndarray], list[str]]
-    ) -> tuple[np.ndarray, np.ndarray]:
+    def ids(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of ids of each word."""
-        if not len(hashes):
+        if not len(starts):
             return np.empty(0, np.uint32), np.empty(0, np.int64)
-        which, unique = pd.factorize(hashes)
+        which, unique = pd.factorize(word_hashes(codes, starts, ends))
         slot, known = self._find(unique)
         if not known.all():
             if len(self.keys) + (~known).sum() > self.most and len(self.keys):
                 self._clear()
                 known[:] = False
             first = np.empty(len(unique), np.int64)
-            first[which[::-1]] = np.arange(len(hashes))[::-1]
+            first[which[::-1]] = np.arange(len(which))[::-1]
             new = np.flatnonzero(~known)
-            self._add(unique[new], word_at(first[new]))
+            self._add(unique[new], codes, starts[first[new]], ends[first[new]])
             slot, _ = self._find(unique)
         slot = slot[which]
-        lengths = self.lengths[slot]
-        return gather(self.store, self.starts[slot], lengths), lengths
+        sizes = ends - starts
+        tiled = bool((starts[1:] == ends[:-1]).all())
+        mine = codes[starts[0] : ends[-1]] if tiled else gather(codes, starts, sizes)
+        if np.array_equal(sizes, self.spelled.lengths[slot]) and np.array_equal(mine, self.spelled.take(slot)):
+            return self.ids_of.take(slot), self.ids_of.lengths[slot]
+        which, words = distinct_words(codes, starts, ends)
+        anew = _Slices()
+        anew.add(*self.encode([w.decode("utf-32-le", "surrogatepass") for w in words]))
+        return anew.take(which), anew.lengths[which]
 
     def _find(self, unique: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.keys):
@@ -255,47 +287,77 @@ class WordIds:
         at = np.minimum(np.searchsorted(self.keys, unique), len(self.keys) - 1)
         return self.slots[at], self.keys[at] == unique
 
-    def _add(self, keys: np.ndarray, words: list[str]) -> None:
-        ids, lengths = self.encode(words)
-        while self.used + len(ids) > len(self.store):
-            self.store = np.concatenate([self.store, np.empty_like(self.store)])
-        self.store[self.used : self.used + len(ids)] = ids
-        slots = len(self.lengths) + np.arange(len(keys))
-        self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
-        self.lengths = np.concatenate([self.lengths, lengths])
-        self.used += len(ids)
+    def _add(self, keys: np.ndarray, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+        spelled = gather(codes, starts, ends - starts)
+        text = spelled.tobytes().decode("utf-32-le", "surrogatepass")
+        cut = np.append(0, np.cumsum(ends - starts)).tolist()
+        self.ids_of.add(*self.encode([text[a:b] for a, b in zip(cut[:-1], cut[1:])]))
+        slots = len(self.spelled.lengths) + np.arange(len(keys))
+        self.spelled.add(spelled, ends - starts)
         order = np.argsort(keys)
         at = np.searchsorted(self.keys, keys[order])
         self.keys = np.insert(self.keys, at, keys[order])
         self.slots = np.insert(self.slots, at, slots[order])
 
 
+class _Slices:
+    """Slices of numbers, one after another in a growing array."""
+
+    def __init__(self):
+        self.store = np.empty(1 << 16, np.uint32)
+        self.starts = self.lengths = np.empty(0, np.int64)
+        self.used = 0
+
+    def add(self, values: np.ndarray, lengths: np.ndarray) -> None:
+        while self.used + len(values) > len(self.store):
+            self.store = np.concatenate([self.store, np.empty_like(self.store)])
+        self.store[self.used : self.used + len(values)] = values
+        self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.used += len(values)
+
+    def take(self, slots: np.ndarray) -> np.ndarray:
+        return gather(self.store, self.starts[slots], self.lengths[slots])
+
+
 def split_ids(
     texts: list[str],
     kinds: np.ndarray,
     split: Callable,
     table: WordIds,
     lower: np.ndarray | None = None,
-) -> list[np.ndarray]:
-    """The ids of each text: split into words, look the words up, put the ids together."""
+    safe: np.ndarray | None = None,
+) -> list[np.ndarray | None]:
+    """The ids of each text: split into words, look the words up, put the ids together.
+
+    None for a text with a character outside ``safe``.
+    """
     out: list[list[np.ndarray]] = [[] for _ in texts]
+    odd = np.zeros(len(texts), bool)
     for parts, owner in pieces(texts):
         codes, bounds = codepoints(parts)
         if not len(codes):
             continue
+        if safe is not None and not (fine := safe[codes]).all():
+            odd[np.array(owner)[np.searchsorted(bounds, np.flatnonzero(~fine), side="right") - 1]] = True
         if lower is not None:
             codes = lower[codes]
         starts, ends = split(codes, kinds[codes], bounds)
-
-        def word_at(k: np.ndarray, codes=codes, starts=starts, ends=ends) -> list[str]:
-            big = codes.tobytes().decode("utf-32-le", "surrogatepass")
-            return [big[a:b] for a, b in zip(starts[k].tolist(), ends[k].tolist())]
-
-        ids, lengths = table.ids(word_hashes(codes, starts, ends), word_at)
+        ids, lengths = table.ids(codes, starts, ends)
         words = np.searchsorted(starts, bounds)
         cut = np.append(0, np.cumsum(lengths))[words].tolist()
         for k, a, b in zip(owner, cut[:-1], cut[1:]):
             if b > a:
                 out[k].append(ids[a:b])
     none = np.empty(0, np.uint32)
-    return [x[0] if len(x) == 1 else np.concatenate(x) if x else none for x in out]
+    return [None if o else x[0] if len(x) == 1 else np.concatenate(x) if x else none for x, o in zip(out, odd)]
+
+
+_last: list = [None, None]
+
+
+def kept(value, make: Callable):
+    """``make(value)``, made once for a broadcast value in each Python worker."""
+    if _last[0] is not value:
+        _last[:] = [value, make(value)]
+    return _last[1]
