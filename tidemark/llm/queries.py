@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, bpe, langid, mixing, ngrams, separators, tokenids, urlfilter, vectordups, warc
+from tidemark.llm import align, ann, bpe, decontaminate, langid, mixing, ngrams, phrases, separators, tokenids, urlfilter, vectordups, warc
 
 BYTE_BPE, END_OF_TEXT = "byte_bpe_50k.json", 50256
 WORD_BPE, END_ID = "word_bpe_49k.json", 1
+PIECE_BPE = "piece_bpe_32k.model"
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
@@ -86,6 +87,23 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    listed = F.sha2(F.array_join("items", ",").cast("binary"), 256)
+    return judged.select("doc_id", "n_words", "n_hit", "n_items", listed.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocab = bpe.load(public_tokenizers.path(BYTE_BPE))
+    pieces = align.load_pieces(public_tokenizers.path(PIECE_BPE))
+    return align.score(_table(spark, sf_dir, "documents"), vocab, pieces)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(_table(spark, sf_dir, "documents"))
+    return found.withColumnRenamed("grp", "lang")
+
+
 QUERIES = {
     name: f for name, f in list(globals().items()) if name.startswith("op") and callable(f) and name[2].isdigit()
 }
@@ -113,4 +131,39 @@ SELECT page_id, payload_bytes, payload_digest,
  CASE WHEN f IS NULL OR page_id = f THEN 'response' ELSE 'revisit' END AS record_type,
  CASE WHEN page_id <> f THEN f END AS refers_to
 FROM p LEFT JOIN firsts ON payload_digest = d""",
+    "op11_decontamination": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+parts AS (SELECT item, w, LEAST(len(w), 10) AS n, UNNEST(range(1, len(w) - LEAST(len(w), 10) + 2)) AS p FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item, n, array_to_string(w[p:p + n - 1], ' ') AS phrase FROM parts),
+places AS (SELECT doc_id, w, n, UNNEST(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM windows) AS sizes WHERE len(w) >= n),
+hits AS (SELECT doc_id, p, windows.n, item FROM places JOIN windows ON windows.n = places.n AND phrase = array_to_string(w[p:p + places.n - 1], ' ')),
+hit_words AS (SELECT doc_id, COUNT(DISTINCT k) AS n_hit FROM (SELECT doc_id, UNNEST(range(p, p + n)) AS k FROM hits) AS u GROUP BY doc_id),
+hit_items AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hits) AS u GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+ sha256(COALESCE(items, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)""",
+    "op13_collocations": r"""
+WITH pieces AS (SELECT COALESCE(lang, 'und') AS lang, UNNEST(string_split_regex(
+  translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS t FROM documents),
+words AS (SELECT lang, regexp_extract_all(t, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, size, array_to_string(w[p:p + size - 1], ' ') AS phrase
+  FROM (SELECT lang, w, size, UNNEST(range(1, len(w) - size + 2)) AS p FROM words, (VALUES (1), (2), (3)) AS s(size) WHERE len(w) >= size) AS u),
+f AS (SELECT lang, size, phrase, COUNT(*) AS f FROM grams GROUP BY 1, 2, 3),
+totals AS (SELECT lang, CAST(SUM(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+found AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, size FROM f WHERE size > 1 AND f >= 10),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+  FROM (SELECT *, UNNEST(range(1, size)) AS k FROM found) AS u),
+scored AS (SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r,
+  (1000000 * CAST(a AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+  FROM cuts AS c JOIN f AS x ON x.lang = c.lang AND x.phrase = lp JOIN f AS y ON y.lang = c.lang AND y.phrase = rp),
+weakest AS (SELECT * FROM scored QUALIFY ROW_NUMBER() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+longer AS (SELECT lang, phrase, MAX(a) AS most FROM (
+  SELECT lang, a, array_to_string(w[1:2], ' ') AS phrase FROM found WHERE size = 3
+  UNION ALL SELECT lang, a, array_to_string(w[2:3], ' ') FROM found WHERE size = 3) AS u GROUP BY 1, 2),
+kept AS (SELECT w.* FROM weakest AS w LEFT JOIN longer AS g ON g.lang = w.lang AND g.phrase = w.phrase WHERE most IS NULL OR 100 * most < 50 * a)
+SELECT lang, ROW_NUMBER() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000""",
 }
