@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from tidemark.llm import bpe
 from tidemark.llm.queries import op10_bpe
-from tidemark.llm.words import pieces
+from tidemark.llm.words import codepoints, pieces, word_hashes
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 ODD = ["'", "s", "t", "re", "ve", "ll", " ", "  ", "\n", "\t", "a", "Z", "12", "!", "é", "é", "你好", " ", "\x1c",
@@ -53,6 +53,24 @@ def test_one_word_of_many_letters(vocab, library):
     assert bpe.Encoder(vocab)([text])[0].tolist() == expected(library, [text])[0]
 
 
+def thue_morse(n):
+    """A word and its complement, on which polynomial hashes modulo 2**64 agree."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_with_one_key_are_told_apart(vocab, library):
+    one, other = thue_morse(2048)
+    codes, bounds = codepoints([one, other])
+    keys = word_hashes(codes, bounds[:-1], bounds[1:])
+    assert keys[0] == keys[1]
+    texts = [one, other, f"x {other} {one} y"]
+    for chosen in (texts, texts[::-1], texts[1:]):
+        encoder = bpe.Encoder(vocab)
+        for _ in range(2):
+            assert [a.tolist() for a in encoder(chosen)] == expected(library, chosen)
+
+
 def test_a_full_word_table_starts_anew(vocab, library):
     encoder = bpe.Encoder(vocab)
     encoder.table.most = 5

@@ -39,6 +39,14 @@ def test_encoding_equals_the_library(library, tokenizer, texts):
     assert [a.tolist() for a in got] == expected(tokenizer, texts)
 
 
+def test_words_with_one_key_are_told_apart(library, tokenizer):
+    bits = [bin(k).count("1") % 2 for k in range(2048)]
+    one, other = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    encoder = tokenids.LibraryEncoder(library)
+    for texts in ([one, other], [other], [f"z {one}", f"z {other} é́"]):
+        assert [a.tolist() for a in encoder(texts)] == expected(tokenizer, texts)
+
+
 def test_any_tokenizer_file_is_encoded_whole():
     other = tokenids.load(public_tokenizers.path("byte_bpe_50k.json"))
     assert other.kinds is None

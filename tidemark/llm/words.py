@@ -268,8 +268,7 @@ class WordIds:
             first = np.empty(len(unique), np.int64)
             first[which[::-1]] = np.arange(len(which))[::-1]
             new = np.flatnonzero(~known)
-            self._add(unique[new], codes, starts[first[new]], ends[first[new]])
-            slot, _ = self._find(unique)
+            slot[new] = self._add(unique[new], codes, starts[first[new]], ends[first[new]])
         slot = slot[which]
         sizes = ends - starts
         tiled = bool((starts[1:] == ends[:-1]).all())
@@ -287,7 +286,7 @@ class WordIds:
         at = np.minimum(np.searchsorted(self.keys, unique), len(self.keys) - 1)
         return self.slots[at], self.keys[at] == unique
 
-    def _add(self, keys: np.ndarray, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> None:
+    def _add(self, keys: np.ndarray, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         spelled = gather(codes, starts, ends - starts)
         text = spelled.tobytes().decode("utf-32-le", "surrogatepass")
         cut = np.append(0, np.cumsum(ends - starts)).tolist()
@@ -298,6 +297,7 @@ class WordIds:
         at = np.searchsorted(self.keys, keys[order])
         self.keys = np.insert(self.keys, at, keys[order])
         self.slots = np.insert(self.slots, at, slots[order])
+        return slots
 
 
 class _Slices:
@@ -339,7 +339,12 @@ def split_ids(
         if not len(codes):
             continue
         if safe is not None and not (fine := safe[codes]).all():
-            odd[np.array(owner)[np.searchsorted(bounds, np.flatnonzero(~fine), side="right") - 1]] = True
+            bad = set((np.searchsorted(bounds, np.flatnonzero(~fine), side="right") - 1).tolist())
+            odd[[owner[k] for k in bad]] = True
+            parts, owner = [p for k, p in enumerate(parts) if k not in bad], [o for k, o in enumerate(owner) if k not in bad]
+            codes, bounds = codepoints(parts)
+            if not len(codes):
+                continue
         if lower is not None:
             codes = lower[codes]
         starts, ends = split(codes, kinds[codes], bounds)
