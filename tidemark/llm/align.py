@@ -9,6 +9,7 @@ is worked out once and kept by them.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -17,17 +18,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.bpe import Encoder, Vocabulary, chunked, slices
-from tidemark.llm.words import gather, kept
+from tidemark.llm.words import CODES, WordIds, gather, kept, split_ids
 from tidemark.session import cut
 
 SPACE = "▁"  # Fixed value: how a piece spells a space.
+MARK = 0xFFFFFFFF  # Between the ids of A and B; no id.
 
 
 @dataclass
 class Pieces:
-    """A SentencePiece model file and the bytes that each of its ids stands for."""
+    """A SentencePiece model file and the bytes that each of its ids stands for.
+
+    ``by_word`` tells that no piece reaches beyond the blanks before a word and the word:
+    then words can be encoded one by one, and each only once.
+    """
 
     model: bytes
+    by_word: bool
     token_bytes: np.ndarray
     token_starts: np.ndarray
     token_lengths: np.ndarray
@@ -40,12 +47,90 @@ def load_pieces(path: str) -> Pieces:
     with open(path, "rb") as f:
         model = f.read()
     reader = sentencepiece.SentencePieceProcessor(model_proto=model)
-    table = []
-    for i in range(reader.vocab_size()):
-        piece = reader.id_to_piece(i)
-        table.append(bytes([int(piece[3:5], 16)]) if reader.is_byte(i) else piece.replace(SPACE, " ").encode())
+    names = [reader.id_to_piece(i) for i in range(reader.vocab_size())]
+    table = [bytes([int(p[3:5], 16)]) if reader.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
     lengths = np.array([len(t) for t in table], np.int64)
-    return Pieces(model, np.frombuffer(b"".join(table), np.uint8), np.cumsum(lengths) - lengths, lengths)
+    inside = any(SPACE in p.lstrip(SPACE) for p in names)
+    return Pieces(
+        model, _plain_bpe(model) and SPACE in names and not inside, np.frombuffer(b"".join(table), np.uint8), np.cumsum(lengths) - lengths, lengths
+    )
+
+
+def _plain_bpe(model: bytes) -> bool:
+    """Whether the model merges characters as they are, with one space put first."""
+    try:
+        from sentencepiece import sentencepiece_model_pb2
+    except ImportError:
+        return False
+    spec = sentencepiece_model_pb2.ModelProto.FromString(model)
+    norm = spec.normalizer_spec
+    own = any(p.type == p.USER_DEFINED for p in spec.pieces)
+    return (
+        spec.trainer_spec.model_type == spec.trainer_spec.BPE
+        and not spec.trainer_spec.treat_whitespace_as_suffix
+        and not norm.precompiled_charsmap
+        and norm.add_dummy_prefix
+        and norm.escape_whitespaces
+        and not norm.remove_extra_whitespaces
+        and not own
+    )
+
+
+def _blank_led(codes: np.ndarray, kinds: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words with all the blanks before them, or the blanks at a text's end; nothing is left out."""
+    new = np.zeros(len(codes), bool)
+    new[1:] = (kinds[1:] == 1) & (kinds[:-1] == 0)
+    new[bounds[:-1][bounds[:-1] < len(codes)]] = True
+    starts = np.flatnonzero(new)
+    return starts, np.append(starts[1:], len(codes))
+
+
+class PieceEncoder:
+    """Ids as the library's ``encode(text)`` gives them, for texts after one space."""
+
+    def __init__(self, pieces: Pieces):
+        import sentencepiece
+
+        self.by_word = pieces.by_word
+        self.reader = sentencepiece.SentencePieceProcessor(model_proto=pieces.model)
+        self.table = WordIds(self._words)
+        self.blank = np.zeros(CODES, np.uint8)
+        self.blank[32] = 1
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        """``texts`` begin with the space that the library would put there."""
+        if self.by_word:
+            # A blank spelled out in a text is one for the library too; such texts go whole.
+            plain = [SPACE not in t for t in texts]
+            words = iter(split_ids([t for t, p in zip(texts, plain) if p], self.blank, _blank_led, self.table))
+            whole = iter(self._whole([t for t, p in zip(texts, plain) if not p]))
+            return [next(words) if p else next(whole) for p in plain]
+        return self._whole(texts)
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray] = []
+        for some in chunked(texts, 500_000):
+            out += [np.array(ids, np.uint32) for ids in self.reader.encode([t[1:] for t in some], num_threads=1)]
+        return out
+
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        ids = self.reader.encode([w[1:] for w in words], num_threads=1)
+        # The library gives an empty text nothing, but one blank at a text's end is a piece.
+        alone = [self.reader.piece_to_id(SPACE)]
+        ids = [alone if w == " " else x for w, x in zip(words, ids)]
+        lengths = np.array([len(x) for x in ids], np.int64)
+        return np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths
+
+
+def _spaced(table: Vocabulary | Pieces) -> np.ndarray:
+    """Whether the bytes of each id begin with a space."""
+    first = np.append(table.token_bytes, 0)[np.minimum(table.token_starts, len(table.token_bytes))]
+    return (table.token_lengths > 0) & (first == 32)
+
+
+def _with_marks(many: int, marks: str | list[str]) -> np.ndarray:
+    """Every id as text with each of the marks behind it."""
+    return np.array([[f"{i}{m}" for i in range(many)] for m in marks], object)
 
 
 def _joined(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -61,22 +146,20 @@ class Aligner:
     beyond that; longer ones are worked out each time. Neither changes a result.
     """
 
-    def __init__(self, vocab: Vocabulary, pieces: Pieces, most: int = 400_000, longest: int = 48):
-        import sentencepiece
-
+    def __init__(self, vocab: Vocabulary, pieces: Pieces, most: int = 300_000, longest: int = 48):
         self.vocab, self.pieces = vocab, pieces
         self.first = Encoder(vocab, special=False)
-        self.second = sentencepiece.SentencePieceProcessor(model_proto=pieces.model)
+        self.second = PieceEncoder(pieces)
         self.most, self.longest = most, longest
         self.wide = len(pieces.token_lengths)
-        marked = np.append(pieces.token_bytes, 0)[np.minimum(pieces.token_starts, len(pieces.token_bytes))]
-        self.space_b = (pieces.token_lengths > 0) & (marked == 32)
-        marked = np.append(vocab.token_bytes, 0)[np.minimum(vocab.token_starts, len(vocab.token_bytes))]
-        self.space_a = (vocab.token_lengths > 0) & (marked == 32)
+        self.space_a, self.space_b = _spaced(vocab), _spaced(pieces)
+        # Ids within a group, at the end of a group, and at the end of a window.
+        self.spelled_a = _with_marks(len(vocab.token_lengths), ",|")
+        self.spelled_b = _with_marks(self.wide, [",", ";", ""])
         self._clear()
 
     def _clear(self) -> None:
-        self.slots: dict[tuple[bytes, bytes], int] = {}
+        self.slots: dict[bytes, int] = {}
         self.shown: list[str] = []
         self.groups = np.empty(0, np.int64)
         self.starts = np.empty(0, np.int64)
@@ -88,12 +171,12 @@ class Aligner:
         """The ids of both tokenizers; none for texts that are empty or that the joined bytes
         of either do not give back, with the space before them.
         """
-        none = np.empty(0, np.int64)
-        one = self.first([" " + t for t in texts])
-        two = [np.array(ids, np.int64) for some in chunked(texts, 500_000) for ids in self.second.encode(some, num_threads=1)]
-        for k, text in enumerate(texts):
-            want = b" " + text.encode("utf-8", "surrogatepass")
-            if not text or self._spelled(self.vocab, one[k]) != want or self._spelled(self.pieces, two[k]) != want:
+        none = np.empty(0, np.uint32)
+        spaced = [" " + t for t in texts]
+        one, two = self.first(spaced), self.second(spaced)
+        for k, text in enumerate(spaced):
+            want = text.encode("utf-8", "surrogatepass")
+            if len(text) == 1 or self._spelled(self.vocab, one[k]) != want or self._spelled(self.pieces, two[k]) != want:
                 one[k] = two[k] = none
         return one, two
 
@@ -138,46 +221,51 @@ class Aligner:
 
     def _slots(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         """The kept alignment of each window, from token bounds i and j."""
-        if len(self.slots) > self.most or len(self.shown) > 2 * self.most:
+        n = len(i) - 1
+        if len(self.shown) > self.most:
             self._clear()
-        a_bytes, b_bytes = a.astype("<u4").tobytes(), b.astype("<u4").tobytes()
-        p, q = (4 * i).tolist(), (4 * j).tolist()
-        keys = [(a_bytes[w:x], b_bytes[y:z]) for w, x, y, z in zip(p[:-1], p[1:], q[:-1], q[1:])]
+        if not n:
+            return np.empty(0, np.int64)
+        # The ids of a window in one stretch: those of A, a mark, those of B.
+        window = np.arange(n)
+        both = np.full(len(a) + len(b) + n, MARK, np.uint32)
+        both[np.arange(len(a)) + np.repeat(j[:-1] + window, np.diff(i))] = a
+        both[np.arange(len(b)) + np.repeat(i[1:] + window + 1, np.diff(j))] = b
+        offsets = np.append(0, i[1:] + j[1:] + window + 1) * 4
+        coded = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(both)]).dictionary_encode()
+        which, keys = coded.indices.to_numpy(), coded.dictionary.to_pylist()
         known = self.slots.get
-        slots = [known(k, -1) for k in keys]
-        new: dict[tuple[bytes, bytes], int] = {}
-        first: list[int] = []
-        for w, s in enumerate(slots):
-            if s < 0:
-                n = new.setdefault(keys[w], len(first))
-                if n == len(first):
-                    first.append(w)
-                slots[w] = len(self.shown) + n
-        if first:
+        slots = np.array([known(k, -1) for k in keys], np.int64)
+        new = np.flatnonzero(slots < 0)
+        if len(new):
+            first = np.empty(len(keys), np.int64)
+            first[which[::-1]] = window[::-1]
             before = len(self.shown)
-            self._align(a, b, i, j, np.array(first))
-            long = 4 * self.longest
-            self.slots.update({k: before + n for k, n in new.items() if len(k[0]) <= long and len(k[1]) <= long})
-        return np.array(slots, np.int64)
+            self._align(a, b, i, j, first[new])
+            slots[new] = before + np.arange(len(new))
+            long = 4 * (self.longest + 1)
+            self.slots.update((keys[k], s) for k, s in zip(new.tolist(), slots[new].tolist()) if len(keys[k]) <= long)
+        return slots[which]
 
     def _align(self, a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, chosen: np.ndarray) -> None:
         """Aligns the chosen windows and keeps the results."""
         n_a, n_b = (i[1:] - i[:-1])[chosen], (j[1:] - j[:-1])[chosen]
         a, b = gather(a, i[chosen], n_a), gather(b, j[chosen], n_b)
-        a_ends, b_ends = np.cumsum(self.vocab.token_lengths[a]), np.cumsum(self.pieces.token_lengths[b])
+        # Both run over the same bytes: their ends merged, each with the tokens that end before.
+        ends = np.concatenate([np.cumsum(self.vocab.token_lengths[a]), np.cumsum(self.pieces.token_lengths[b])])
+        order = np.argsort(ends, kind="stable")
+        ends, is_a = ends[order], order < len(a)
+        first = np.append(True, ends[1:] != ends[:-1])
+        of_a = (np.cumsum(is_a) - is_a)[first]
+        of_b = (np.cumsum(~is_a) - ~is_a)[first]
         # Between neighbouring ends of either lies one part of one token of each: a link.
-        ends = np.union1d(a_ends, b_ends)
-        of_a, of_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
         links = a[of_a] * self.wide + b[of_b]
-        upto = np.searchsorted(ends, a_ends[np.cumsum(n_a) - 1], side="right")
-        lengths = np.diff(np.append(0, upto))
-        both = (a_ends[of_a] == ends) & (b_ends[of_b] == ends)
-        cut_a, cut_b = np.append(0, of_a[both] + 1).tolist(), np.append(0, of_b[both] + 1).tolist()
-        groups = np.diff(np.append(0, np.cumsum(both)[upto - 1]))
-        left, right = [str(x) for x in a.tolist()], [str(x) for x in b.tolist()]
-        texts = [",".join(left[w:x]) + "|" + ",".join(right[y:z]) for w, x, y, z in zip(cut_a[:-1], cut_a[1:], cut_b[:-1], cut_b[1:])]
-        at = np.append(0, np.cumsum(groups)).tolist()
-        self.shown += [";".join(texts[x:y]) for x, y in zip(at[:-1], at[1:])]
+        both = np.append(~first[1:], False)[first]
+        last_a = of_a[both]
+        last = np.searchsorted(last_a, np.cumsum(n_a) - 1)  # the last group of each window
+        lengths = np.diff(np.append(0, np.flatnonzero(both)[last] + 1))
+        groups = np.diff(np.append(0, last + 1))
+        self._show(a, b, last_a, of_b[both], last, n_a + n_b)
         self.groups = np.append(self.groups, groups)
         self.starts = np.append(self.starts, self.used + np.cumsum(lengths) - lengths)
         self.lengths = np.append(self.lengths, lengths)
@@ -186,6 +274,25 @@ class Aligner:
         self.links[self.used : self.used + len(links)] = links
         self.used += len(links)
 
+    def _show(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray, last: np.ndarray, sizes: np.ndarray) -> None:
+        """Spells the groups of windows, from the last token of each group and the last group of
+        each window: every id with the mark behind it, in order.
+        """
+        spelled = np.empty(len(a) + len(b), object)
+        mark = np.zeros(len(a), np.int64)
+        mark[last_a] = 1
+        count = np.diff(np.append(-1, last_a)), np.diff(np.append(-1, last_b))
+        before = np.repeat(np.cumsum(count[1]) - count[1], count[0])
+        spelled[np.arange(len(a)) + before] = self.spelled_a[mark, a]
+        mark = np.zeros(len(b), np.int64)
+        mark[last_b] = 1
+        mark[last_b[last]] = 2
+        upto = np.repeat(np.cumsum(count[0]), count[1])
+        spelled[np.arange(len(b)) + upto] = self.spelled_b[mark, b]
+        tokens = spelled.tolist()
+        cuts = np.append(0, np.cumsum(sizes)).tolist()
+        self.shown += ["".join(tokens[x:y]) for x, y in zip(cuts[:-1], cuts[1:])]
+
 
 def align(docs: DataFrame, vocab: Vocabulary, pieces: Pieces, key: str = "doc_id", text: str = "text", groups: bool = True) -> DataFrame:
     """(key, n_a, n_b, n_groups, n_links, groups, pairs, times) of each document.
@@ -204,7 +311,7 @@ def align(docs: DataFrame, vocab: Vocabulary, pieces: Pieces, key: str = "doc_id
         import hashlib
 
         aligner = kept(shared.value, lambda both: Aligner(*both))
-        for batch in slices(batches, 1, 1_000_000):
+        for batch in slices(batches, 1, 1_500_000):
             got = aligner([t or "" for t in batch.column(1).to_pylist()])
             owner = np.repeat(np.arange(batch.num_rows), got["n_links"])
             most = len(aligner.vocab.token_lengths) * aligner.wide
