@@ -27,6 +27,7 @@ PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
 BLANKS = " \t"
 NO_GROUP = "und"
 END = -1
+BATCH_ROWS = 50_000
 
 
 def equal_partitions(
@@ -101,7 +102,7 @@ def _groups(column: pa.Array) -> tuple[list[str], np.ndarray]:
     return list(names), codes
 
 
-def word_counts(docs: DataFrame, most_bytes: int = 4_000_000) -> DataFrame:
+def word_counts(docs: DataFrame, most_bytes: int = 2_000_000) -> DataFrame:
     """(grp, word, f) from (grp, text), combined where it is read."""
 
     def run(batches):
@@ -132,7 +133,7 @@ def word_keys(words: DataFrame) -> DataFrame:
     return words.select("grp", "word").mapInArrow(run, "key long")
 
 
-def suffixes(docs: DataFrame, frequent, hot, most_words: int, routes: int, most_bytes: int = 4_000_000) -> DataFrame:
+def suffixes(docs: DataFrame, frequent, hot, most_words: int, routes: int, most_bytes: int = 1_500_000) -> DataFrame:
     """(route, grp, phrase, n) from (grp, text): suffixes of two to ``most_words`` words, cut
     before the first infrequent word, each counted within a slice of the input.
 
@@ -153,7 +154,7 @@ def suffixes(docs: DataFrame, frequent, hot, most_words: int, routes: int, most_
             codes, unique = pd.factorize(group * len(words) + at)
             keys = _key(of_group[unique // len(words)], of_word[unique % len(words)])
             known, split = often.has(keys)[codes], very.has(keys)[codes]
-            symbols = np.full((len(at), 1 + most_words), END, np.int64)
+            symbols = np.full((len(at), 1 + most_words), END, np.int32)
             symbols[:, 0] = group
             here = known
             for k in range(min(most_words, len(at))):
@@ -175,7 +176,7 @@ def suffixes(docs: DataFrame, frequent, hot, most_words: int, routes: int, most_
             route = np.where(very_many, whole, mix(route)) % np.uint64(routes) + np.uint64(routes) * very_many.astype(np.uint64)
             parts = [words.take(pa.array(np.maximum(chosen[:, k], 0), mask=chosen[:, k] == END)) for k in range(1, 1 + most_words)]
             phrases = pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()), null_handling="skip")
-            yield pa.RecordBatch.from_arrays(
+            rows = pa.RecordBatch.from_arrays(
                 [
                     pa.array(route.astype(np.int32)),
                     pa.DictionaryArray.from_arrays(pa.array(chosen[:, 0].astype(np.int32)), pa.array(names, pa.string())).cast(pa.string()),
@@ -184,11 +185,13 @@ def suffixes(docs: DataFrame, frequent, hot, most_words: int, routes: int, most_
                 ],
                 names=["route", "grp", "phrase", "n"],
             )
+            for start in range(0, rows.num_rows, BATCH_ROWS):
+                yield rows.slice(start, BATCH_ROWS)
 
     return docs.mapInArrow(run, "route int, grp string, phrase string, n long")
 
 
-def route_counts(rows: DataFrame, least: int, most_words: int, routes: int, most_rows: int = 400_000) -> DataFrame:
+def route_counts(rows: DataFrame, least: int, most_words: int, routes: int, most_rows: int = 150_000) -> DataFrame:
     """(grp, phrase, f) of the phrases of two words and more in the routed suffixes.
 
     Routes are sorted by Spark and taken one after another, small ones together. Counts
@@ -202,7 +205,7 @@ def route_counts(rows: DataFrame, least: int, most_words: int, routes: int, most
         words = pc.split_pattern(table["phrase"].combine_chunks().cast(pa.large_string()), " ")
         flat = words.flatten().dictionary_encode()
         sizes = pc.list_value_length(words).to_numpy()
-        symbols = np.full((len(sizes), 1 + most_words), END, np.int64)
+        symbols = np.full((len(sizes), 1 + most_words), END, np.int32)
         symbols[:, 0] = group.indices.to_numpy()
         inner = np.arange(1 + most_words)[None, 1:] <= sizes[:, None]
         symbols[:, 1:][inner] = flat.indices.to_numpy()
