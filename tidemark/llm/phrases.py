@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import slices
 from tidemark.llm.bytewords import classes, filter_of, hashes, lower_az, spans, strings, text_bytes
-from tidemark.llm.prefix import dealt
 from tidemark.llm.words import mix
 from tidemark.session import cut
 
@@ -28,6 +27,7 @@ BLANKS = " \t"
 NO_GROUP = "und"
 END = -1
 BATCH_ROWS = 50_000
+TASK_WORDS = 2_000_000
 
 
 def equal_partitions(
@@ -133,7 +133,7 @@ def word_keys(words: DataFrame) -> DataFrame:
     return words.select("grp", "word").mapInArrow(run, "key long")
 
 
-def suffixes(docs: DataFrame, frequent, hot, most_words: int, routes: int, most_bytes: int = 1_500_000) -> DataFrame:
+def suffixes(docs: DataFrame, frequent, hot, most_words: int, routes: int, most_bytes: int = 750_000) -> DataFrame:
     """(route, grp, phrase, n) from (grp, text): suffixes of two to ``most_words`` words, cut
     before the first infrequent word, each counted within a slice of the input.
 
@@ -191,10 +191,10 @@ def suffixes(docs: DataFrame, frequent, hot, most_words: int, routes: int, most_
     return docs.mapInArrow(run, "route int, grp string, phrase string, n long")
 
 
-def route_counts(rows: DataFrame, least: int, most_words: int, routes: int, most_rows: int = 150_000) -> DataFrame:
+def route_counts(rows: DataFrame, least: int, most_words: int, routes: int, parts: int, most_rows: int = 60_000) -> DataFrame:
     """(grp, phrase, f) of the phrases of two words and more in the routed suffixes.
 
-    Routes are sorted by Spark and taken one after another, small ones together. Counts
+    Routes are sorted by Spark, in ``parts`` tasks, and taken one after another, small ones together. Counts
     below ``least`` are abandoned; the shorter phrases of very frequent leading words lie in
     several routes, so theirs are added up first.
     """
@@ -234,7 +234,7 @@ def route_counts(rows: DataFrame, least: int, most_words: int, routes: int, most
         if held:
             yield counted(held, last >= routes)
 
-    sorted_rows = dealt(rows, "route").sortWithinPartitions("route")
+    sorted_rows = rows.repartition(parts, "route").sortWithinPartitions("route")
     found = sorted_rows.mapInArrow(run, "grp string, phrase string, f long")
     return found.groupBy("grp", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
 
@@ -252,7 +252,9 @@ def count_phrases(docs: DataFrame, least: int, most_words: int, group: str = "la
     often = cut(words.filter(F.col("f") >= least))
     very = often.filter(F.col("f") >= max(least, min(hot_rows, total // routes)))
     frequent, hot = filter_of(word_keys(often), "key"), filter_of(word_keys(very), "key")
-    longer = route_counts(suffixes(source, frequent, hot, most_words, routes), least, most_words, routes)
+    # About as many words to a task, whatever their number.
+    parts = int(max(tasks, total // TASK_WORDS))
+    longer = route_counts(suffixes(source, frequent, hot, most_words, routes), least, most_words, routes, parts)
     return cut(often.select("grp", F.col("word").alias("phrase"), "f").union(longer)), totals
 
 
