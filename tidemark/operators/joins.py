@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators.intervals import timeline
 from tidemark.operators.ordered import place
 from tidemark.session import cut
 
@@ -142,32 +143,6 @@ def version_at(
     return seen.select(*facts.columns, *[F.col(f"last_{c}").alias(c) for c in extra])
 
 
-def timeline(
-    dim: DataFrame, key: str, start: str, end: str, values: Sequence[str], kind: str = "timestamp"
-) -> DataFrame:
-    """(key, _at, values): from ``_at`` on, the newest version that is valid; NULL for none.
-
-    Each start and end of a key is looked up among the versions of that key alone.
-    Versions that start together are told apart by a hash of their values.
-    """
-    spans = dim.select(
-        F.col(key).alias("_key"), F.col(start).cast(kind).alias("_from"),
-        F.col(end).cast(kind).alias("_to"), F.struct(*values).alias("_version"),
-    )
-    turns = spans.select("_key", F.explode(F.array("_from", "_to")).alias("_at"))
-    turns = turns.filter(F.col("_at").isNotNull()).distinct().withColumnRenamed("_key", key)
-    valid = (
-        (F.col(key) == F.col("_key"))
-        & (F.col("_from") <= F.col("_at"))
-        & (F.col("_to").isNull() | (F.col("_to") > F.col("_at")))
-    )
-    order = F.struct("_from", F.xxhash64("_version"))
-    newest = turns.join(spans, valid, "left").groupBy(key, "_at").agg(
-        F.max_by("_version", F.when(F.col("_key").isNotNull(), order)).alias("_version")
-    )
-    return newest.select(key, "_at", *[F.col("_version")[v].alias(v) for v in values])
-
-
 def overlapping(
     spans: DataFrame, key: str, ident: str, start: str, end: str, **how
 ) -> DataFrame:

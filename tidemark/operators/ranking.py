@@ -38,10 +38,9 @@ def rank_in_group(df: DataFrame, keys: Sequence[str], measure: str, tie: Sequenc
 
 
 def keep_latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row per key: the greatest by ``order``. Combined before the shuffle."""
-    row = F.struct(*df.columns)
-    best = F.max_by(row, F.struct(*order)).alias("_row")
-    return df.groupBy(*keys).agg(best).select("_row.*")
+    """One row per key: the greatest by ``order``. Each task drops the others before the shuffle."""
+    newest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    return df.withColumn("_place", F.row_number().over(newest)).filter("_place = 1").drop("_place")
 
 
 def newest_first(df: DataFrame, owner: str, at: str, tie: str, **how) -> DataFrame:

@@ -14,5 +14,7 @@ from tidemark.plans import (  # noqa: F401
     questions,
     feature_tables,
     streams,
+    likeness,
+    upkeep,
 )
 from tidemark.plans.registry import NATIVE, ORACLES, QUERIES  # noqa: F401
