@@ -10,6 +10,7 @@ from tidemark.operators.versions import Dataset
 from tidemark.plans.frames import COSTS, events
 from tidemark.plans.registry import query, table
 from tidemark.session import fresh_path
+from tidemark.streaming import state as ST
 from tidemark.streaming import streams as S
 
 DELAY = "7 days"
@@ -279,3 +280,17 @@ def same_feature(spark, sf):
     joined = batch.join(live, "user_id", "left")
     same = F.struct("n", "total", "last_seen").eqNullSafe(F.col("live"))
     return joined.select("user_id", same.alias("same"), "n", "total", _local("last_seen"))
+
+
+@query(
+    "user_streaks",
+    """WITH d AS (SELECT user_id, CAST(ts AS DATE) AS day, COUNT(*) AS c FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2),
+    g AS (SELECT *, day - CAST(row_number() OVER (PARTITION BY user_id ORDER BY day) AS INTEGER) AS run FROM d),
+    r AS (SELECT user_id, run, COUNT(*) AS days, MAX(day) AS last FROM g GROUP BY 1, 2)
+    SELECT user_id, strftime(MAX(last), '%Y-%m-%d') AS day, arg_max(days, last) AS streak, MAX(days) AS longest,
+    (SELECT CAST(SUM(c) AS BIGINT) FROM d WHERE d.user_id = r.user_id) AS n FROM r GROUP BY 1""",
+)
+def user_streaks(spark, sf):
+    """Days in a row per user from the stream's keyed state, as last told."""
+    told = S.drain(ST.streaks(_stream(spark, sf), DELAY, idle_days=60), "streaks")
+    return ST.last_streaks(told).withColumn("day", F.date_from_unix_date("day"))
