@@ -107,6 +107,13 @@ def test_signatures_do_not_depend_on_the_batch():
     assert (one[7] == ngrams.signatures([sets[7]], 4, 3)[0]).all()
 
 
+def test_gram_sets_tell_apart_words_with_one_key():
+    bits = [bin(k).count("1") % 2 for k in range(2048)]
+    one, other = "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+    a, b, c = ngrams.gram_sets([f"{one} x y z v w", f"{other} x y z v w", f"{one} x y z v w"], 5)
+    assert a.tolist() == c.tolist() != b.tolist()
+
+
 def test_gram_sets_of_long_texts(monkeypatch):
     text = " ".join(f"w{k % 97} Été{k}" for k in range(3000))
     whole = ngrams.gram_sets([text, "a b"], 5)
