@@ -21,7 +21,7 @@ def test_registered():
     assert "pipeline" not in entry.oracle_sql()
     assert {n for n in entry.queries() if n.startswith("op") and n[2].isdigit()} == set(
         "op1_ngram_jaccard_join op2_embedding_near_dedup op3_url_filters op4_token_id_files op5_token_counts "
-        "op6_mixing op7_warc op8_language_id op9_nearest_neighbours op10_bpe".split()
+        "op6_mixing op7_warc op8_language_id op9_nearest_neighbours op10_bpe op11_decontamination op12_alignment op13_collocations".split()
     )
 
 
