@@ -16,5 +16,6 @@ from tidemark.plans import (  # noqa: F401
     streams,
     likeness,
     upkeep,
+    assurance,
 )
 from tidemark.plans.registry import NATIVE, ORACLES, QUERIES  # noqa: F401
