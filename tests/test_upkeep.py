@@ -10,6 +10,8 @@ from tidemark.operators import deltas as D
 from tidemark.operators import intervals as I
 from tidemark.operators import joins as J
 from tidemark.operators import sketches as K
+from tidemark.session import fresh_path
+from tidemark.streaming import streams as S
 
 
 def test_nodes_cover_spans_once(spark):
@@ -129,3 +131,20 @@ def test_merged_hitters(spark):
     hours = K.hitter_sketches(rows, ["hour"], "item", 500)
     top = K.heavy_hitters(K.merged_hitters(hours, [], 500), 1).first()
     assert top["item"] == "hot" and abs(top["n"] - 13_334) <= 2 * 40_000 / 500
+
+
+def test_top_items_of_a_stream_stay_bounded(spark):
+    """More items than counters, in several batches: the frequent ones come out, nearly counted."""
+    path = fresh_path(spark, "landing")
+    rare = spark.range(9000).selectExpr("timestamp_seconds(id % 3600) AS ts", "concat('rare', id % 4000) AS item")
+    hot = spark.range(3000).selectExpr("timestamp_seconds(id) AS ts", "CASE WHEN id % 3 = 0 THEN 'b' ELSE 'a' END AS item")
+    late = spark.createDataFrame([("c",)] * 5 + [(None,)] * 7, "item string").selectExpr("timestamp_seconds(7200) AS ts", "item")
+    rare.union(hot).union(late).repartition(4).write.parquet(path)
+    stream = S.landed(spark, path, "ts timestamp, item string", files_per_batch=1).withWatermark("ts", "10 hours")
+    close = spark.createDataFrame([("z",)], "item string").selectExpr("timestamp_seconds(360000) AS ts", "item")
+    close.write.mode("append").parquet(path)
+    counters = S.drain(S.feature_counters(stream, "item"), "counters")
+    got = [(r.place, r["item"], r.n) for r in S.top_items(counters, 2).orderBy("window_start", "place").collect()]
+    assert [r[:2] for r in got[:2]] == [(1, "a"), (2, "b")]
+    assert abs(got[0][2] - 2000) <= 60 and abs(got[1][2] - 1000) <= 60
+    assert {r[1:] for r in got[2:]} == {(None, 7), ("c", 5)}

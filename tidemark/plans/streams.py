@@ -73,6 +73,19 @@ def hourly_features(spark, sf):
     return S.top_per_hour(S.zoned(events(spark, sf))).select(_local("window_start"), "place", "event_type", "n")
 
 
+@query(
+    "stream_top_features",
+    """WITH c AS (SELECT date_trunc('hour', ts) AS s, event_type, COUNT(*) AS n FROM events GROUP BY 1, 2),
+    r AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY n DESC, event_type) AS place FROM c)
+    SELECT strftime(s, '%Y-%m-%d %H:%M:%S') AS window_start, CAST(place AS BIGINT) AS place, event_type, n FROM r WHERE place <= 3
+    AND s + INTERVAL 1 HOUR <= (SELECT MAX(ts) FROM events) - INTERVAL 7 DAY""",
+)
+def stream_top_features(spark, sf):
+    """The three most used features of each closed hour, from one sketch an hour in the state."""
+    counters = S.drain(S.feature_counters(_stream(spark, sf).withWatermark("ts", DELAY)), "features")
+    return S.top_items(counters).select(_local("window_start"), "place", F.col("item").alias("event_type"), "n")
+
+
 @query(
     "stream_sessions",
     """WITH f AS (SELECT user_id, ts, event_id, CASE WHEN ts < lag(ts) OVER w + INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS s FROM events

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.changes import last_changes
 from tidemark.operators.costs import daily_spikes
 from tidemark.operators.scd import require_unique
+from tidemark.operators.sketches import TRACKED, heavy_hitters, hitter_sketches
 from tidemark.operators.versions import Dataset
 from tidemark.session import fresh_path
 
@@ -74,6 +75,25 @@ def top_per_hour(events: DataFrame, most: int = 3) -> DataFrame:
     return ranked.select(F.col("window.start").alias("window_start"), "place", "event_type", "n")
 
 
+def feature_counters(events: DataFrame, item: str = "event_type", span: str = "1 hour") -> DataFrame:
+    """(window_start, sketch): bounded counters of the frequent items of each window, for both
+    worlds. In a stream the state of a window is one sketch, however many items it sees.
+    """
+    counted = hitter_sketches(events, [F.window("ts", span).alias("window")], item)
+    return counted.select(F.col("window.start").alias("window_start"), "sketch")
+
+
+def top_items(counters: DataFrame, most: int = 3) -> DataFrame:
+    """(window_start, place, item, n): the ``most`` frequent items of each window, ties by item.
+
+    Counts are exact while a window has no more items than three quarters of its counters.
+    All counters of a sketch are ranked, so that a tie does not depend on their order.
+    """
+    order = Window.partitionBy("window_start").orderBy(F.desc("n"), "item")
+    ranked = heavy_hitters(counters, TRACKED).withColumn("place", F.row_number().over(order))
+    return ranked.filter(F.col("place") <= most).select("window_start", "place", "item", "n")
+
+
 def session_windows(events: DataFrame, gap: str = "30 minutes") -> DataFrame:
     return events.groupBy("user_id", F.session_window("ts", gap)).agg(F.count("*").alias("points")).select(
         "user_id",
