@@ -215,3 +215,11 @@ def test_one_of_each_class_keeps_columns_of_any_name(spark):
     kept = ngrams.without_duplicates(docs)
     assert kept.columns == docs.columns
     assert {tuple(r) for r in kept.collect()} == {rows[1], rows[2], rows[3]}
+
+
+def test_labels_of_any_type_keep_vectors_apart(spark):
+    rows = [(1, [1.0, 0.0], "a"), (2, [1.0, 0.01], "a"), (3, [1.0, 0.0], "b"), (4, [1.0, 0.0, 0.0], "a"), (5, [1.0, 0.01], "b")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    for label in ("label", "struct(label, 1 AS x)", "array(label)"):
+        out = vectordups.near_duplicates(frame.selectExpr("vec_id", "embedding", f"{label} AS label"))
+        assert {r.vec_id: (r.n_links, r.component_id) for r in out.collect()} == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (0, 4), 5: (1, 3)}

@@ -127,8 +127,9 @@ def near_duplicates(
         .agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("least"), F.first("vector").alias("vector"), F.first("signs").alias("signs"))
         .withColumn("id", F.monotonically_increasing_id())
     )
-    members = classes.select("id", F.xxhash64("label", F.octet_length("vector")).alias("kind"), F.posexplode("signs").alias("tab", "sign")).select(
-        F.xxhash64("kind", "tab", "sign").alias("grp"), "id", "tab"
+    size = F.octet_length("vector").alias("size")
+    members = classes.select("id", "label", size, F.posexplode("signs").alias("tab", "sign")).select(
+        F.struct("label", "size", "tab", "sign").alias("grp"), "id", "tab"
     )
     sizes = cut(members.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").withColumn("w", F.lit(1)))
     tasks = block_pairs(members, sizes, block)
