@@ -151,3 +151,13 @@ def test_running_sums(spark):
         total += sum(v or 0 for key, v in rows if key == k)
         assert last[k] == total
     assert math.isclose(total, sum(v or 0 for _, v in rows))
+
+
+def test_rows_are_told_apart_by_every_column(spark):
+    rows = [("a", "b", [None]), ("ab", "", [None]), ("a", "b", []), ("a", "b", None), (None, "b", []), ("", "b", []), ("-", "b", []),
+            ("1:a", "", []), ("a", "1:b", []), ("a", "b", ["null"])]
+    docs = spark.createDataFrame(rows + rows[:2], "text string, lang string, tags array<string>")
+    assert docs.select(mixing.uid_of(docs).alias("u")).distinct().count() == len(rows)
+    typed = spark.sql("""SELECT x, CAST(x AS DOUBLE) AS y, DATE '2024-01-01' AS d, X'FF00' AS b, CAST(x AS TIMESTAMP) AS t,
+        TIMESTAMP_NTZ '2024-01-01 00:00:00' AS z, CAST(x AS DECIMAL(9, 2)) AS m, x > 1 AS q FROM VALUES (1), (2), (NULL) AS v(x)""")
+    assert typed.select(mixing.uid_of(typed).alias("u")).distinct().count() == 3

@@ -223,3 +223,48 @@ def test_labels_of_any_type_keep_vectors_apart(spark):
     for label in ("label", "struct(label, 1 AS x)", "array(label)"):
         out = vectordups.near_duplicates(frame.selectExpr("vec_id", "embedding", f"{label} AS label"))
         assert {r.vec_id: (r.n_links, r.component_id) for r in out.collect()} == {1: (1, 1), 2: (1, 1), 3: (1, 3), 4: (0, 4), 5: (1, 3)}
+
+
+def chain(many, size=100, step=9):
+    """Texts of which each is like the next only: a window that slides over one long row of words."""
+    words = [f"w{k}" for k in range(many * step + size)]
+    return [" ".join(words[k * step : k * step + size]) for k in range(many)]
+
+
+def compared(tasks):
+    """Pairs of rows that the tasks compare."""
+    held = {}
+    for r in tasks.collect():
+        sides = held.setdefault((r.grp, r.i, r.j), [0, 0])
+        sides[r.second] += 1
+    return sum(a * (a - 1) // 2 if k[1] == k[2] else a * b for k, (a, b) in held.items())
+
+
+def test_a_chain_is_compared_within_its_buckets(spark):
+    texts = chain(600)
+    bands = ngrams.bands_for(0.8, 8, 0.999)
+    docs = spark.createDataFrame(list(enumerate(texts)), "key long, text string").withColumn("uid", ngrams.uid_of("key", "text"))
+    classes = ngrams.fingerprints(docs.select("key", "uid", "text"), 5, bands, 8).select(F.col("key").alias("id"), "grams", "bands")
+    few, _ = ngrams.comparison_tasks(classes, 4, 1 << 21)
+    assert few.filter("tab = -1").count() < few.count()
+    assert compared(few) < 600 * 599 // 2 // 4
+    n_links, roots = linked([grams(t) for t in texts], jaccard)
+    assert max(n_links) == 2
+    for block in (4, 512):
+        got = {r.doc_id: (r.n_links, r.class_id) for r in ngrams.near_duplicates(docs.selectExpr("key AS doc_id", "text"), block=block).collect()}
+        assert got == {k: (n, r) for k, (n, r) in enumerate(zip(n_links, roots))}
+
+
+def test_near_copies_meet_once(spark):
+    rnd = random.Random(9)
+    base = [f"word{k}" for k in range(400)]
+    docs = spark.createDataFrame(list(enumerate(near_texts(rnd, base, 40))), "key long, text string").withColumn("uid", ngrams.uid_of("key", "text"))
+    classes = ngrams.fingerprints(docs.select("key", "uid", "text"), 5, 38, 8).select(F.col("key").alias("id"), "grams", "bands")
+    tasks, _ = ngrams.comparison_tasks(classes, 8, 1 << 21)
+    assert compared(tasks) == 40 * 39 // 2
+
+
+def test_documents_are_told_apart_by_key_and_text(spark):
+    rows = [(1, "2:x"), (12, ":x"), (None, "1"), (1, None), (1, ""), (None, None), (None, ""), (1, "null"), (1, "2:x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert docs.select(ngrams.uid_of("doc_id", "text").alias("u")).distinct().count() == len(set(rows))

@@ -23,16 +23,19 @@ def word_count(text: Column) -> Column:
 
 
 def uid_of(docs: DataFrame) -> Column:
-    """A hash of the whole row; which columns, and which values in nested ones, are null counts."""
+    """A SHA-256 of the whole row: of each column, whether it is null, its length and its value."""
 
-    def hashed(field: T.StructField) -> Column:
-        value = F.col(f"`{field.name}`")
+    def value(field: T.StructField) -> Column:
+        of = F.col(f"`{field.name}`")
         if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-            return F.to_json(F.struct(value.alias("v")), {"ignoreNullFields": "false"})
-        return value
-
-    missing = [F.col(f"`{c}`").isNull() for c in docs.columns]
-    return F.xxhash64(*[hashed(f) for f in docs.schema], *missing)
+            of = F.to_json(F.struct(of.alias("v")), {"ignoreNullFields": "false"})
+        elif isinstance(field.dataType, T.TimestampType):
+            of = F.unix_micros(of)  # the local time repeats an hour in autumn
+        return of.cast("string")
+
+    values = [value(f) for f in docs.schema]
+    parts = [p for v in values for p in (F.coalesce(F.octet_length(v).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(v, F.lit("")))]
+    return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
 def source_targets(

@@ -6,7 +6,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import slices
@@ -114,7 +114,7 @@ def fingerprints(docs: DataFrame, n: int, bands: int, rows: int) -> DataFrame:
                 names=["key", "uid", "digest", "grams", "bands"],
             )
 
-    return docs.mapInArrow(run, "key long, uid long, digest binary, grams int, bands array<long>")
+    return docs.mapInArrow(run, "key long, uid binary, digest binary, grams int, bands array<long>")
 
 
 def _digest(grams: np.ndarray) -> bytes:
@@ -141,13 +141,17 @@ def with_sets(docs: DataFrame, n: int) -> DataFrame:
             sets = [s.tobytes() for a, b in _spans(texts) for s in gram_sets(texts[a:b], n)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["uid", "set"])
 
-    return docs.mapInArrow(run, "uid long, set binary")
+    return docs.mapInArrow(run, "uid binary, set binary")
 
 
 def jaccard_links(threshold: float, columns: int = 1 << 12):
-    """Links of two blocks by the exact Jaccard similarity of their gram sets."""
+    """Links of two blocks by the exact Jaccard similarity of their gram sets.
 
-    def verify(left: dict, right: dict, same: bool) -> np.ndarray:
+    Only members that share a band are linked. In a task of one band's bucket (``tab``) a
+    pair counts if that is the first band that it shares, so it counts once.
+    """
+
+    def similar(left: dict, right: dict, same: bool) -> np.ndarray:
         one = [np.frombuffer(s, _U) for s in left["set"]]
         two = one if same else [np.frombuffer(s, _U) for s in right["set"]]
         a, b = np.array([len(s) for s in one]), np.array([len(s) for s in two])
@@ -178,11 +182,58 @@ def jaccard_links(threshold: float, columns: int = 1 << 12):
                 common += x @ y.T
         return common.astype(np.float64) >= threshold * (a[:, None] + b[None, :] - common.astype(np.float64)) - 1e-9
 
+    def verify(left: dict, right: dict, same: bool) -> np.ndarray:
+        linked = similar(left, right, same)
+        tab = left["tab"][0]
+        bands_a = np.array(left["bands"], np.int64)
+        bands_b = bands_a if same else np.array(right["bands"], np.int64)
+        one, two = np.nonzero(linked)
+        for a in range(0, len(one), columns):
+            i, j = one[a : a + columns], two[a : a + columns]
+            shared = bands_a[i] == bands_b[j]
+            linked[i, j] = shared.any(axis=1) & ((tab < 0) | (shared.argmax(axis=1) == tab))
+        return linked
+
     return verify
 
 
-def uid_of(key: str, text: str):
-    return F.xxhash64(F.col(key), F.col(text))
+def uid_of(key: str, text: str) -> Column:
+    """A SHA-256 of key and text, with nulls told apart from empty texts."""
+    kind = F.when(F.col(text).isNull(), "!").otherwise(":")
+    whole = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), kind, F.coalesce(F.col(text), F.lit("")))
+    return F.unhex(F.sha2(whole, 256))
+
+
+def comparison_tasks(classes: DataFrame, block: int, block_grams: int) -> tuple[DataFrame, DataFrame]:
+    """Task rows (grp, i, j, second, id, tab) in which all candidate pairs of ``classes``
+    (id, grams, bands) meet, and the ids that have a candidate.
+
+    Candidates are members of one bucket of a band. Buckets that chain together are one
+    component; it is compared as a whole where that loads fewer sets than to compare each
+    of its buckets (``tab``: the band; -1 for a whole component): near copies share many
+    bands and meet once, chains of small buckets never meet as a whole. The work is thus at
+    most that of the buckets. Either way has the same links, as they need a shared band.
+    """
+    members = classes.select("id", F.posexplode("bands").alias("tab", "bucket"))
+    heads = cut(members.groupBy("tab", "bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    shared = cut(members.join(heads, ["tab", "bucket"]))
+    chained = components(shared.select(F.col("id").alias("a"), F.col("head").alias("b")))
+    grouped = cut(chained.select(F.col("label").alias("part"), "id").join(classes.select("id", "grams"), "id"))
+    blocks = F.greatest(F.ceil(F.col("n") / block), F.col("w"), F.lit(1))
+    weigh = (F.count(F.lit(1)).alias("n"), F.ceil(F.sum("grams") / block_grams).alias("w"))
+    bucketed = cut(shared.select("id", "tab", "bucket").join(grouped, "id"))
+    buckets = cut(bucketed.groupBy("part", "tab", "bucket").agg(*weigh))
+    whole = grouped.groupBy("part").agg(*weigh)
+    apart = buckets.groupBy("part").agg(F.sum(F.col("n") * blocks).alias("apart"))
+    ways = cut(whole.join(apart, "part").withColumn("whole", F.col("n") * blocks <= F.col("apart")))
+    in_whole, in_buckets = ways.filter("whole").select("part"), ways.filter("NOT whole").select("part")
+    one = F.struct("part", F.lit(-1).alias("tab"), F.lit(0).cast("long").alias("bucket")).alias("grp")
+    each = F.struct("part", "tab", "bucket").alias("grp")
+    rows = grouped.join(in_whole, "part", "left_semi").select(one, "id", F.lit(-1).alias("tab")).unionByName(
+        bucketed.join(in_buckets, "part", "left_semi").select(each, "id", "tab")
+    )
+    sizes = ways.filter("whole").select(one, "n", "w").unionByName(buckets.join(in_buckets, "part", "left_semi").select(each, "n", "w"))
+    return block_pairs(rows, sizes, block), grouped.select("id")
 
 
 def near_duplicates(
@@ -199,9 +250,9 @@ def near_duplicates(
     keys come after all others. ``uid`` hashes key and text, to find documents again.
 
     Copies (equal gram sets) are combined to one representative before bands are dealt
-    out. Each bucket of a band links its members to its smallest one; the components of
-    these candidate links are cut into blocks that are compared on full gram sets, pair
-    of blocks by pair of blocks, so no pair is written and no candidate is left out.
+    out. Members of a bucket of a band are compared on full gram sets, in blocks, pair of
+    blocks by pair of blocks, so no pair is written and no candidate is left out; whether
+    two documents are linked does not depend on others.
     """
     bands = bands_for(threshold, rows, recall)
     source = docs.select(F.col(key).cast("long").alias("key"), uid_of(key, text).alias("uid"), F.col(text).alias("text"))
@@ -218,18 +269,11 @@ def near_duplicates(
         )
         .withColumn("id", F.monotonically_increasing_id())
     )
-    members = classes.select("id", F.explode("bands").alias("bucket"))
-    heads = cut(members.groupBy("bucket").agg(F.min("id").alias("head"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    candidates = components(members.join(heads, "bucket").select(F.col("id").alias("a"), F.col("head").alias("b")))
-    grouped = cut(candidates.select(F.col("label").alias("grp"), "id").join(classes.select("id", "uid", "copies", "grams"), "id"))
-    sizes = cut(
-        grouped.groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.sum("grams") / block_grams).alias("w"))
-    )
-    needed = cut(grouped.select("uid", "id", "copies"))
+    tasks, candidates = comparison_tasks(classes.select("id", "grams", "bands"), block, block_grams)
+    needed = cut(classes.select("id", "uid", "copies", "bands").join(candidates, "id", "left_semi"))
     texts = source.select("uid", "text").join(needed.select("uid"), "uid", "left_semi").dropDuplicates(["uid"])
-    sets = cut(needed.join(with_sets(texts, n), "uid").select("id", "copies", "set"))
-    tasks = block_pairs(grouped.select("grp", "id"), sizes, block).join(sets, "id")
-    found = cut(linked_blocks(tasks, jaccard_links(threshold), ["set"]))
+    sets = cut(needed.join(with_sets(texts, n), "uid").select("id", "copies", "set", "bands"))
+    found = cut(linked_blocks(tasks.join(sets, "id"), jaccard_links(threshold), ["set", "bands", "tab"]))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     labels = components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("label", "part")
     named = cut(classes.select("id", "digest", "copies", "least").join(links, "id", "left").join(labels, "id", "left"))
