@@ -270,9 +270,9 @@ def near_duplicates(
         .withColumn("id", F.monotonically_increasing_id())
     )
     tasks, candidates = comparison_tasks(classes.select("id", "grams", "bands"), block, block_grams)
-    needed = cut(classes.select("id", "uid", "copies", "bands").join(candidates, "id", "left_semi"))
+    needed = cut(classes.select("id", "uid", "copies").join(candidates, "id", "left_semi"))
     texts = source.select("uid", "text").join(needed.select("uid"), "uid", "left_semi").dropDuplicates(["uid"])
-    sets = cut(needed.join(with_sets(texts, n), "uid").select("id", "copies", "set", "bands"))
+    sets = cut(needed.join(with_sets(texts, n), "uid").join(classes.select("id", "bands"), "id").select("id", "copies", "set", "bands"))
     found = cut(linked_blocks(tasks.join(sets, "id"), jaccard_links(threshold), ["set", "bands", "tab"]))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     labels = components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("label", "part")
