@@ -115,3 +115,10 @@ def test_cut_keeps_types_and_survives_odd_ones(spark):
     assert cut(plain).schema == plain.schema or cut(plain).dtypes == plain.dtypes
     odd = spark.range(5).select("id", F.lit(None).alias("nothing"), F.expr("INTERVAL 1 DAY").alias("i"))
     assert cut(odd).count() == 5 and cut(odd).dtypes == odd.dtypes
+
+
+def test_quantiles_of_millions_of_rows_without_keys(spark):
+    """From 2.4 million rows on, the rank of the ninth decile in thousandths passes 32 bits."""
+    rows = spark.range(3_000_000).select((F.col("id") % 10).alias("v"))
+    got = exact_quantiles(rows, [], "v", [i / 10 for i in range(1, 10)]).first()
+    assert list(got) == list(range(9))

@@ -351,4 +351,5 @@ def join_back(rows: DataFrame, totals: DataFrame, keys: Sequence[str]) -> DataFr
 
 def _attach_single(rows: DataFrame, one_row: DataFrame) -> DataFrame:
     value = one_row.first()
-    return rows.withColumns({c: F.lit(value[c]) for c in one_row.columns})
+    # A number from Python is an integer if it fits one; products with it would overflow.
+    return rows.withColumns({c: F.lit(value[c]).cast(one_row.schema[c].dataType) for c in one_row.columns})
