@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -156,3 +156,11 @@ def test_quality_checks(spark):
     days = spark.createDataFrame([(D("2024-01-01"),), (D("2024-01-04"),)], "d date")
     assert [r.day.day for r in Q.missing_days(days, F.col("d")).orderBy("day").collect()] == [2, 3]
     assert Q.missing_days(days.limit(0), F.col("d")).count() == 0
+
+
+@pytest.mark.parametrize("ahead, stale", [(500_000, True), (0, False), (-500_000, False)])
+def test_freshness_counts_parts_of_a_second(spark, ahead, stale):
+    """Half a second more than the limit is too old."""
+    newest = datetime(2024, 1, 31) - timedelta(microseconds=ahead)
+    rows = spark.createDataFrame([(newest,)], "ts timestamp_ntz")
+    assert Q.freshness(rows, "t", "ts", datetime(2024, 2, 1), 24).first().stale is stale

@@ -125,7 +125,8 @@ def different_rows(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def freshness(df: DataFrame, subject: str, ts: str, as_of: datetime, limit_hours: float) -> DataFrame:
-    lag = F.timestamp_diff("SECOND", F.max(ts), F.lit(as_of)) / F.lit(3600.0)
+    # Counted in microseconds: whole seconds would lose the part by which a limit is passed.
+    lag = F.timestamp_diff("MICROSECOND", F.max(ts), F.lit(as_of)) / F.lit(3600.0e6)
     return df.agg(
         F.lit(subject).alias("subject"),
         F.max(ts).alias("newest"),
