@@ -114,3 +114,17 @@ def test_change_stream_and_sessions(spark, landing, sf):
     same(data.read(), apply_changes(target, rows, ["user_id"], "event_id", "act"))
     sess = S.session_windows(S.zoned(spark.read.parquet(f"{sf}/events.parquet")))
     assert sess.agg(F.sum("points")).first()[0] == rows.count()
+
+
+def test_a_table_in_one_file_and_as_a_folder(spark, tmp_path):
+    from tidemark.plans import catalog
+
+    docs = spark.createDataFrame([(i, f" Text {i % 7}") for i in range(40)], "doc_id long, text string")
+    folder, single = str(tmp_path / "folder"), str(tmp_path / "single")
+    docs.repartition(4).write.parquet(f"{folder}/documents.parquet")
+    docs.coalesce(1).write.parquet(f"{single}/whole")
+    (part,) = (tmp_path / "single" / "whole").glob("part-*.parquet")
+    part.rename(tmp_path / "single" / "documents.parquet")
+    for path in (folder, single):
+        assert S.landed(spark, path, docs.schema, "documents.parquet", ts=None).isStreaming
+        assert catalog.QUERIES["incremental_dedup"](spark, path).first().kept == 7

@@ -24,11 +24,13 @@ def landed(
 ) -> DataFrame:
     """Newly landed Parquet files as a stream; event time becomes a zoned timestamp.
 
+    ``glob`` names the tables to take below ``path``, each a file or a folder of files.
     ``files_per_batch`` caps the intake of one batch during a spike.
     """
     reader = spark.readStream.schema(schema)
     if glob:
-        reader = reader.option("pathGlobFilter", glob)
+        # As a part of the path it finds folders, too; a filter would only see file names.
+        path = f"{path.rstrip('/')}/{{{glob}}}"
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     rows = reader.parquet(path)
