@@ -74,6 +74,18 @@ def test_sets_above_a_threshold(spark, monkeypatch, threshold, block):
     assert members.count() == sum(1 for s in sets if s) + 1
 
 
+@pytest.mark.parametrize("threshold, block", [(0.2, 4096), (0.2, 7), (0.8, 7)])
+def test_sets_counted_in_blocks_equal_those_by_signs(spark, monkeypatch, threshold, block):
+    """A low threshold no longer has nearly all pairs meet under signs one by one."""
+    monkeypatch.setattr(S._counted_links, "__defaults__", (block, 1 << 22))
+    rng = np.random.default_rng(5)
+    rows = [(f"r{k}", [f"t{int(x)}" for x in rng.zipf(1.4, rng.integers(0, 9)) % 12]) for k in range(70)]
+    df = spark.createDataFrame(rows, "id string, t array<string>")
+    ways = [S.similar_sets(df, "id", F.col("t"), threshold, by_signs=way)[0].collect() for way in (True, False)]
+    met, counted = [sorted((r.left, r.right, r.similarity) for r in way) for way in ways]
+    assert met == counted and len(met) > 1
+
+
 def test_prefix_size():
     assert [S.prefix_size(n, 0.8) for n in (1, 5, 10)] == [1, 2, 3]
 

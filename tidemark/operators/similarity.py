@@ -3,7 +3,8 @@
 Rows become signs, of which two similar rows must share one: the rarest tokens of a set or
 the rarest character pieces of a text (prefix filter). Rows that share a sign meet in an
 equi-join; a sign of very many rows is cut into blocks, and each pair of blocks is a join
-key of its own. A pair of rows is looked at once, under its smallest shared sign.
+key of its own. A pair of rows is looked at once, under its smallest shared sign. Where so
+many sets share signs that this saves nothing, all pairs of sets are counted, block by block.
 """
 
 from __future__ import annotations
@@ -11,12 +12,18 @@ from __future__ import annotations
 import math
 from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import cut
 
 BLOCK_ROWS = 512
+PAIR_ROWS = 4096
+PAIR_TOKENS = 1 << 22
+#: Two rows that meet under a sign cost about as much as so many pairs counted in blocks.
+MEETING_PAIRS = 100
 
 
 def meeting(rows: DataFrame, ident: str, signs: str, block: int = BLOCK_ROWS) -> DataFrame:
@@ -45,8 +52,10 @@ def meeting(rows: DataFrame, ident: str, signs: str, block: int = BLOCK_ROWS) ->
     a, b = F.col(f"left_{ident}"), F.col(f"right_{ident}")
     # Within one block both orders meet, between two blocks only one.
     once = (a < b) | ((F.col("_i") < F.col("_j")) & (a > b))
+    # The only sign of a row is the first shared one; otherwise the signs are compared.
+    only = (F.size(f"left_{signs}") == 1) | (F.size(f"right_{signs}") == 1)
     first_shared = F.array_min(F.array_intersect(f"left_{signs}", f"right_{signs}")) == F.col("_sign")
-    pairs = met.filter(once & first_shared)
+    pairs = met.filter(once & (only | first_shared))
     swap = F.col(f"left_{ident}") > F.col(f"right_{ident}")
     out = []
     for c in columns:
@@ -67,7 +76,9 @@ def _rarest(rows: DataFrame, ident: str, tokens: str, keep: Column, name: str) -
     return rows.join(ranked, ident, "left").withColumn(name, F.slice("_ranked", F.lit(1), keep)).drop("_ranked")
 
 
-def similar_sets(rows: DataFrame, ident: str, tokens: Column, threshold: float) -> tuple[DataFrame, DataFrame]:
+def similar_sets(
+    rows: DataFrame, ident: str, tokens: Column, threshold: float, by_signs: bool | None = None
+) -> tuple[DataFrame, DataFrame]:
     """(links, members) of rows whose token sets have a Jaccard similarity >= ``threshold``.
 
     Rows with one set are one class, named by its smallest ident. ``members`` has every row:
@@ -90,6 +101,11 @@ def similar_sets(rows: DataFrame, ident: str, tokens: Column, threshold: float)
     # A little slack keeps rounding from shortening a prefix; the verification is exact.
     prefix = F.col("n") - F.ceil(F.col("n") * F.lit(threshold - 1e-9)).cast("int") + 1
     signed = cut(_rarest(classes.select("rep", "set", "n"), "rep", "set", prefix.cast("int"), "signs").drop("set"))
+    if by_signs is None:
+        n = classes.count()
+        by_signs = _meetings(signed, "signs") * MEETING_PAIRS <= n * (n - 1) // 2
+    if not by_signs:
+        return _counted_links(classes, threshold), members
     close = F.least("left_n", "right_n") >= F.greatest("left_n", "right_n") * F.lit(threshold - 1e-9)
     pairs = meeting(signed, "rep", "signs").filter(close).select("left_rep", "right_rep")
     of = lambda side: classes.select(F.col("rep").alias(f"{side}_rep"), F.col("set").alias(f"{side}_set"))
@@ -100,6 +116,61 @@ def similar_sets(rows: DataFrame, ident: str, tokens: Column, threshold: float)
     return scored.filter(F.col("similarity") >= threshold), members
 
 
+def _meetings(rows: DataFrame, signs: str) -> int:
+    """How many times two rows meet under a sign."""
+    counts = rows.select(F.explode(signs).alias("_sign")).groupBy("_sign").agg(F.count("*").alias("n"))
+    return counts.agg(F.sum(F.expr("n * (n - 1) DIV 2"))).first()[0] or 0
+
+
+def _counted_links(classes: DataFrame, threshold: float, block: int = PAIR_ROWS, block_tokens: int = PAIR_TOKENS) -> DataFrame:
+    """Links of all pairs of sets: the shared tokens are counted along lists of their holders.
+
+    Sets are dealt into blocks of about ``block`` rows and ``block_tokens`` tokens at most,
+    and each pair of blocks is one group.
+    """
+    listed = classes.select("rep", F.explode("set").alias("_t"))
+    codes = cut(listed.select("_t").distinct().withColumn("_code", F.monotonically_increasing_id()))
+    coded = cut(listed.join(codes, "_t").groupBy("rep").agg(F.collect_list("_code").alias("codes")))
+    n, tokens = coded.agg(F.count("*"), F.sum(F.size("codes"))).first()
+    # Enough blocks that their pairs occupy all cores, unless that leaves a block few rows.
+    cores = min(math.ceil(2 * classes.sparkSession.sparkContext.defaultParallelism**0.5), math.ceil(n / 256))
+    blocks = max(1, cores, math.ceil(n / block), math.ceil((tokens or 0) / block_tokens))
+    dealt = coded.withColumn("_own", F.pmod(F.xxhash64(F.lit(19), "rep"), F.lit(blocks)).cast("int"))
+    own = F.col("_own")
+    asks = dealt.select("rep", "codes", own.alias("i"), F.explode(F.sequence(own, F.lit(blocks - 1))).alias("j"), F.lit(True).alias("asks"))
+    rest = dealt.filter(own > 0).select("rep", "codes", F.explode(F.sequence(F.lit(0), own - 1)).alias("i"), own.alias("j"), F.lit(False).alias("asks"))
+
+    def links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        left = rows[rows["asks"]]
+        right = left if key[0] == key[1] else rows[~rows["asks"]]
+        found = [(np.array([], object), np.array([], object), np.array([], float))]
+        if len(left) and len(right):
+            names, sizes = right["rep"].to_numpy(), right["codes"].map(len).to_numpy()
+            flat = np.concatenate(right["codes"].to_list())
+            order = np.argsort(flat, kind="stable")
+            holders = np.repeat(np.arange(len(right)), sizes)[order]
+            codes, heads = np.unique(flat[order], return_index=True)
+            ends = np.append(heads[1:], len(flat))
+            for rep, own in zip(left["rep"], left["codes"]):
+                at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
+                at = at[codes[at] == own]
+                if not len(at):
+                    continue
+                shared = np.bincount(np.concatenate([holders[heads[k] : ends[k]] for k in at]), minlength=len(right))
+                similarity = shared / (len(own) + sizes - shared)
+                near = similarity >= threshold
+                if key[0] == key[1]:
+                    near &= names > rep
+                if near.any():
+                    other = names[near]
+                    found.append((np.where(other < rep, other, rep), np.where(other < rep, rep, other), similarity[near]))
+        columns = [np.concatenate(c) for c in zip(*(found[1:] or found))]
+        return pd.DataFrame({n: pd.Series(c, dtype=c.dtype) for n, c in zip(("left", "right", "similarity"), columns)})
+
+    kind = dict(classes.dtypes)["rep"]
+    return asks.unionByName(rest).groupBy("i", "j").applyInPandas(links, f"left {kind}, right {kind}, similarity double")
+
+
 def pieces_of(text: Column, q: int) -> Column:
     """All runs of ``q`` characters, the k-th equal one marked with k, so that they form a set."""
     n = F.length(text)
