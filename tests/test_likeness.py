@@ -246,3 +246,15 @@ def test_a_cell_of_equal_vectors_is_cut(spark, monkeypatch):
     asks = spark.range(20).select(F.col("id").alias("question_id"), F.array(F.lit(1.0), F.lit(2.0)).alias("embedding"))
     got = C.search_cells(index, asks, 3).collect()
     assert sorted((r.question_id, r.vec_id, r.rank) for r in got) == [(q, v, v + 1) for q in range(20) for v in range(3)]
+
+
+def test_pairs_are_counted_without_being_stored(spark):
+    """One block of 2,000 records: two million pairs, of which only a count is kept."""
+    df = spark.range(2000).select("id", F.concat(F.lit("n"), F.col("id") % 50).alias("name"), F.lit("x").alias("b"))
+    rule = [L.MatchRule("name", F.col("name"), L.edit_similarity, (1.0,), blocking=F.col("b")), L.MatchRule("id", F.col("id"), L.equal, blocking=F.array("b", F.col("name")))]
+    pairs, _ = L.compared(df, "id", rule)
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and plan.count("levenshtein(") == 1
+    got = {(r.level_name, r.level_id): r.pairs for r in L.patterns(pairs, rule).collect()}
+    same = 50 * (40 * 39 // 2)
+    assert got == {(1, 0): same, (0, 0): 2000 * 1999 // 2 - same}

@@ -10,6 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import product
 
 import numpy as np
@@ -61,7 +62,8 @@ def compared(records: DataFrame, ident: str, rules: Sequence[MatchRule], block:
     so copies are compared once. ``pairs``: left, right, copies (record pairs they stand
     for) and level_<rule> (-1 where the score is NULL); a class of several records also
     meets itself. A pair that shares several blocks is there once. ``classes``: ident,
-    class_id. Records with a null ident are left out.
+    class_id. Records with a null ident are left out. Pairs grow with the square of a block
+    and are not stored: each use compares them anew, so filter or count them at once.
     """
     blocking = [r for r in rules if r.blocking is not None]
     if not blocking:
@@ -69,34 +71,55 @@ def compared(records: DataFrame, ident: str, rules: Sequence[MatchRule], block:
     keyed = records.filter(F.col(ident).isNotNull()).select(
         F.col(ident).alias("ident"),
         *[r.value.alias(f"v_{r.name}") for r in rules],
-        F.array_sort(F.concat(*[_keys(records, r) for r in blocking])).alias("signs"),
+        *[_keys(records, r).alias(f"b_{r.name}") for r in blocking],
     )
-    values = [f"v_{r.name}" for r in rules]
-    keyed = cut(keyed.withColumn("signs", F.array_distinct("signs")))
-    folded = cut(keyed.groupBy(*values, "signs").agg(F.min("ident").alias("rep"), F.count("*").alias("n")))
-    same = [F.col(f"k.{c}").eqNullSafe(F.col(f"f.{c}")) for c in [*values, "signs"]]
+    keyed = cut(keyed)
+    keys = [f"b_{r.name}" for r in blocking]
+    same_class = [*[f"v_{r.name}" for r in rules], *keys]
+    folded = cut(keyed.groupBy(*same_class).agg(F.min("ident").alias("rep"), F.count("*").alias("n")))
+    same = [F.col(f"k.{c}").eqNullSafe(F.col(f"f.{c}")) for c in same_class]
     classes = keyed.alias("k").join(folded.alias("f"), same).select(F.col("ident").alias(ident), F.col("rep").alias("class_id"))
-    met = meeting(folded.filter(F.size("signs") > 0), "rep", "signs", block)
-    levels = [_level(r, F.col(f"left_v_{r.name}"), F.col(f"right_v_{r.name}")) for r in rules]
-    pairs = met.select("left_rep", "right_rep", (F.col("left_n") * F.col("right_n")).alias("copies"), *levels)
-    own = [_level(r, F.col(f"v_{r.name}"), F.col(f"v_{r.name}")) for r in rules]
-    alone = folded.filter((F.col("n") > 1) & (F.size("signs") > 0)).select(
-        F.col("rep").alias("left_rep"), F.col("rep").alias("right_rep"), F.expr("n * (n - 1) DIV 2").alias("copies"), *own
+    met = None
+    for k, key in enumerate(keys):
+        # A pair is met under the first rule of which it shares a block.
+        pairs = meeting(folded.filter(F.size(key) > 0), "rep", key, block)
+        for earlier in keys[:k]:
+            pairs = pairs.filter(~_share(F.col(f"left_{earlier}"), F.col(f"right_{earlier}")))
+        met = pairs if met is None else met.unionByName(pairs)
+    pairs = met.withColumn("copies", F.col("left_n") * F.col("right_n"))
+    alone = folded.filter((F.col("n") > 1) & reduce(lambda a, b: a | b, [F.size(k) > 0 for k in keys])).select(
+        F.col("rep").alias("left_rep"), F.col("rep").alias("right_rep"), F.expr("n * (n - 1) DIV 2").alias("copies"),
+        *[F.col(f"v_{r.name}").alias(f"{side}_v_{r.name}") for r in rules for side in ("left", "right")],
     )
-    both = pairs.unionByName(alone).withColumnsRenamed({"left_rep": "left", "right_rep": "right"})
-    return cut(both), classes
+    both = pairs.select(*alone.columns).unionByName(alone).withColumnsRenamed({"left_rep": "left", "right_rep": "right"})
+    return _leveled(both, rules), classes
 
 
 def _keys(records: DataFrame, rule: MatchRule) -> Column:
-    """The rule's block keys as texts that tell rules apart; none for NULL."""
+    """The rule's block keys as sorted texts without repeats; none for NULL."""
     kind = records.select(rule.blocking.alias("b")).schema["b"].dataType.simpleString()
     keys = rule.blocking if kind.startswith("array") else F.array(rule.blocking)
     keys = F.array_compact(F.coalesce(keys.cast("array<string>"), F.array().cast("array<string>")))
-    return F.transform(keys, lambda k: F.concat(F.lit(f"{rule.name}="), k))
+    return F.array_sort(F.array_distinct(keys))
 
 
-def _level(rule: MatchRule, a: Column, b: Column) -> Column:
-    score = rule.score(a, b).cast("double")
+def _share(a: Column, b: Column) -> Column:
+    """Whether two arrays have a common key; single keys are compared without a set."""
+    single = (F.size(a) == 1) & (F.size(b) == 1)
+    return F.when(single, a[0] == b[0]).otherwise(F.arrays_overlap(a, b))
+
+
+def _leveled(pairs: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
+    """left, right, copies and level_<rule> of each pair."""
+    kept = ["left", "right", "copies"]
+    scores = [r.score(F.col(f"left_v_{r.name}"), F.col(f"right_v_{r.name}")).cast("double").alias(f"s_{r.name}") for r in rules]
+    # Unfolded from an array, a score is computed once per pair; as a plain column the
+    # optimizer would copy it into every level, weight and filter made of it.
+    scored_ = pairs.select(*kept, F.inline(F.array(F.struct(*scores))))
+    return scored_.select(*kept, *[_level(r, F.col(f"s_{r.name}")) for r in rules])
+
+
+def _level(rule: MatchRule, score: Column) -> Column:
     # Scores come from divisions: a score just under a level by rounding reaches it.
     reached = sum((score >= x - 1e-9).cast("int") for x in rule.levels)
     return F.when(score.isNull(), F.lit(-1)).otherwise(reached).alias(f"level_{rule.name}")
@@ -207,10 +230,12 @@ def link_records(
     are learnt unless every rule has its own.
     """
     pairs, classes = compared(records, ident, rules)
-    counted = cut(patterns(pairs, rules))
-    model = None if threshold is not None and all(r.weights for r in rules) else learn(counted, rules)
-    if threshold is None:
-        threshold = threshold_for(counted, rules, model, precision)["threshold"]
+    model = None
+    if threshold is None or not all(r.weights for r in rules):
+        counted = cut(patterns(pairs, rules))
+        model = learn(counted, rules)
+        if threshold is None:
+            threshold = threshold_for(counted, rules, model, precision)["threshold"]
     links = scored(pairs, rules, model).filter(F.col("weight") >= threshold)
     return links, classes, model
 

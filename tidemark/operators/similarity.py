@@ -48,7 +48,12 @@ def meeting(rows: DataFrame, ident: str, signs: str, block: int = BLOCK_ROWS) ->
     own = F.col("_own")
     later = F.explode(F.sequence(own, F.col("_blocks") - 1))
     earlier = F.explode(F.sequence(F.lit(0), own))
-    met = side("left", own, later).join(side("right", earlier, own), ["_sign", "_i", "_j"])
+    keys = ["_sign", "_i", "_j"]
+    # Pairs are far more than rows: dealt by the size of the rows, few tasks would make them all.
+    context = rows.sparkSession.sparkContext
+    parts = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * context.defaultParallelism)
+    left, right = side("left", own, later).repartition(parts, *keys), side("right", earlier, own).repartition(parts, *keys)
+    met = left.hint("merge").join(right, keys)
     a, b = F.col(f"left_{ident}"), F.col(f"right_{ident}")
     # Within one block both orders meet, between two blocks only one.
     once = (a < b) | ((F.col("_i") < F.col("_j")) & (a > b))
