@@ -268,3 +268,23 @@ def test_documents_are_told_apart_by_key_and_text(spark):
     rows = [(1, "2:x"), (12, ":x"), (None, "1"), (1, None), (1, ""), (None, None), (None, ""), (1, "null"), (1, "2:x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert docs.select(ngrams.uid_of("doc_id", "text").alias("u")).distinct().count() == len(set(rows))
+
+
+def test_texts_are_read_again_without_a_shuffle(spark):
+    rows = [(f"{k}".encode(), f"some words of text number {k}") for k in range(400)] * 2 + [(b"null", None)]
+    docs = spark.createDataFrame(rows, "uid binary, text string")
+    asked = [(k, f"{k}".encode()) for k in range(0, 400, 50)] + [(900, b"null")]
+    needed = spark.createDataFrame(asked, "id long, uid binary")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = ngrams.sets_of(docs, needed, 5)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = {r.id: bytes(r.set) for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in plan[plan.index("MapInArrow") :]
+    texts = dict(rows)
+    assert got == {k: ngrams.gram_sets([texts[u] or ""], 5)[0].tobytes() for k, u in asked}
+    few = ngrams.filter_of(needed.select(F.xxhash64("uid").alias("hash")), "hash")
+    assert ngrams.with_sets(docs, 5, few).count() < 100

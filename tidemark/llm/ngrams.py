@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import slices
+from tidemark.llm.bytewords import Filter, filter_of
 from tidemark.llm.links import block_pairs, components, linked_blocks
 from tidemark.llm.words import DIGIT, LETTER, MARK, codepoints, distinct_words, mix, pieces, runs, simple_lower, unicode_classes, word_keys
 from tidemark.session import cut
@@ -132,16 +133,30 @@ def _spans(texts: list[str], most: int = 1_000_000):
             a, total = b, 0
 
 
-def with_sets(docs: DataFrame, n: int) -> DataFrame:
-    """(uid, set) from (uid, text): the gram set as 64-bit numbers."""
+def with_sets(docs: DataFrame, n: int, wanted: Filter | None = None) -> DataFrame:
+    """(uid, set) from (uid, text): the gram set as 64-bit numbers. ``wanted`` leaves out
+    most rows whose uid it does not have, where they are read."""
 
     def run(batches):
         for batch in slices(batches, 1):
+            if wanted is not None:
+                batch = batch.filter(pa.array(wanted.has(batch.column(2).to_numpy())))
             texts = [t or "" for t in batch.column(1).to_pylist()]
             sets = [s.tobytes() for a, b in _spans(texts) for s in gram_sets(texts[a:b], n)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["uid", "set"])
 
-    return docs.mapInArrow(run, "uid binary, set binary")
+    hashed = docs.select("uid", "text", F.xxhash64("uid").alias("hash"))
+    return hashed.mapInArrow(run, "uid binary, set binary")
+
+
+def sets_of(docs: DataFrame, needed: DataFrame, n: int) -> DataFrame:
+    """The rows of ``needed`` (uid, ...) with the gram ``set`` of their text in ``docs`` (uid, text).
+
+    Texts are not shuffled, whatever their number: a bounded filter of the needed uids finds
+    them where they are read, and only their sets meet ``needed``.
+    """
+    wanted = filter_of(needed.select(F.xxhash64("uid").alias("hash")), "hash")
+    return needed.join(with_sets(docs, n, wanted).dropDuplicates(["uid"]), "uid")
 
 
 def jaccard_links(threshold: float, columns: int = 1 << 12):
@@ -270,9 +285,8 @@ def near_duplicates(
         .withColumn("id", F.monotonically_increasing_id())
     )
     tasks, candidates = comparison_tasks(classes.select("id", "grams", "bands"), block, block_grams)
-    needed = cut(classes.select("id", "uid", "copies").join(candidates, "id", "left_semi"))
-    texts = source.select("uid", "text").join(needed.select("uid"), "uid", "left_semi").dropDuplicates(["uid"])
-    sets = cut(needed.join(with_sets(texts, n), "uid").join(classes.select("id", "bands"), "id").select("id", "copies", "set", "bands"))
+    needed = cut(classes.select("id", "uid", "copies", "bands").join(candidates, "id", "left_semi"))
+    sets = cut(sets_of(source, needed, n).select("id", "copies", "set", "bands"))
     found = cut(linked_blocks(tasks.join(sets, "id"), jaccard_links(threshold), ["set", "bands", "tab"]))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
     labels = components(found.select(F.col("id").alias("a"), F.col("root").alias("b"))).withColumnRenamed("label", "part")
