@@ -154,3 +154,16 @@ def test_monthly_source_prunes(spark, tmp_path):
     plan = late._jdf.queryExecution().executedPlan().toString()
     assert "2024-05" not in plan  # the source took the month filter
     assert "% 2" in plan  # the other one stays with Spark
+
+
+def test_compaction_sorts_no_more_than_its_rows_in_a_task(spark, tmp_path):
+    data = V.Dataset(spark, str(tmp_path / "many"))
+    rows = spark.range(6000).select(F.col("id").alias("k"), (F.col("id") % 3).cast("string").alias("tenant"))
+    data.create(rows.schema, {"column": "tenant", "transform": "identity", "sort": ["k"]})
+    data.append(rows)
+    data.compact(most_rows=1000)
+    files = data.files().collect()
+    assert len(files) >= 6 and max(r.rows for r in files) <= 1500
+    assert sorted(r.k for r in data.read().collect()) == list(range(6000))
+    data.compact()
+    assert len(data.files().collect()) == 3

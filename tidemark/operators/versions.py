@@ -404,12 +404,18 @@ class Dataset:
 
     # --- upkeep -----------------------------------------------------------------
 
-    def compact(self, target_bytes: int = 256 << 20) -> int:
-        """Rewrite into files of about ``target_bytes``; pending deletes are applied."""
-        total = self.files().agg(F.sum("bytes")).first()[0] or 0
-        return self.overwrite(
-            self.read(), operation="compact", files=max(1, math.ceil(total / target_bytes))
-        )
+    def compact(self, target_bytes: int = 256 << 20, most_rows: int = 4_000_000) -> int:
+        """Rewrite into files of about ``target_bytes``; pending deletes are applied.
+
+        Where files are sorted, a task writes about ``most_rows`` rows at most, so that
+        what it sorts does not follow the table.
+        """
+        total = self.files().agg(F.sum("bytes").alias("bytes"), F.sum("rows").alias("rows")).first()
+        files = math.ceil((total["bytes"] or 0) / target_bytes)
+        layout = json.loads(self._last().layout)
+        if layout.get("column") or layout.get("sort"):
+            files = max(files, math.ceil((total["rows"] or 0) / most_rows))
+        return self.overwrite(self.read(), operation="compact", files=max(1, files))
 
     def expired(self, before_ms: int) -> DataFrame:
         """Versions older than a time that neither the head nor a pointer needs."""
