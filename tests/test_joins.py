@@ -32,6 +32,13 @@ def test_skew_joins_equal_plain(skewed):
     assert J.hot_keys(fact, "k", 0.1).collect()[0][0] == 7
 
 
+def test_salted_copies_are_not_broadcast(skewed):
+    fact, dim = skewed
+    for how in ("inner", "left"):
+        plan = J.salted_join(fact, dim, "k", 4, how)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_two_phase_totals(skewed):
     fact, _ = skewed
     want = fact.groupBy("k").agg(F.sum("v").alias("total"), F.count("*").alias("n"))

@@ -51,7 +51,8 @@ def salted_join(
 
     ``how`` is inner or left (fact side kept). The salt is a hash of the whole row, so
     a retried task draws the same salt. Equal rows share a salt; should one group of
-    copies alone be too large for a task, AQE splits that partition of the join.
+    copies alone be too large for a task, AQE splits that partition of the join. The copies
+    are never broadcast: Spark takes their size for that of one dimension.
     """
     if how not in ("inner", "left"):
         raise ValueError("only the fact side may be preserved")
@@ -59,7 +60,7 @@ def salted_join(
     copies = dim.withColumn(
         "_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
     )
-    return spread.join(copies, [on, "_salt"], how).drop("_salt")
+    return spread.join(copies.hint("merge"), [on, "_salt"], how).drop("_salt")
 
 
 def hot_keys(df: DataFrame, key: str, share: float) -> DataFrame:
