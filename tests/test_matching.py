@@ -2,6 +2,7 @@
 
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tidemark.operators import dedup as D
@@ -175,3 +176,14 @@ def test_exact_copies_keep_nulls_apart(spark):
     df = spark.createDataFrame([(1, "a", None), (2, "a", None), (3, "a", ""), (4, "ab", "c"), (5, "a", "bc")], "id long, x string, y string")
     assert [(r.survivor, r.copies) for r in D.exact_copies(df, "id", ["x", "y"]).collect()] == [(1, 2)]
     assert sorted(r.id for r in D.drop_exact_copies(df, "id", ["x", "y"]).collect()) == [1, 3, 4, 5]
+
+
+def test_minima_of_many_sets_equal_plain_ones():
+    rng = np.random.default_rng(5)
+    prime = int(D._PRIME)
+    a, b = rng.integers(1, prime, 12, dtype=np.uint64), rng.integers(0, prime, 12, dtype=np.uint64)
+    sets = [rng.integers(-(1 << 63), (1 << 63) - 1, n) for n in (1, 7, 40, 100, 3)]
+    sets.append(np.array([0, -1, prime, prime - 1, 1 << 62]))
+    want = [[min((int(p) * (int(x) % (1 << 64) % prime) + int(q)) % prime for x in s) for p, q in zip(a, b)] for s in sets]
+    for chunk in (16, 64, 1 << 15):
+        assert [list(map(int, low)) for low in D._minima(sets, a, b, chunk)] == want

@@ -136,12 +136,17 @@ _PRIME = np.uint64((1 << 31) - 1)
 def shingles(text: Column, words: int = 3) -> Column:
     """Distinct hashes of all word n-grams of the whole text."""
     tokens = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    n = F.size(tokens)
-    # Shifted copies zipped together: linear in the text, unlike slicing per n-gram.
-    shifted = [F.slice(tokens, F.lit(i + 1), F.greatest(n - i, F.lit(0))) for i in range(words)]
-    rows = F.slice(F.arrays_zip(*[c.alias(f"w{i}") for i, c in enumerate(shifted)]), F.lit(1), F.greatest(n - words + 1, F.lit(1)))
-    grams = F.transform(rows, lambda r: F.xxhash64(r))
-    return F.when(n > 0, F.array_distinct(grams)).otherwise(F.array().cast("array<bigint>"))
+
+    def grams(tokens: Column) -> Column:
+        n = F.size(tokens)
+        # Shifted copies zipped together: linear in the text, unlike slicing per n-gram.
+        shifted = [F.slice(tokens, F.lit(i + 1), F.greatest(n - i, F.lit(0))) for i in range(words)]
+        rows = F.slice(F.arrays_zip(*[c.alias(f"w{i}") for i, c in enumerate(shifted)]), F.lit(1), F.greatest(n - words + 1, F.lit(1)))
+        hashes = F.transform(rows, lambda r: F.xxhash64(r))
+        return F.when(n > 0, F.array_distinct(hashes)).otherwise(F.array().cast("array<bigint>"))
+
+    # As a lambda's argument the text is split once, not at each use of its words.
+    return F.transform(F.array(tokens), grams)[0]
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -153,6 +158,39 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(parts)
 
 
+def _minima(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray, chunk: int = 1 << 15) -> Iterator[np.ndarray]:
+    """For each set, the minima of (a * x + b) mod 2**31 - 1 for all a and b; sets are not empty.
+
+    Small sets are taken together, large ones in parts, so that the work stays in the cache.
+    """
+    low = np.uint32(_PRIME)
+    start = 0
+    while start < len(sets):
+        end, total = start + 1, len(sets[start])
+        while end < len(sets) and total + len(sets[end]) <= chunk:
+            total += len(sets[end])
+            end += 1
+        flat = np.concatenate([np.asarray(s, dtype=np.int64) for s in sets[start:end]]).view(np.uint64) % _PRIME
+        sizes = np.array([len(s) for s in sets[start:end]])
+        heads = np.cumsum(sizes) - sizes
+        least = np.full((len(a), end - start), low)
+        for at in range(0, len(flat), chunk):  # a second part exists for a single large set only
+            x = flat[at : at + chunk]
+            product, high, folded, less = np.empty_like(x), np.empty_like(x), np.empty(len(x), np.uint32), np.empty(len(x), np.uint32)
+            for k in range(len(a)):
+                np.multiply(x, a[k], out=product)
+                product += b[k]
+                # As 2**31 is 1 there, both halves add up to less than twice the prime.
+                np.right_shift(product, np.uint64(31), out=high)
+                product &= _PRIME
+                np.add(product, high, out=folded, casting="unsafe")
+                np.subtract(folded, low, out=less)
+                np.minimum(folded, less, out=folded)
+                np.minimum(least[k], np.minimum.reduceat(folded, heads), out=least[k])
+        yield from least.T.astype(np.uint64)
+        start = end
+
+
 def band_keys(docs: DataFrame, ident: str, grams: str, bands: int, rows: int) -> DataFrame:
     """MinHash bands: one (band, bucket) row per document and band."""
     rng = np.random.default_rng(7)
@@ -161,15 +199,9 @@ def band_keys(docs: DataFrame, ident: str, grams: str, bands: int, rows: int) ->
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            batch = batch[batch[grams].map(len) > 0]
             ids, band, bucket = [], [], []
-            for key, hashes in zip(batch[ident], batch[grams]):
-                if len(hashes) == 0:
-                    continue
-                x = np.asarray(hashes, dtype=np.int64).view(np.uint64) % _PRIME
-                low = np.full(bands * rows, _PRIME, dtype=np.uint64)
-                for at in range(0, len(x), 2048):
-                    part = (np.outer(a, x[at : at + 2048]) + b[:, None]) % _PRIME
-                    np.minimum(low, part.min(axis=1), out=low)
+            for key, low in zip(batch[ident], _minima(list(batch[grams]), a, b)):
                 for i in range(bands):
                     ids.append(key)
                     band.append(i)
@@ -278,7 +310,10 @@ def _block_links(
             values, place = np.unique(np.concatenate(right["grams"].to_list()), return_inverse=True)
             heads = np.cumsum(sizes) - sizes
             for doc, grams in zip(left["doc"], left["grams"]):
-                shared = np.add.reduceat(np.isin(values, grams)[place].astype(np.int64), heads)
+                held = np.zeros(len(values), bool)
+                at = np.minimum(np.searchsorted(values, grams), len(values) - 1)
+                held[at[values[at] == grams]] = True
+                shared = np.add.reduceat(held[place], heads, dtype=np.int64)
                 similarity = shared / (len(grams) + sizes - shared)
                 near = (similarity >= threshold) & (ids != doc)
                 found += zip(similarity[near], [doc] * int(near.sum()), ids[near])
