@@ -145,3 +145,12 @@ def test_fallback_and_drift(spark):
     assert psi(a, a, "v", [25, 50, 75]).agg(F.sum("term")).first()[0] == 0
     moved = a.withColumn("v", F.col("v") + 30)
     assert psi(a, moved, "v", [25, 50, 75]).agg(F.sum("term")).first()[0] > 0.2
+
+
+def test_the_timeline_is_worked_out_once(spark):
+    day = lambda c: F.to_date(F.lit(c))
+    dim = spark.range(20).select((F.col("id") % 4).alias("k"), F.date_add(day("2024-01-01"), F.col("id").cast("int")).alias("a"), F.lit(None).cast("date").alias("b"), F.col("id").alias("v"))
+    facts = spark.range(4).select(F.col("id").alias("k"), F.col("id").alias("n"), day("2024-03-01").alias("at"))
+    got = J.version_at(facts, dim, "k", "at", "a", "b", "n")
+    assert "Generate" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {(r.k, r.v) for r in got.collect()} == {(0, 16), (1, 17), (2, 18), (3, 19)}

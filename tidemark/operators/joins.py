@@ -138,7 +138,8 @@ def version_at(
     """
     extra = [c for c in dim.columns if c not in facts.columns]
     kind = dict(facts.dtypes)[at]
-    line = timeline(dim, key, start, end, extra, kind).withColumn("_id", F.lit(0).cast("long"))
+    # Read twice: the as-of scan measures its rows first.
+    line = cut(timeline(dim, key, start, end, extra, kind)).withColumn("_id", F.lit(0).cast("long"))
     rows = facts.withColumn("_at", F.col(at)).withColumn("_id", F.col(ident))
     seen = as_of_join(rows, line, key, "_at", "_id", extra, **how)
     return seen.select(*facts.columns, *[F.col(f"last_{c}").alias(c) for c in extra])
