@@ -179,6 +179,73 @@ def test_threshold_and_fixed_weights(spark):
     assert len(L.every_pattern(rules())) == 12
 
 
+def odd_records(spark, n=150):
+    rng = random.Random(8)
+    names = some_texts(n, 8)
+    rows = [
+        (k if k % 40 else 1, rng.choice(["p", "q", "", None]), None if k % 11 == 0 else names[k], rng.choice(["m", "f", None]), rng.choice([None, math.nan, math.inf, 0.0, 3.0, 4.5, 9.0, 10.5]))
+        for k in range(n)
+    ]
+    return spark.createDataFrame(rows + rows[:20] + [(None, "p", "ann", "m", 1.0)], "id long, place string, name string, sex string, age double")
+
+
+def odd_rules():
+    return [
+        L.MatchRule("name", F.col("name"), L.edit_similarity, (0.4, 0.7, 1.0), blocking=F.substring("name", -2, 2)),
+        L.MatchRule("sex", F.col("sex"), L.equal, blocking=F.concat_ws("|", "sex", "place")),
+        L.MatchRule("age", F.col("age"), L.closeness(10.0), (0.0, 0.55, 0.9)),
+    ]
+
+
+@pytest.mark.parametrize("block", [None, 7])
+def test_patterns_of_blocks_equal_those_of_single_pairs(spark, block):
+    """Nulls, empty and long texts, NaN, copies, and idents that several classes have."""
+    records = odd_records(spark)
+    levels = [f"level_{r.name}" for r in odd_rules()]
+    pairs, _ = L.compared(records.filter("id <> 1"), "id", odd_rules(), block)
+    one_by_one = pairs.frame.groupBy(*levels).agg(F.sum("copies").alias("pairs"))
+    want = sorted(tuple(r) for r in one_by_one.collect())
+    assert pairs.in_blocks()
+    assert sorted(tuple(r) for r in L.patterns(pairs, odd_rules()).collect()) == want
+    assert len(want) > 20 and {r[0] for r in want} == {-1, 0, 1, 2, 3}
+    # Classes of one ident are not paired; the others are, once.
+    shared, _ = L.compared(records.filter("id = 1"), "id", odd_rules(), block)
+    assert shared.counted().filter("copies > 0").count() == shared.frame.filter("left = right").count()
+
+
+def test_scores_without_a_block_form_take_single_pairs(spark):
+    long_ = odd_records(spark).withColumn("name", F.concat(F.lit("x" * 70), "name"))
+    with_lists = [*odd_rules()[:2], L.MatchRule("age", F.col("age"), L.closeness(10.0), (0.5,), blocking=F.array("place", "sex"))]
+    own = [*odd_rules(), L.MatchRule("own", F.col("sex"), lambda a, b: (a == b).cast("double"))]
+    for records, rule in ((long_, odd_rules()), (odd_records(spark), with_lists), (odd_records(spark), own)):
+        pairs, _ = L.compared(records, "id", rule)
+        assert not pairs.in_blocks()
+        assert L.patterns(pairs, rule).agg(F.sum("pairs")).first()[0] == pairs.agg(F.sum("copies")).first()[0] > 0
+
+
+def test_a_large_block_is_counted_without_a_row_for_each_pair(spark):
+    """One block of 30,000 records: 450 million pairs."""
+    n = 30_000
+    name = F.concat(F.lit("Customer#"), F.lpad((F.col("id") % 500).cast("string"), 9, "0"))
+    df = spark.range(n).select("id", name.alias("name"), (F.col("id") % 3).cast("string").alias("sex"), (F.col("id") * 1.0).alias("x"))
+    rule = [
+        L.MatchRule("name", F.col("name"), L.edit_similarity, (1.0,), blocking=F.lit("b")),
+        L.MatchRule("sex", F.col("sex"), L.equal),
+        L.MatchRule("x", F.col("x"), L.closeness(10.0), (0.5,)),
+    ]
+    pairs, _ = L.compared(df, "id", rule)
+    counted = pairs.counted()
+    assert counted.count() < 1000
+    got = {(r.level_name, r.level_sex, r.level_x): r.pairs for r in L.patterns(pairs, rule).collect()}
+    # Names come again every 500 records, the same sex every 3: both every 1,500.
+    each = lambda step: sum(n - d for d in range(step, n, step))
+    near = sum(n - d for d in range(1, 6))
+    assert got == {
+        (1, 1, 0): each(1500), (1, 0, 0): each(500) - each(1500), (0, 1, 0): each(3) - each(1500) - (n - 3),
+        (0, 1, 1): n - 3, (0, 0, 1): near - (n - 3), (0, 0, 0): each(1) - each(3) - each(500) + each(1500) - near + n - 3,
+    }
+
+
 # --- vector cells ------------------------------------------------------------------
 
 

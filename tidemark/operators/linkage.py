@@ -3,6 +3,9 @@
 Pairs that share a block are compared rule by rule; each rule's score falls into a level.
 The levels of all rules are the pair's pattern, and the number of pairs of each pattern is
 all that the estimation needs, so it runs on a small table however many pairs there are.
+
+Where all scores have a form for whole blocks of values, pairs are counted by
+pattern inside tasks, and only the counts become rows.
 """
 
 from __future__ import annotations
@@ -10,13 +13,15 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.operators import pairlevels as P
 from tidemark.operators.similarity import BLOCK_ROWS, meeting
 from tidemark.session import cut
 
@@ -40,22 +45,138 @@ class MatchRule:
     blocking: Column | None = None
 
 
-def equal(a: Column, b: Column) -> Column:
+@dataclass(frozen=True)
+class Score:
+    """A score of columns that also has a form for all pairs of a block at once.
+
+    ``block`` takes the levels and the values of a block; it serves values of ``kinds``.
+    """
+
+    column: Callable[[Column, Column], Column]
+    block: Callable
+    kinds: tuple[str, ...]
+
+    def __call__(self, a: Column, b: Column) -> Column:
+        return self.column(a, b)
+
+
+def _equal(a: Column, b: Column) -> Column:
     return (a == b).cast("double")
 
 
-def edit_similarity(a: Column, b: Column) -> Column:
-    """1 for equal texts, less by each edit over the longer length."""
+def _edit_similarity(a: Column, b: Column) -> Column:
     longer = F.greatest(F.length(a), F.length(b))
     return F.when(longer == 0, 1.0).otherwise(1 - F.levenshtein(a, b) / longer)
 
 
-def closeness(width: float) -> Callable[[Column, Column], Column]:
-    """1 for equal numbers, 0 from ``width`` apart."""
-    return lambda a, b: F.greatest(F.lit(0.0), 1 - F.abs(a - b) / width)
+equal = Score(_equal, P.Equal, ("string", "tinyint", "smallint", "int", "bigint", "date"))
 
+#: 1 for equal texts, less by each edit over the longer length.
+edit_similarity = Score(_edit_similarity, P.Edits, ("string",))
 
-def compared(records: DataFrame, ident: str, rules: Sequence[MatchRule], block: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+
+def closeness(width: float) -> Callable[[Column, Column], Column]:
+    """1 for equal numbers, 0 from ``width`` apart."""
+    column = lambda a, b: F.greatest(F.lit(0.0), 1 - F.abs(a - b) / width)
+    return Score(column, partial(P.Near, float(width)), ("tinyint", "smallint", "int", "float", "double")) if width > 0 else column
+
+
+class Pairs:
+    """The pairs of ``compared``: a frame that makes each pair when it is used, and the
+    record classes it is made of, by which pairs are counted without a row each."""
+
+    def __init__(self, frame: DataFrame, folded: DataFrame, rules: Sequence[MatchRule], keys: Sequence[str], single: bool, block: int | None):
+        self.frame, self.folded, self.rules, self.keys = frame, folded, rules, keys
+        self.single, self.block = single, block or P.WIDTH
+        self._fits: bool | None = None
+
+    def __getattr__(self, name: str):
+        return getattr(self.frame, name)
+
+    def in_blocks(self) -> bool:
+        """Whether every rule has a block form for its values, and each record one key a rule."""
+        if self._fits is None:
+            kinds = dict(self.folded.dtypes)
+            self._fits = self.single and math.prod(self._bases()) < 1 << 16 and all(
+                isinstance(r.score, Score) and kinds[f"v_{r.name}"] in r.score.kinds for r in self.rules
+            )
+            texts = [F.col(f"v_{r.name}") for r in self.rules if r.score is edit_similarity]
+            if self._fits and texts:
+                short = [F.coalesce(F.bool_and((F.length(t) <= P.LONGEST) & F.is_valid_utf8(t)), F.lit(True)) for t in texts]
+                self._fits = all(self.folded.agg(*[c.alias(f"c{k}") for k, c in enumerate(short)]).first())
+        return self._fits
+
+    def counted(self) -> DataFrame:
+        """level_<rule>... and copies: few rows for each pattern, that add up to all pairs'."""
+        if not self.in_blocks():
+            return self.frame
+        most = math.prod(self._bases()) + 1
+
+        def count(batches):
+            total = np.zeros(most, np.int64)
+            for rows, group in met(batches):
+                n = rows.column("n").to_numpy()
+                for right, left, codes in group.tiles():
+                    if (n == 1).all():
+                        total += np.bincount(codes.ravel(), minlength=most)
+                    else:
+                        each = n[right, None] * n[None, left]
+                        total += np.bincount(codes.ravel(), each.ravel(), most).astype(np.int64)
+            some = np.flatnonzero(total[1:]) + 1
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(total[some], pa.int64())], names=["code", "copies"])
+
+        met = self._met()
+        found = self._tasks().mapInArrow(count, "code int, copies long")
+        return found.select(*self._levels(), "copies").unionByName(self._alone().drop("left", "right"))
+
+    def _bases(self) -> list[int]:
+        return [len(r.levels) + 2 for r in self.rules]
+
+    def _places(self) -> list[tuple[MatchRule, int, int]]:
+        bases = self._bases()
+        return [(r, math.prod(bases[k + 1 :]), base) for k, (r, base) in enumerate(zip(self.rules, bases))]
+
+    def _levels(self) -> list[Column]:
+        """The levels that a pattern's code stands for."""
+        return [F.expr(f"CAST((code - 1) DIV {place} % {base} - 1 AS INT)").alias(f"level_{r.name}") for r, place, base in self._places()]
+
+    def _alone(self) -> DataFrame:
+        return _leveled(_copies(self.folded, self.rules, self.keys), self.rules)
+
+    def _tasks(self) -> DataFrame:
+        """Rows of classes by rule, key and pair of blocks (i, j), the keys of earlier rules with them."""
+        folded = self.folded
+        ones = [F.get(k, F.lit(0)) for k in self.keys]
+        postings = None
+        for k, one in enumerate(ones):
+            earlier = [(x if e < k else F.lit(None).cast("string")).alias(f"e{e}") for e, x in enumerate(ones[:-1])]
+            values = [F.col(f"v_{r.name}").alias(f"v{v}") for v, r in enumerate(self.rules)]
+            part = folded.select(F.lit(k).alias("rule"), one.alias("sign"), "rep", "n", *values, *earlier).filter("sign IS NOT NULL")
+            postings = part if postings is None else postings.unionByName(part)
+        counts = postings.groupBy("rule", "sign").agg(F.count("*").alias("_n")).filter("_n > 1")
+        blocks = counts.select("rule", "sign", F.ceil(F.col("_n") / self.block).cast("int").alias("_blocks"))
+        own = F.pmod(F.xxhash64(F.lit(17), "rep"), F.col("_blocks")).cast("int")
+        dealt = postings.join(blocks, ["rule", "sign"]).withColumn("_own", own)
+        both = dealt.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+        sides = both.withColumns({"i": F.least("_own", "_other"), "j": F.greatest("_own", "_other"), "second": F.col("_own") > F.col("_other")})
+        # Pairs are far more than rows: dealt by the size of the rows, few tasks would make them all.
+        session = folded.sparkSession
+        parts = max(int(session.conf.get("spark.sql.shuffle.partitions")), 4 * session.sparkContext.defaultParallelism)
+        keys = ["rule", "sign", "i", "j"]
+        return sides.drop("_blocks", "_own", "_other").repartition(parts, *keys).sortWithinPartitions(*keys, "second")
+
+    def _met(self) -> Callable:
+        """From a task's rows to its groups, with their rows."""
+        makers, bases = [partial(r.score.block, tuple(r.levels)) for r in self.rules], self._bases()
+        earlier = [f"e{k}" for k in range(len(self.keys) - 1)]
+
+        def make(rows: pa.Table, split: int | None, several: np.ndarray | None) -> P.Group:
+            return P.Group(rows, makers, bases, earlier, split, several)
+
+        return lambda batches: P.groups(batches, ["rule", "sign", "i", "j"], make)
+
+
+def compared(records: DataFrame, ident: str, rules: Sequence[MatchRule], block: int | None = None) -> tuple[Pairs, DataFrame]:
     """(pairs, classes): every pair of record classes that shares a block, with its pattern.
 
     Records with equal values and blocks are one class (class_id: smallest ident; copies),
@@ -63,7 +184,8 @@ def compared(records: DataFrame, ident: str, rules: Sequence[MatchRule], block:
     for) and level_<rule> (-1 where the score is NULL); a class of several records also
     meets itself. A pair that shares several blocks is there once. ``classes``: ident,
     class_id. Records with a null ident are left out. Pairs grow with the square of a block
-    and are not stored: each use compares them anew, so filter or count them at once.
+    and are not stored: each use compares them anew, so filter or count them at once, best
+    by ``patterns``. A key's records meet in blocks of about ``block``.
     """
     blocking = [r for r in rules if r.blocking is not None]
     if not blocking:
@@ -82,17 +204,24 @@ def compared(records: DataFrame, ident: str, rules: Sequence[MatchRule], block:
     met = None
     for k, key in enumerate(keys):
         # A pair is met under the first rule of which it shares a block.
-        pairs = meeting(folded.filter(F.size(key) > 0), "rep", key, block)
+        pairs = meeting(folded.filter(F.size(key) > 0), "rep", key, block or BLOCK_ROWS)
         for earlier in keys[:k]:
             pairs = pairs.filter(~_share(F.col(f"left_{earlier}"), F.col(f"right_{earlier}")))
         met = pairs if met is None else met.unionByName(pairs)
     pairs = met.withColumn("copies", F.col("left_n") * F.col("right_n"))
-    alone = folded.filter((F.col("n") > 1) & reduce(lambda a, b: a | b, [F.size(k) > 0 for k in keys])).select(
-        F.col("rep").alias("left_rep"), F.col("rep").alias("right_rep"), F.expr("n * (n - 1) DIV 2").alias("copies"),
+    alone = _copies(folded, rules, keys)
+    both = pairs.withColumnsRenamed({"left_rep": "left", "right_rep": "right"}).select(*alone.columns).unionByName(alone)
+    single = not any(records.select(r.blocking.alias("b")).dtypes[0][1].startswith("array") for r in blocking)
+    return Pairs(_leveled(both, rules), folded, rules, keys, single, block), classes
+
+
+def _copies(folded: DataFrame, rules: Sequence[MatchRule], keys: Sequence[str]) -> DataFrame:
+    """Classes of several records that have a key, met with themselves."""
+    keyed = reduce(lambda a, b: a | b, [F.size(k) > 0 for k in keys])
+    return folded.filter((F.col("n") > 1) & keyed).select(
+        F.col("rep").alias("left"), F.col("rep").alias("right"), F.expr("n * (n - 1) DIV 2").alias("copies"),
         *[F.col(f"v_{r.name}").alias(f"{side}_v_{r.name}") for r in rules for side in ("left", "right")],
     )
-    both = pairs.select(*alone.columns).unionByName(alone).withColumnsRenamed({"left_rep": "left", "right_rep": "right"})
-    return _leveled(both, rules), classes
 
 
 def _keys(records: DataFrame, rule: MatchRule) -> Column:
@@ -125,9 +254,10 @@ def _level(rule: MatchRule, score: Column) -> Column:
     return F.when(score.isNull(), F.lit(-1)).otherwise(reached).alias(f"level_{rule.name}")
 
 
-def patterns(pairs: DataFrame, rules: Sequence[MatchRule]) -> DataFrame:
+def patterns(pairs: DataFrame | Pairs, rules: Sequence[MatchRule]) -> DataFrame:
     """Record pairs of each pattern: level_<rule>..., pairs. At most one row per pattern."""
-    return pairs.groupBy(*[f"level_{r.name}" for r in rules]).agg(F.sum("copies").alias("pairs"))
+    counted = pairs.counted() if isinstance(pairs, Pairs) else pairs
+    return counted.groupBy(*[f"level_{r.name}" for r in rules]).agg(F.sum("copies").alias("pairs"))
 
 
 @dataclass(frozen=True)
