@@ -213,6 +213,36 @@ def test_patterns_of_blocks_equal_those_of_single_pairs(spark, block):
     assert shared.counted().filter("copies > 0").count() == shared.frame.filter("left = right").count()
 
 
+@pytest.mark.parametrize("block, threshold", [(None, 3.0), (7, 3.0), (7, -2.0), (None, 99.0)])
+def test_links_of_blocks_equal_those_of_single_pairs(spark, block, threshold):
+    weights = [(-2.0, 0.5, 1.0, 3.0), (-1.0, 2.0), (-1.5, 0.25, 1.0, 2.0)]
+    rule = [L.MatchRule(r.name, r.value, r.score, r.levels, w, r.blocking) for r, w in zip(odd_rules(), weights)]
+    records = odd_records(spark).filter("id <> 1")
+    pairs, _ = L.compared(records, "id", rule, block)
+    one_by_one = L.scored(pairs.frame, rule).filter(F.col("weight") >= threshold).collect()
+    picked = L.reaching(pairs, rule, None, threshold)
+    assert sorted(map(tuple, picked.collect())) == sorted(map(tuple, one_by_one))
+    assert picked.columns == L.scored(pairs.frame, rule).columns
+    assert (len(one_by_one) > 50) == (threshold < 99)
+    named = records.withColumn("id", F.concat(F.lit("r"), "id"))
+    links = L.link_records(named, "id", rule, threshold)[0]
+    assert links.count() == len(one_by_one) and links.filter("left > right").isEmpty()
+
+
+def test_only_linked_pairs_become_rows(spark):
+    """A block of 30,000 records, 450 million pairs, of which 29,000 reach the threshold."""
+    df = spark.range(30_000).select("id", F.format_string("n%05d", F.col("id") % 1000).alias("name"), (F.col("id") * 1.0).alias("x"))
+    rule = [
+        L.MatchRule("name", F.col("name"), L.edit_similarity, (0.5, 1.0), (0.0, 0.0, 3.0), blocking=F.lit("b")),
+        L.MatchRule("x", F.col("x"), L.closeness(2000.0), (0.5,), (0.0, 1.0)),
+    ]
+    pairs, _ = L.compared(df, "id", rule)
+    made = pairs.picked(lambda levels: (levels["name"] == 2) & (levels["x"] == 1))
+    assert made.count() == 29_000
+    links, _, _ = L.link_records(df, "id", rule, threshold=4.0)
+    assert {r.right - r.left for r in links.collect()} == {1000}
+
+
 def test_scores_without_a_block_form_take_single_pairs(spark):
     long_ = odd_records(spark).withColumn("name", F.concat(F.lit("x" * 70), "name"))
     with_lists = [*odd_rules()[:2], L.MatchRule("age", F.col("age"), L.closeness(10.0), (0.5,), blocking=F.array("place", "sex"))]

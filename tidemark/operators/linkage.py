@@ -4,8 +4,8 @@ Pairs that share a block are compared rule by rule; each rule's score falls into
 The levels of all rules are the pair's pattern, and the number of pairs of each pattern is
 all that the estimation needs, so it runs on a small table however many pairs there are.
 
-Where all scores have a form for whole blocks of values, pairs are counted by
-pattern inside tasks, and only the counts become rows.
+Where all scores have a form for whole blocks of values, pairs are counted or picked by
+pattern inside tasks, and only the counts or the picked pairs become rows.
 """
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import pairlevels as P
 from tidemark.operators.similarity import BLOCK_ROWS, meeting
@@ -83,7 +84,7 @@ def closeness(width: float) -> Callable[[Column, Column], Column]:
 
 class Pairs:
     """The pairs of ``compared``: a frame that makes each pair when it is used, and the
-    record classes it is made of, by which pairs are counted without a row each."""
+    record classes it is made of, by which pairs are counted or picked without a row each."""
 
     def __init__(self, frame: DataFrame, folded: DataFrame, rules: Sequence[MatchRule], keys: Sequence[str], single: bool, block: int | None):
         self.frame, self.folded, self.rules, self.keys = frame, folded, rules, keys
@@ -129,6 +130,31 @@ class Pairs:
         found = self._tasks().mapInArrow(count, "code int, copies long")
         return found.select(*self._levels(), "copies").unionByName(self._alone().drop("left", "right"))
 
+    def picked(self, wanted: Callable[[dict[str, np.ndarray]], np.ndarray]) -> DataFrame:
+        """The pairs of wanted patterns; ``wanted`` gets the levels of all patterns."""
+        if not self.in_blocks():
+            return self.frame
+        codes = np.arange(math.prod(self._bases()))
+        levels = {r.name: codes // place % base - 1 for r, place, base in self._places()}
+        take = np.append(False, wanted(levels))
+        kind = T.StructType([T.StructField(c, self.folded.schema["rep"].dataType) for c in ("a", "b")])
+        kind = kind.add("copies", T.LongType()).add("code", T.IntegerType())
+
+        def pick(batches):
+            for rows, group in met(batches):
+                n, reps = rows.column("n").to_numpy(), rows.column("rep").combine_chunks()
+                for right, left, codes in group.tiles():
+                    at = np.flatnonzero(take[codes])
+                    if len(at):
+                        a, b = at // codes.shape[1] + right.start, at % codes.shape[1] + left.start
+                        code = pa.array(codes.ravel()[at].astype(np.int32))
+                        yield pa.RecordBatch.from_arrays([reps.take(pa.array(a)), reps.take(pa.array(b)), pa.array(n[a] * n[b]), code], names=["a", "b", "copies", "code"])
+
+        met = self._met()
+        found = self._tasks().mapInArrow(pick, kind)
+        ends = [F.least("a", "b").alias("left"), F.greatest("a", "b").alias("right")]
+        return found.select(*ends, "copies", *self._levels()).unionByName(self._alone())
+
     def _bases(self) -> list[int]:
         return [len(r.levels) + 2 for r in self.rules]
 
@@ -185,7 +211,7 @@ def compared(records: DataFrame, ident: str, rules: Sequence[MatchRule], block:
     meets itself. A pair that shares several blocks is there once. ``classes``: ident,
     class_id. Records with a null ident are left out. Pairs grow with the square of a block
     and are not stored: each use compares them anew, so filter or count them at once, best
-    by ``patterns``. A key's records meet in blocks of about ``block``.
+    by ``patterns`` and ``reaching``. A key's records meet in blocks of about ``block``.
     """
     blocking = [r for r in rules if r.blocking is not None]
     if not blocking:
@@ -331,6 +357,20 @@ def scored(pairs: DataFrame, rules: Sequence[MatchRule], model: Model | None = N
     return pairs.withColumn("weight", total)
 
 
+def reaching(pairs: DataFrame | Pairs, rules: Sequence[MatchRule], model: Model | None, threshold: float) -> DataFrame:
+    """The pairs whose weight reaches the threshold, with it."""
+    weights = _all_weights(rules, model)
+
+    def heavy(levels: dict[str, np.ndarray]) -> np.ndarray:
+        total = 0.0
+        for name, by_level in weights.items():
+            total = total + np.append(by_level, 0.0)[levels[name]]  # the last place, -1, adds nothing
+        return total >= threshold
+
+    found = pairs.picked(heavy) if isinstance(pairs, Pairs) else pairs
+    return scored(found, rules, model).filter(F.col("weight") >= threshold)
+
+
 def threshold_for(counted: DataFrame, rules: Sequence[MatchRule], model: Model, precision: float = 0.95) -> dict[str, float]:
     """The smallest weight at which the model expects this share of the linked pairs to match:
     threshold, and the precision and recall expected there. Infinite if none reaches it.
@@ -366,8 +406,7 @@ def link_records(
         model = learn(counted, rules)
         if threshold is None:
             threshold = threshold_for(counted, rules, model, precision)["threshold"]
-    links = scored(pairs, rules, model).filter(F.col("weight") >= threshold)
-    return links, classes, model
+    return reaching(pairs, rules, model, threshold), classes, model
 
 
 def every_pattern(rules: Sequence[MatchRule]) -> list[tuple[int, ...]]:
