@@ -12,15 +12,15 @@ from __future__ import annotations
 import math
 from functools import reduce
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.session import cut
+from tidemark.operators import setpairs
+from tidemark.session import cut, fresh_path
 
 BLOCK_ROWS = 512
-PAIR_ROWS = 4096
+PAIR_ROWS = 1 << 15
 PAIR_TOKENS = 1 << 22
 #: Two rows that meet under a sign cost about as much as so many pairs counted in blocks.
 MEETING_PAIRS = 100
@@ -128,52 +128,35 @@ def _meetings(rows: DataFrame, signs: str) -> int:
 
 
 def _counted_links(classes: DataFrame, threshold: float, block: int = PAIR_ROWS, block_tokens: int = PAIR_TOKENS) -> DataFrame:
-    """Links of all pairs of sets: the shared tokens are counted along lists of their holders.
+    """Links of all pairs of sets, by the number of tokens that they share.
 
     Sets are dealt into blocks of about ``block`` rows and ``block_tokens`` tokens at most,
-    and each pair of blocks is one group.
+    each written once to the shared folder; a task reads the two blocks of a pair of blocks.
+    So the disk that this takes grows with the sets, only the time with their pairs.
     """
-    listed = classes.select("rep", F.explode("set").alias("_t"))
-    codes = cut(listed.select("_t").distinct().withColumn("_code", F.monotonically_increasing_id()))
-    coded = cut(listed.join(codes, "_t").groupBy("rep").agg(F.collect_list("_code").alias("codes")))
-    n, tokens = coded.agg(F.count("*"), F.sum(F.size("codes"))).first()
+    spark = classes.sparkSession
+    listed = classes.select("rep", F.xxhash64("set").alias("_of"), F.size("set").alias("size"), F.explode("set").alias("_t"))
+    # A token of one set only is not shared.
+    held = cut(listed.groupBy("_t").agg(F.count("*").alias("_n")).filter("_n > 1"))
+    often = held.orderBy(F.desc("_n"), "_t").limit(setpairs.BITS)
+    often = often.select("_t", (F.row_number().over(Window.orderBy(F.desc("_n"), "_t")) - 1).cast("long").alias("_bit"))
+    rest = F.monotonically_increasing_id() + setpairs.BITS
+    codes = cut(held.join(F.broadcast(often), "_t", "left").select("_t", F.coalesce("_bit", rest).alias("_code")))
+    n, tokens = classes.count(), held.agg(F.sum("_n")).first()[0]
     # Enough blocks that their pairs occupy all cores, unless that leaves a block few rows.
-    cores = min(math.ceil(2 * classes.sparkSession.sparkContext.defaultParallelism**0.5), math.ceil(n / 256))
-    blocks = max(1, cores, math.ceil(n / block), math.ceil((tokens or 0) / block_tokens))
-    dealt = coded.withColumn("_own", F.pmod(F.xxhash64(F.lit(19), "rep"), F.lit(blocks)).cast("int"))
-    own = F.col("_own")
-    asks = dealt.select("rep", "codes", own.alias("i"), F.explode(F.sequence(own, F.lit(blocks - 1))).alias("j"), F.lit(True).alias("asks"))
-    rest = dealt.filter(own > 0).select("rep", "codes", F.explode(F.sequence(F.lit(0), own - 1)).alias("i"), own.alias("j"), F.lit(False).alias("asks"))
-
-    def links(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        left = rows[rows["asks"]]
-        right = left if key[0] == key[1] else rows[~rows["asks"]]
-        found = [(np.array([], object), np.array([], object), np.array([], float))]
-        if len(left) and len(right):
-            names, sizes = right["rep"].to_numpy(), right["codes"].map(len).to_numpy()
-            flat = np.concatenate(right["codes"].to_list())
-            order = np.argsort(flat, kind="stable")
-            holders = np.repeat(np.arange(len(right)), sizes)[order]
-            codes, heads = np.unique(flat[order], return_index=True)
-            ends = np.append(heads[1:], len(flat))
-            for rep, own in zip(left["rep"], left["codes"]):
-                at = np.minimum(np.searchsorted(codes, own), len(codes) - 1)
-                at = at[codes[at] == own]
-                if not len(at):
-                    continue
-                shared = np.bincount(np.concatenate([holders[heads[k] : ends[k]] for k in at]), minlength=len(right))
-                similarity = shared / (len(own) + sizes - shared)
-                near = similarity >= threshold
-                if key[0] == key[1]:
-                    near &= names > rep
-                if near.any():
-                    other = names[near]
-                    found.append((np.where(other < rep, other, rep), np.where(other < rep, rep, other), similarity[near]))
-        columns = [np.concatenate(c) for c in zip(*(found[1:] or found))]
-        return pd.DataFrame({n: pd.Series(c, dtype=c.dtype) for n, c in zip(("left", "right", "similarity"), columns)})
-
-    kind = dict(classes.dtypes)["rep"]
-    return asks.unionByName(rest).groupBy("i", "j").applyInPandas(links, f"left {kind}, right {kind}, similarity double")
+    cores = spark.sparkContext.defaultParallelism
+    blocks = max(1, min(math.ceil(2 * cores**0.5), math.ceil(n / 256)), math.ceil(n / block), math.ceil((tokens or 0) / block_tokens))
+    coded = listed.join(codes, "_t").groupBy("rep", "_of", "size").agg(F.collect_list("_code").alias("codes"))
+    own = F.pmod(F.xxhash64(F.lit(19), "rep"), F.lit(blocks)).cast("int")
+    folder = fresh_path(spark, "blocks")
+    coded.select("rep", "size", "codes", own.alias("block")).repartition(blocks, "block").write.partitionBy("block").parquet(folder)
+    pairs = blocks * (blocks + 1) // 2
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 64 * cores)
+    kind = classes.schema["rep"].dataType
+    out = T.StructType([T.StructField("a", kind), T.StructField("b", kind), T.StructField("similarity", T.DoubleType())])
+    found = spark.range(0, pairs, 1, min(pairs, tasks)).mapInArrow(setpairs.block_links(folder, blocks, threshold), out)
+    links = found.select(F.least("a", "b").alias("left"), F.greatest("a", "b").alias("right"), "similarity")
+    return links.filter("left < right")
 
 
 def pieces_of(text: Column, q: int) -> Column:
