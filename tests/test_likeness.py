@@ -4,11 +4,13 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import cells as C
 from tidemark.operators import linkage as L
+from tidemark.operators import setpairs
 from tidemark.operators import similarity as S
 
 
@@ -86,6 +88,48 @@ def test_sets_counted_in_blocks_equal_those_by_signs(spark, monkeypatch, thresho
     assert met == counted and len(met) > 1
 
 
+@pytest.mark.parametrize("threshold", [0.2, 0.5, 1.0])
+@pytest.mark.parametrize("most", [25, 600])
+def test_pairs_of_blocks_of_sets_equal_all_pairs(threshold, most):
+    """Tokens of both kinds, sets of one token to more than 255, and blocks without rows."""
+    rng = np.random.default_rng(most)
+    pool = np.arange(1500)
+    sets = [set(rng.choice(pool[: int(rng.choice([20, 300, 1500]))], min(20, int(rng.integers(1, most))), replace=False).tolist()) for _ in range(120)]
+    sets += [set(rng.permutation(pool)[: int(rng.integers(1, most))].tolist()) | set(range(most // 2)) for _ in range(40)]
+    schema = pa.schema({"rep": pa.int64(), "size": pa.int32(), "codes": pa.list_(pa.int64())})
+    # One token more that no other set has is in the size only.
+    table = lambda a, b: pa.Table.from_pylist([{"rep": k, "size": len(sets[k]) + 1, "codes": [*sets[k]]} for k in range(a, b)], schema)
+    blocks = [setpairs.Block(table(a, b)) for a, b in ((0, 70), (70, 160), (0, 0))]
+    got = []
+    for i, left in enumerate(blocks):
+        for right in blocks[i:]:
+            for a, b, alike in setpairs.similar(left, right, threshold):
+                pairs = zip(left.reps.take(pa.array(a)).to_pylist(), right.reps.take(pa.array(b)).to_pylist(), alike.tolist())
+                got += [(min(a, b), max(a, b), x) for a, b, x in pairs]
+    want = []
+    for b in range(len(sets)):
+        for a in range(b):
+            k = len(sets[a] & sets[b])
+            if k and k / (len(sets[a]) + len(sets[b]) + 2 - k) >= threshold:
+                want.append((a, b, k / (len(sets[a]) + len(sets[b]) + 2 - k)))
+    assert sorted(got) == sorted(want)
+    assert want or threshold == 1
+
+
+@pytest.mark.parametrize("block", [4096, 5])
+def test_each_set_is_kept_once_however_many_blocks(spark, monkeypatch, tmp_path, block):
+    """Disk grows with the sets, not with their pairs of blocks."""
+    monkeypatch.setattr(S._counted_links, "__defaults__", (block, 1 << 22))
+    folder = f"{tmp_path}/blocks"
+    monkeypatch.setattr(S, "fresh_path", lambda *_: folder)
+    df = spark.range(60).select("id", F.array(F.lit("all"), F.concat(F.lit("t"), F.col("id") % 20), F.concat(F.lit("own"), "id")).alias("t"))
+    links = S.similar_sets(df, "id", F.col("t"), 0.4, by_signs=False)[0]
+    assert links.count() == 20 * 3 and {r.similarity for r in links.collect()} == {0.5}
+    kept = spark.read.parquet(folder)
+    assert kept.count() == 60 and (kept.select("block").distinct().count() > 5 or block == 4096)
+    assert "Generate" not in links._jdf.queryExecution().executedPlan().toString()
+
+
 def test_prefix_size():
     assert [S.prefix_size(n, 0.8) for n in (1, 5, 10)] == [1, 2, 3]
 
