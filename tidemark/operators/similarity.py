@@ -135,7 +135,9 @@ def _counted_links(classes: DataFrame, threshold: float, block: int = PAIR_ROWS,
     So the disk that this takes grows with the sets, only the time with their pairs.
     """
     spark = classes.sparkSession
-    listed = classes.select("rep", F.xxhash64("set").alias("_of"), F.size("set").alias("size"), F.explode("set").alias("_t"))
+    # Two steps: in one, a set's hash would be worked out again for each of its tokens.
+    named = classes.select("rep", F.xxhash64("set").alias("_of"), F.size("set").alias("size"), "set")
+    listed = named.select("rep", "_of", "size", F.explode("set").alias("_t"))
     # A token of one set only is not shared.
     held = cut(listed.groupBy("_t").agg(F.count("*").alias("_n")).filter("_n > 1"))
     often = held.orderBy(F.desc("_n"), "_t").limit(setpairs.BITS)
